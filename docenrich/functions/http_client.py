@@ -1,0 +1,32 @@
+"""A client for JSON-over-HTTP models, with the standard library only."""
+
+import json
+import urllib.error
+import urllib.request
+from collections.abc import Callable
+
+
+def http_client_factory(
+    url: str, timeout_s: float, read_token: Callable[[], str]
+) -> Callable[[], Callable[[dict], tuple[int, str]]]:
+    """A factory for ``enrich``. ``read_token`` runs on the executor, so the
+    secret itself is never part of the job."""
+
+    def build() -> Callable[[dict], tuple[int, str]]:
+        headers = {
+            "Authorization": f"Bearer {read_token()}",
+            "Content-Type": "application/json",
+        }
+
+        def post(payload: dict) -> tuple[int, str]:
+            request = urllib.request.Request(url, json.dumps(payload).encode(), headers)
+            try:
+                with urllib.request.urlopen(request, timeout=timeout_s) as response:
+                    return response.status, response.read().decode()
+            except urllib.error.HTTPError as refused:
+                # an answer, if not a good one; no answer at all is an OSError
+                return refused.code, refused.read().decode(errors="replace")
+
+        return post
+
+    return build
