@@ -14,6 +14,7 @@ from docenrich.constants import DOCX_SUFFIX, PDF_SUFFIX
 from docenrich.operators.enrich import enrich_from_replies
 from docenrich.operators.extract import PAGES, PARAGRAPHS, Extractor, docx_paragraphs
 from docenrich.operators.filters import guard_unsupported
+from docenrich.operators.partitions import spread_scan
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,9 +182,8 @@ def _to_bytes(batches):
 
 def doc_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file_path, content``: the documents as files, DOCX files as real ones."""
-    return doc_files(spark, sf_dir).select("file_path", "text").mapInArrow(
-        _to_bytes, "file_path string, content binary"
-    )
+    texts = spread_scan(doc_files(spark, sf_dir).select("file_path", "text"))
+    return texts.mapInArrow(_to_bytes, "file_path string, content binary")
 
 
 def write_tree(files: DataFrame, root: str) -> None:

@@ -216,7 +216,7 @@ WHERE outcome <> 'extraction_failure' AND body IS NOT NULL AND attempts = 1
 
 ORACLE: dict[str, str] = {
     "list_files": _LISTED,
-    "list_files_walk": _LISTED,
+    "list_files_index": _LISTED,
     "list_files_flat": _with(
         "SELECT '/' || md5(file_path) || '.' || regexp_extract(file_path, '[^.]*$') AS file_path "
         "FROM supported",
@@ -224,7 +224,7 @@ ORACLE: dict[str, str] = {
     ),
     "paths_df": _with("SELECT file_path FROM doc_files", "doc_files"),
     "read_bytes": _BYTES,
-    "read_bytes_listed": _BYTES,
+    "read_bytes_index": _BYTES,
     "read_ledger": _with(
         f"SELECT * FROM ({_ledger('answered')}) WHERE status = 'success'", "answered"
     ),

@@ -16,7 +16,7 @@ from docenrich.functions import paths, replies, retry, text
 from docenrich.operators import assemble, attempts, filters, ledger, shape
 from docenrich.operators.enrich import CallRules, enrich, enrich_from_replies
 from docenrich.operators.extract import explode_pages, extract_parts, extract_text
-from docenrich.operators.partitions import map_partitions
+from docenrich.operators.partitions import map_partitions, repartitioned, spread_scan
 from docenrich.operators.replies import parse_reply
 from docenrich.plans import runs
 from docenrich.sinks.keyed_json import write_keyed_json
@@ -57,9 +57,9 @@ def list_files_(spark, sf_dir):
 
 
 @query
-def list_files_walk(spark, sf_dir):
+def list_files_index(spark, sf_dir):
     root = inputs.file_tree(spark, sf_dir)
-    listed = list_files(spark, root, include_hidden=True)
+    listed = list_files(spark, root, use_index=True)
     return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
 
 
@@ -86,9 +86,9 @@ def read_bytes_(spark, sf_dir):
 
 
 @query
-def read_bytes_listed(spark, sf_dir):
+def read_bytes_index(spark, sf_dir):
     root = inputs.file_tree(spark, sf_dir)
-    return read_bytes(spark, list_files(spark, root)).select(
+    return read_bytes(spark, root, use_index=True).select(
         inputs.below(root, F.col("file_path")).alias("file_path"),
         F.length("content").alias("n_bytes"),
         F.md5("content").alias("digest"),
@@ -197,7 +197,8 @@ def placeholder_text(spark, sf_dir):
 
 @query
 def enrich_(spark, sf_dir):
-    files = filters.guard_unsupported(inputs.doc_files(spark, sf_dir).select("file_path", "text"))
+    texts = spread_scan(inputs.doc_files(spark, sf_dir).select("file_path", "text"))
+    files = filters.guard_unsupported(texts)
     return enrich(files, RuleClient, rules=RULES).drop("error")
 
 
@@ -413,8 +414,8 @@ def ledger_round_trip(spark, sf_dir):
 
 
 @query
-def repartitioned(spark, sf_dir):
-    return runs.repartitioned(_paths(spark, sf_dir))
+def repartitioned_(spark, sf_dir):
+    return repartitioned(_paths(spark, sf_dir))
 
 
 def _text_lengths(batches):

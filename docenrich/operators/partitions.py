@@ -1,4 +1,4 @@
-"""Custom code over whole partitions."""
+"""How rows are spread over tasks, and custom code over whole partitions."""
 
 from collections.abc import Callable, Iterator
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from docenrich.cluster import ship_package
+from docenrich.constants import NUM_PARTITIONS
 
 
 def map_partitions(
@@ -17,3 +18,26 @@ def map_partitions(
     """Many rows in, many rows out, on the executors, as Arrow batches."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def repartitioned(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Spread rows evenly, whatever their values, over a number of tasks.
+
+    Meant for bare listings: rows are moved whole. By default there are several
+    tasks for each core of the cluster, and never fewer than the usual number.
+    """
+    if num_partitions is None:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        num_partitions = max(NUM_PARTITIONS, 4 * cores)
+    return df.repartition(num_partitions)
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a table that is read in fewer pieces than that.
+
+    A table read in enough pieces stays as it is: its rows are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= 4 * cores:
+        return scan
+    return scan.repartition(cores)

@@ -11,11 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.cluster import scratch_path
-from docenrich.constants import (
-    NUM_PARTITIONS,
-    PATH_SCHEMA,
-    WORKERS_PER_PARTITION,
-)
+from docenrich.constants import PATH_SCHEMA, WORKERS_PER_PARTITION
 from docenrich.operators.enrich import CallRules, Client, enrich
 from docenrich.operators.extract import Extractor, extract_text
 from docenrich.operators.filters import filter_supported
@@ -26,6 +22,7 @@ from docenrich.operators.ledger import (
     skip_processed,
     union_results,
 )
+from docenrich.operators.partitions import repartitioned
 from docenrich.operators.shape import (
     shape_flags,
     shape_minimal,
@@ -199,18 +196,6 @@ def run_status(
     return status_of_ledger(written)
 
 
-def repartitioned(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Spread rows evenly, whatever their values, over a number of tasks.
-
-    Meant for bare listings: rows are moved whole. By default there are several
-    tasks for each core of the cluster, and never fewer than the usual number.
-    """
-    if num_partitions is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        num_partitions = max(NUM_PARTITIONS, 4 * cores)
-    return df.repartition(num_partitions)
-
-
 def written_once(df: DataFrame) -> DataFrame:
     """Evaluate into the shared folder: later uses read, and ask nobody again."""
     spark = df.sparkSession

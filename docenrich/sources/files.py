@@ -1,5 +1,6 @@
 """Document listings and document bytes."""
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -13,6 +14,10 @@ from docenrich.constants import BYTES_SCHEMA, PATH_SCHEMA
 from docenrich.functions.paths import is_supported, plain_path
 
 _GLOB = "*.{pdf,docx}"
+# Entries one task lists below a folder before it hands the rest on: few at
+# first, to have folders for every task soon.
+_FIRST_ROUND_ENTRIES = 1000
+_ROUND_ENTRIES = 20000
 _ENTRY_SCHEMA = "path string, descend boolean"
 
 
@@ -31,35 +36,43 @@ def paths_df(spark: SparkSession, paths: Iterable[str] | DataFrame) -> DataFrame
 
 
 def list_files(
-    spark: SparkSession, root: str, recursive: bool = True, include_hidden: bool = False
+    spark: SparkSession,
+    root: str,
+    recursive: bool = True,
+    include_hidden: bool = False,
+    use_index: bool = False,
 ) -> DataFrame:
     """Paths of the PDF and DOCX files of a folder (tree); empty if there is none.
 
-    By default Spark's own file index lists the folder; it skips names that
-    start with ``_`` or ``.`` and holds the file statuses on the driver. With
-    ``include_hidden`` the folder is walked by the executors instead: nothing
-    is skipped and no listing passes through the driver, which makes it the
-    choice for very many files too.
+    The executors walk the tree, so a listing of any length stays distributed.
+    ``include_hidden`` adds files whose name, or a folder on the way to them,
+    starts with ``_`` or ``.``. With ``use_index`` Spark's own file index does
+    the listing: it knows every storage scheme Spark knows, never shows hidden
+    files, and holds all file statuses on the driver.
     """
-    if include_hidden:
-        return _walk(spark, root, recursive)
-    return _binary_files(spark, root, recursive).select(
-        plain_path(F.col("path")).alias("file_path")
-    )
+    if use_index:
+        return _binary_files(spark, root, recursive).select(
+            plain_path(F.col("path")).alias("file_path")
+        )
+    return _walk(spark, root, recursive, include_hidden)
 
 
-def read_bytes(spark: SparkSession, source: str | DataFrame, recursive: bool = True) -> DataFrame:
+def read_bytes(
+    spark: SparkSession, source: str | DataFrame, recursive: bool = True, use_index: bool = False
+) -> DataFrame:
     """``file_path, content`` of a folder's documents, or of listed paths.
 
-    Given a DataFrame of paths each file is opened where its path is
-    processed, so files dropped from the listing are never read.
+    Each file is opened by the task that handles its path, so files dropped
+    from a listing are never read. ``content`` is NULL for one that cannot be.
     """
-    if isinstance(source, DataFrame):
-        ship_package(spark)
-        return source.select("file_path").mapInArrow(_read_listed, BYTES_SCHEMA)
-    return _binary_files(spark, source, recursive).select(
-        plain_path(F.col("path")).alias("file_path"), "content"
-    )
+    if use_index:
+        return _binary_files(spark, source, recursive).select(
+            plain_path(F.col("path")).alias("file_path"), "content"
+        )
+    if not isinstance(source, DataFrame):
+        source = list_files(spark, source, recursive)
+    ship_package(spark)
+    return source.select("file_path").mapInArrow(_read_listed, BYTES_SCHEMA)
 
 
 def _binary_files(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
@@ -81,41 +94,59 @@ def _binary_files(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
         return spark.createDataFrame([], empty)
 
 
-def _walk(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
-    """List a tree one level per step, the folders of a level in parallel.
+def _walk(spark: SparkSession, root: str, recursive: bool, include_hidden: bool) -> DataFrame:
+    """List a tree in rounds. A task lists its folders and what lies below them
+    up to a number of entries; folders it does not get to are spread over all
+    tasks in the next round, so one big subtree does not stay with one task.
 
-    Each level is written to the shared folder, so nothing is listed twice and
-    a lost executor costs only its own tasks. The driver only learns whether
-    another level exists.
+    Each round is written to the shared folder: nothing is listed twice, and a
+    lost executor costs only its own tasks. The driver learns a count.
     """
     ship_package(spark)
-    levels = scratch_path(spark, "listing")
+    rounds = scratch_path(spark, "listing")
+    widest = spark.sparkContext.defaultParallelism * 4
     folders = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string")
-    depth = 0
+    budget = _FIRST_ROUND_ENTRIES if recursive else 0
+    written = []
     while True:
-        level = f"{levels}/level={depth}"
-        folders.select("path").mapInArrow(_list_folders, _ENTRY_SCHEMA).write.parquet(level)
-        below = spark.read.schema(_ENTRY_SCHEMA).parquet(level).where("descend")
-        if not recursive or below.isEmpty():
+        written.append(f"{rounds}/round={len(written)}")
+        listed = folders.select("path").mapInArrow(
+            lambda batches, budget=budget: _list_folders(batches, budget, include_hidden),
+            _ENTRY_SCHEMA,
+        )
+        listed.write.parquet(written[-1])
+        unlisted = spark.read.schema(_ENTRY_SCHEMA).parquet(written[-1]).where("descend")
+        count = unlisted.count() if recursive else 0
+        if count == 0:
             break
-        # the written files of a level follow the folders of the level above,
-        # so one huge folder would otherwise be one task's subfolders again
-        folders = below.repartition(spark.sparkContext.defaultParallelism * 4)
-        depth += 1
-    entries = spark.read.schema(_ENTRY_SCHEMA).parquet(
-        *[f"{levels}/level={d}" for d in range(depth + 1)]
-    )
+        folders, budget = unlisted.repartition(min(count, widest)), _ROUND_ENTRIES
+    entries = spark.read.schema(_ENTRY_SCHEMA).parquet(*written)
     return entries.where(~F.col("descend") & is_supported(F.col("path"))).select(
         F.col("path").alias("file_path")
     )
 
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_folders(
+    batches: Iterator[pa.RecordBatch], budget: int, include_hidden: bool
+) -> Iterator[pa.RecordBatch]:
+    """Files below each folder, and the folders left when the budget is spent."""
+
     def rows() -> Iterator[tuple[dict, int]]:
         for batch in batches:
-            for folder in batch.column("path").to_pylist():
-                for path, descend in storage.list_folder(folder):
-                    yield {"path": path, "descend": descend}, len(path)
+            for start in batch.column("path").to_pylist():
+                folders, seen = deque([start]), 0
+                while folders and (seen < budget or folders[0] is start):
+                    for path, descend in storage.list_folder(folders.popleft()):
+                        seen += 1
+                        name = path.rsplit("/", 1)[1]
+                        if not include_hidden and name.startswith(("_", ".")):
+                            continue
+                        if descend:
+                            folders.append(path)
+                        else:
+                            yield {"path": path, "descend": False}, len(path)
+                for path in folders:
+                    yield {"path": path, "descend": True}, len(path)
 
     return storage.arrow_batches(rows(), pa.schema([("path", pa.string()), ("descend", pa.bool_())]))
 

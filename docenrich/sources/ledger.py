@@ -40,9 +40,7 @@ def _is_entry():
 
 def _json_files(spark: SparkSession, folder: str) -> DataFrame:
     try:
-        return (
-            spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(folder)
-        )
+        return spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -9,7 +9,8 @@ from docenrich.constants import PATH_SCHEMA
 from docenrich.functions.paths import plain_path
 from docenrich.operators.enrich import CallRules
 from docenrich.operators.ledger import currently_processed, next_run, skip_processed
-from docenrich.plans.runs import ClientFactory, Extractors, repartitioned, settled_rows
+from docenrich.operators.partitions import repartitioned
+from docenrich.plans.runs import ClientFactory, Extractors, settled_rows
 from docenrich.sinks.tables import append_ledger
 from docenrich.sources.ledger import read_ledger_table
 
