@@ -215,7 +215,7 @@ def file_tree(spark: SparkSession, sf_dir: str, flat: bool = False) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, flat)
     if key not in _trees:
         path = F.concat(F.lit("/"), flat_name(F.col("file_path"))) if flat else F.col("file_path")
-        files = doc_files(spark, sf_dir).select(
+        files = spread_scan(doc_files(spark, sf_dir)).select(
             path.alias("file_path"), F.encode("text", "UTF-8").alias("content")
         )
         root = scratch_path(spark, "tree")

@@ -4,6 +4,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="docenrich-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
+    # with its scheme, so that Spark and the Python workers mean the same place
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(named)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -31,6 +35,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def listing_in_one_job(spark: SparkSession) -> Iterator[None]:
+    """Let Spark's file index list whole subtrees per task.
+
+    By default it runs a job of its own for every folder that has more than a
+    few subfolders, with a task for each of them.
+    """
+    prefix = "spark.sql.sources.parallelPartitionDiscovery."
+    before = {key: spark.conf.get(prefix + key) for key in ("threshold", "parallelism")}
+    tasks = min(int(before["parallelism"]), 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(prefix + "threshold", 1)
+    spark.conf.set(prefix + "parallelism", tasks)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(prefix + key, value)
+
+
 def ship_package(spark: SparkSession, *package_dirs: str) -> None:
     """Send this package (and others) to the Python workers, once per session."""
     for package_dir in (_PACKAGE_DIR, *package_dirs):

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich import storage
-from docenrich.cluster import scratch_path, ship_package
+from docenrich.cluster import listing_in_one_job, scratch_path, ship_package
 from docenrich.constants import BYTES_SCHEMA, PATH_SCHEMA
 from docenrich.functions.paths import is_supported, plain_path
+from docenrich.operators.partitions import spread_scan
 
 _GLOB = "*.{pdf,docx}"
 # Entries one task lists below a folder before it hands the rest on: few at
@@ -54,7 +55,8 @@ def list_files(
         return _binary_files(spark, root, recursive).select(
             plain_path(F.col("path")).alias("file_path")
         )
-    return _walk(spark, root, recursive, include_hidden)
+    listed = walk_files(spark, root, recursive, include_hidden)
+    return listed.where(is_supported(F.col("file_path")))
 
 
 def read_bytes(
@@ -70,7 +72,7 @@ def read_bytes(
             plain_path(F.col("path")).alias("file_path"), "content"
         )
     if not isinstance(source, DataFrame):
-        source = list_files(spark, source, recursive)
+        source = spread_scan(list_files(spark, source, recursive))
     ship_package(spark)
     return source.select("file_path").mapInArrow(_read_listed, BYTES_SCHEMA)
 
@@ -78,15 +80,13 @@ def read_bytes(
 def _binary_files(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
     reader = spark.read.format("binaryFile")
     try:
-        if recursive:
-            return (
-                reader.option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", _GLOB)
-                .load(root)
-            )
-        # a glob, because loading the folder itself would take a subfolder
-        # called k=1 for a partition column and lose the files beside it
-        return reader.load(f"{root.rstrip('/')}/{_GLOB}")
+        with listing_in_one_job(spark):
+            if recursive:
+                reader = reader.option("recursiveFileLookup", "true")
+                return reader.option("pathGlobFilter", _GLOB).load(root)
+            # a glob, because loading the folder itself would take a subfolder
+            # called k=1 for a partition column and lose the files beside it
+            return reader.load(f"{root.rstrip('/')}/{_GLOB}")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -94,8 +94,12 @@ def _binary_files(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
         return spark.createDataFrame([], empty)
 
 
-def _walk(spark: SparkSession, root: str, recursive: bool, include_hidden: bool) -> DataFrame:
-    """List a tree in rounds. A task lists its folders and what lies below them
+def walk_files(
+    spark: SparkSession, root: str, recursive: bool, include_hidden: bool
+) -> DataFrame:
+    """``file_path`` of every file of a folder (tree); no rows for a missing one.
+
+    The tree is listed now, in rounds. A task lists its folders and what lies below them
     up to a number of entries; folders it does not get to are spread over all
     tasks in the next round, so one big subtree does not stay with one task.
 
@@ -121,9 +125,7 @@ def _walk(spark: SparkSession, root: str, recursive: bool, include_hidden: bool)
             break
         folders, budget = unlisted.repartition(min(count, widest)), _ROUND_ENTRIES
     entries = spark.read.schema(_ENTRY_SCHEMA).parquet(*written)
-    return entries.where(~F.col("descend") & is_supported(F.col("path"))).select(
-        F.col("path").alias("file_path")
-    )
+    return entries.where(~F.col("descend")).select(F.col("path").alias("file_path"))
 
 
 def _list_folders(

@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.constants import LEDGER_SCHEMA, LEDGER_TABLE_SCHEMA
+from docenrich.operators.partitions import spread_scan
+from docenrich.sources.files import read_bytes, walk_files
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,7 +22,7 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
 def read_corrupt(spark: SparkSession, folder: str) -> DataFrame:
     """The ``*.json`` files ``read_ledger`` leaves out, with their text."""
     files = _json_files(spark, folder)
-    return files.where(~_is_entry()).select(F.col("_metadata.file_path").alias("file"), "value")
+    return files.where(~_is_entry())
 
 
 def read_ledger_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,11 +41,10 @@ def _is_entry():
 
 
 def _json_files(spark: SparkSession, folder: str) -> DataFrame:
-    try:
-        return spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame(
-            [], "value string, _metadata struct<file_path: string>"
-        )
+    """``file, value``: the text of each file. One file is one row, so there can
+    be very many; the executors list and read them."""
+    listed = walk_files(spark, folder, recursive=False, include_hidden=True)
+    names = spread_scan(listed.where(F.col("file_path").endswith(".json")))
+    return read_bytes(spark, names).select(
+        F.col("file_path").alias("file"), F.try_validate_utf8(F.col("content").cast("string")).alias("value")
+    )

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docenrich.cluster import listing_in_one_job
 from docenrich.constants import PATH_SCHEMA
 from docenrich.functions.paths import plain_path
 from docenrich.operators.enrich import CallRules
@@ -42,15 +43,16 @@ def ingest_new(
     The checkpoint remembers files it has seen, whatever became of them; which
     of them have gone through is the ledger's business.
     """
-    query = (
-        new_files(spark, root, files_per_batch)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", out)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with listing_in_one_job(spark):
+        query = (
+            new_files(spark, root, files_per_batch)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .option("path", out)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema("file_path string, modified timestamp, length long").parquet(out)
 
 
@@ -71,15 +73,16 @@ def settle_new(
     files it had finished are already in the ledger and are skipped.
     """
     settle = _settle_batch(ledger_dir, client_factory, extractors, rules, num_partitions)
-    query = (
-        new_files(spark, root, files_per_batch)
-        .select(*PATH_SCHEMA.names)
-        .writeStream.foreachBatch(settle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with listing_in_one_job(spark):
+        query = (
+            new_files(spark, root, files_per_batch)
+            .select(*PATH_SCHEMA.names)
+            .writeStream.foreachBatch(settle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
 
 
 def _settle_batch(
