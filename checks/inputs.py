@@ -77,7 +77,7 @@ def ledger_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     toxic, good = F.col("toxic") == 1, F.col("quality") == 1
     first = labelled.select(
         F.when(~F.col("file_path").endswith(".txt"), F.col("file_path")).alias("filepath"),
-        F.when(toxic & good, "error").when(toxic, "api_failure").otherwise("success")
+        F.when(toxic & good, "api_failure").when(toxic, "error").otherwise("success")
         .alias("status"),
         F.lit(1).cast("long").alias("run_seq"),
     )

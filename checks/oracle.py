@@ -28,7 +28,7 @@ SELECT file_path, body, CASE
 FROM replies""",
     "run_1": """
 SELECT CASE WHEN file_path NOT LIKE '%.txt' THEN file_path END AS filepath,
-    CASE WHEN toxic = 1 AND quality = 1 THEN 'error' WHEN toxic = 1 THEN 'api_failure'
+    CASE WHEN toxic = 1 AND quality = 1 THEN 'api_failure' WHEN toxic = 1 THEN 'error'
       ELSE 'success' END AS status,
     CAST(1 AS BIGINT) AS run_seq
 FROM doc_files JOIN labels USING (doc_id)""",
