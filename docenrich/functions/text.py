@@ -26,11 +26,14 @@ def paragraph_line(text: Column) -> Column:
 
 
 def pages_text(parts: Column) -> Column:
-    """Text of a paged document held as ``array<struct<part_no, text>>``."""
-    kept = F.filter(F.array_sort(parts), lambda p: has_text(p["text"]))
-    return F.array_join(F.transform(kept, lambda p: page_section(p["part_no"], p["text"])), "\n")
+    """Text of a paged document held as an array of its pages' texts."""
+    sections = F.transform(
+        parts, lambda page, index: F.when(has_text(page), page_section(index + 1, page))
+    )
+    # array_join leaves out the NULLs of pages without text
+    return F.array_join(sections, "\n")
 
 
 def paragraphs_text(parts: Column) -> Column:
-    """Text of a flowing document held as ``array<struct<part_no, text>>``."""
-    return F.array_join(F.transform(F.array_sort(parts), lambda p: paragraph_line(p["text"])), "")
+    """Text of a flowing document held as an array of its paragraphs."""
+    return F.array_join(F.transform(parts, paragraph_line), "")

@@ -158,7 +158,7 @@ def ask(client: Client, text: str | None, rules: CallRules) -> dict:
             status, body = client({rules.field: text})
             reply["http_status"] = status
             if status == 200 or rules.any_status:
-                json.loads(body)
+                json.loads(body or "")
                 reply["body"], reply["call_error"] = body, None
                 return reply
             reply["call_error"] = f"status {status}"

@@ -32,6 +32,7 @@ class Extractor(NamedTuple):
 # Names in the word-processing XML vocabulary.
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _MAIN_PART = "word/document.xml"
+_RELATIONS_PART = "_rels/.rels"
 _RUN_MARKS = {
     _W + "tab": "\t",
     _W + "ptab": "\t",
@@ -53,10 +54,19 @@ def _run_text(run: ElementTree.Element) -> str:
     return "".join(pieces)
 
 
+def _main_part(archive: zipfile.ZipFile) -> str:
+    """Name of the part that holds the text; packages may call it anything."""
+    if _RELATIONS_PART in archive.namelist():
+        for relation in ElementTree.fromstring(archive.read(_RELATIONS_PART)):
+            if relation.get("Type", "").endswith("/officeDocument"):
+                return relation.get("Target").lstrip("/")
+    return _MAIN_PART
+
+
 def docx_paragraphs(content: bytes) -> Iterator[str]:
     """Body paragraphs in order; text inside tables is not part of the body."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        body = ElementTree.fromstring(archive.read(_MAIN_PART)).find(_W + "body")
+        body = ElementTree.fromstring(archive.read(_main_part(archive))).find(_W + "body")
     for paragraph in body.findall(_W + "p"):
         runs = []
         for node in paragraph:
@@ -83,18 +93,21 @@ DEFAULT_EXTRACTORS: dict[str, Extractor] = {
     DOCX_SUFFIX: Extractor(docx_paragraphs, PARAGRAPHS),
 }
 
-_PART = pa.struct([("part_no", pa.int32()), ("text", pa.string())])
-_OUT_FIELDS = [
-    ("style", pa.string()),
-    ("parts", pa.list_(_PART)),
-    ("error", pa.string()),
-]
+_PARTS_SCHEMA = "file_path string, style string, parts array<string>, error string"
+_ARROW_SCHEMA = pa.schema(
+    [
+        ("file_path", pa.string()),
+        ("style", pa.string()),
+        ("parts", pa.list_(pa.string())),
+        ("error", pa.string()),
+    ]
+)
 
 
 def read_parts(
     files: DataFrame, extractors: Mapping[str, Extractor] | None = None
 ) -> DataFrame:
-    """One row per file: ``file_path, style, parts, error``.
+    """One row per file: ``file_path, style, parts, error``, the parts in order.
 
     ``files`` has ``file_path`` and, if the bytes are at hand, ``content``;
     otherwise each file is opened by the task that handles its path. Every
@@ -104,9 +117,7 @@ def read_parts(
     registry = dict(DEFAULT_EXTRACTORS if extractors is None else extractors)
     columns = [c for c in ("file_path", "content") if c in files.columns]
     return files.select(*columns).mapInArrow(
-        lambda batches: _extract_batches(batches, registry),
-        "file_path string, style string, "
-        "parts array<struct<part_no: int, text: string>>, error string",
+        lambda batches: _extract_batches(batches, registry), _PARTS_SCHEMA
     )
 
 
@@ -121,11 +132,10 @@ def extract_parts(
 
 
 def explode_parts(parts: DataFrame) -> DataFrame:
-    """Long form of ``read_parts``."""
-    return parts.select(
-        "file_path", F.explode_outer("parts").alias("part"), "error"
-    ).select("file_path", "part.part_no", "part.text", "error").where(
-        F.col("part_no").isNotNull() | F.col("error").isNotNull()
+    """Long form of ``read_parts``, numbered from 1."""
+    rows = parts.select("file_path", F.posexplode_outer("parts").alias("at", "text"), "error")
+    return rows.where(F.col("at").isNotNull() | F.col("error").isNotNull()).select(
+        "file_path", (F.col("at") + 1).alias("part_no"), "text", "error"
     )
 
 
@@ -175,7 +185,7 @@ def _extract_batches(
             row["error"] = storage.describe(problem)
             return row, 0
         row["style"] = extractor.style
-        row["parts"] = [{"part_no": n, "text": t} for n, t in enumerate(texts, start=1)]
+        row["parts"] = texts
         return row, sum(len(t or "") for t in texts)
 
     def rows() -> Iterator[tuple[dict, int]]:
@@ -184,4 +194,4 @@ def _extract_batches(
             for at, path in enumerate(batch.column("file_path").to_pylist()):
                 yield one(path, batch.column("content")[at].as_py() if has_content else None)
 
-    return storage.arrow_batches(rows(), pa.schema([("file_path", pa.string()), *_OUT_FIELDS]))
+    return storage.arrow_batches(rows(), _ARROW_SCHEMA)

@@ -85,18 +85,30 @@ def shape_ledger_table(df: DataFrame, run_seq: int) -> DataFrame:
     )
 
 
-def failure_log(df: DataFrame) -> DataFrame:
-    """``filepath, level, message``: one line for each file that failed."""
-    path, outcome = F.col("file_path"), F.col("outcome")
-    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+def status_of_ledger(entries: DataFrame) -> DataFrame:
+    """The status layout of rows of the ledger table."""
+    outcome = F.col("outcome")
+    return entries.select(
+        "filepath",
+        "type",
+        "jurisdiction",
+        F.when(outcome == API_FAILURE, F.lit(ERROR)).otherwise(outcome).alias("status"),
+    )
+
+
+def failure_log(df: DataFrame, path_col: str = "file_path") -> DataFrame:
+    """``filepath, level, message``: one line for each file that failed.
+
+    Rows of the ledger table will do too, with ``path_col="filepath"``.
+    """
+    path, outcome = F.col(path_col), F.col("outcome")
+    reason = F.coalesce("error", F.lit(NO_OBJECT)) if "error" in df.columns else F.lit(NO_OBJECT)
     return df.where(outcome != SUCCESS).select(
-        _path(),
+        path.alias("filepath"),
         F.when(outcome == ERROR, F.lit("ERROR")).otherwise(F.lit("WARNING")).alias("level"),
         F.when(outcome == EXTRACTION_FAILURE, F.concat(F.lit(EXTRACTION_MESSAGE), path))
         .when(outcome == API_FAILURE, F.concat(F.lit(API_MESSAGE), path))
-        .otherwise(
-            F.concat(F.lit(ERROR_MESSAGE), path, F.lit(": "), F.coalesce(error, F.lit(NO_OBJECT)))
-        )
+        .otherwise(F.concat(F.lit(ERROR_MESSAGE), path, F.lit(": "), reason))
         .alias("message"),
     )
 
@@ -113,14 +125,3 @@ def _answer(key: str, default: str) -> Column:
 
 def _yes_no(*outcomes: str) -> Column:
     return F.when(F.col("outcome").isin(*outcomes), F.lit("yes")).otherwise(F.lit("no"))
-
-
-def status_of_ledger(entries: DataFrame) -> DataFrame:
-    """The status layout of rows of the ledger table."""
-    outcome = F.col("outcome")
-    return entries.select(
-        "filepath",
-        "type",
-        "jurisdiction",
-        F.when(outcome == API_FAILURE, F.lit(ERROR)).otherwise(outcome).alias("status"),
-    )

@@ -7,11 +7,11 @@ once, write, and hand back a DataFrame over what was written.
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.cluster import scratch_path
-from docenrich.constants import PATH_SCHEMA, WORKERS_PER_PARTITION
+from docenrich.constants import LEDGER_SCHEMA, PATH_SCHEMA, WORKERS_PER_PARTITION
 from docenrich.operators.enrich import CallRules, Client, enrich
 from docenrich.operators.extract import Extractor, extract_text
 from docenrich.operators.filters import filter_supported
@@ -185,17 +185,23 @@ def run_status(
     left = skip_processed(files, done)
     for wave in range(waves):
         # by path, so that a wave means the same files if its plan runs again
-        part = left.where(F.pmod(F.xxhash64("file_path"), F.lit(waves)) == wave)
+        part = left.where(_wave("file_path", waves) == wave)
         if bare_listing or num_partitions is not None:
             part = repartitioned(part, num_partitions)
         append_ledger(settled_rows(part, client_factory, extractors, rules), ledger_dir, run_seq)
-
+        if json_dir is not None:
+            settled = read_ledger_table(spark, ledger_dir).where(
+                (F.col("run_seq") == run_seq) & (_wave("filepath", waves) == wave)
+            )
+            write_keyed_json(settled.select(*LEDGER_SCHEMA.names), json_dir)
     written = read_ledger_table(spark, ledger_dir).where(F.col("run_seq") == run_seq)
-    if json_dir is not None:
-        write_keyed_json(written.select("filepath", "type", "jurisdiction", "status"), json_dir)
     return status_of_ledger(written)
 
 
+def _wave(path_col: str, waves: int) -> Column:
+    return F.pmod(F.xxhash64(path_col), F.lit(waves))
+
+
 def written_once(df: DataFrame) -> DataFrame:
     """Evaluate into the shared folder: later uses read, and ask nobody again."""
     spark = df.sparkSession

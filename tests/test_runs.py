@@ -90,11 +90,21 @@ def test_second_run_asks_only_about_what_failed(spark, job, waves):
     table = read_ledger_table(spark, str(job / "ledger"))
     assert table.count() == 6
     assert {r.run_seq for r in table.collect()} == {1, 2, 3}
+    log = failure_log(table.where("run_seq = 1"), path_col="filepath").collect()
+    assert [(r.level, r.message) for r in log] == [
+        ("WARNING", f"API call failed for file: {job}/root/fr/bad.pdf")
+    ]
+
+
+def test_ledger_lookup_reads_only_what_it_needs(spark, job):
+    status_run(spark, job)
+    done = ledgers.currently_processed(read_ledger_table(spark, str(job / "ledger")))
+    assert "ReadSchema: struct<filepath:string,status:string,run_seq:bigint>" in plan_of(done)
 
 
 def test_result_files_count_as_processed_too(spark, job):
     folder = str(job / "json")
-    status_run(spark, job, json_dir=folder)
+    status_run(spark, job, json_dir=folder, waves=2)
     entries = {r.filepath: r for r in read_ledger(spark, folder).collect()}
     assert len(entries) == 4
     assert entries[f"{job}/root/fr/bad.pdf"].status == "api_failure"
@@ -186,7 +196,8 @@ def test_ledger_folder_with_bad_files(spark, tmp_path):
     ]
     assert [r.filepath for r in ledgers.processed_paths(entries).collect()] == ["/a.pdf"]
     corrupt = {os.path.basename(r.file) for r in read_corrupt(spark, str(folder)).collect()}
-    assert corrupt == {"cut.json", "keyless.json", "list.json"}
+    # an empty file is no JSON either
+    assert corrupt == {"cut.json", "empty.json", "keyless.json", "list.json"}
 
 
 def test_keyed_files_are_replaced_in_place(spark, tmp_path):

@@ -46,6 +46,21 @@ def test_docx_marks_inside_runs():
     assert list(docx_paragraphs(docx(runs))) == ["a\tb\ncde-f\n"]
 
 
+def test_docx_main_part_by_relationship():
+    out = io.BytesIO()
+    relation = (
+        '<Relationships><Relationship Id="r1" Target="word/other.xml" '
+        'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument"/>'
+        "</Relationships>"
+    )
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("_rels/.rels", relation)
+        archive.writestr(
+            "word/other.xml", f"<w:document {W}><w:body>{BODY}</w:body></w:document>"
+        )
+    assert list(docx_paragraphs(out.getvalue())) == ["Hello W", "", "End"]
+
+
 def test_extract_from_files(spark, tmp_path):
     (tmp_path / "ok.docx").write_bytes(docx(BODY))
     (tmp_path / "bad.docx").write_bytes(b"no zip")
