@@ -164,6 +164,11 @@ EXTRACTORS = {
     PDF_SUFFIX: Extractor(line_pages, PAGES),
     DOCX_SUFFIX: Extractor(docx_paragraphs, PARAGRAPHS),
 }
+# For files that hold bare texts, whatever their suffix.
+LINE_EXTRACTORS = {
+    PDF_SUFFIX: Extractor(line_pages, PAGES),
+    DOCX_SUFFIX: Extractor(line_pages, PAGES),
+}
 
 
 def _to_bytes(batches):

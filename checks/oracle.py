@@ -62,14 +62,15 @@ SELECT doc_id, file_path, CAST(g AS INTEGER) AS page_no, p[g] AS text FROM (
 SELECT file_path, page_no, CASE WHEN (doc_id + page_no - 1) % 9 = 0 THEN ''
     WHEN (doc_id + page_no - 1) % 13 = 0 THEN NULL ELSE text END AS text
 FROM lines""",
+    "line_texts": """
+SELECT file_path, coalesce(string_agg(CASE WHEN length(text) > 0 THEN 'Page ' || page_no
+    || ' - Text Section:' || chr(10) || chr(10) || text || chr(10) || chr(10) END,
+    chr(10) ORDER BY page_no), '') AS text
+FROM lines GROUP BY file_path""",
     "texts": """
-SELECT file_path, CASE WHEN file_path LIKE '%.pdf' THEN coalesce(sections, '')
-    WHEN file_path LIKE '%.docx' THEN text || chr(10) END AS text
-FROM doc_files JOIN (
-  SELECT file_path, string_agg(CASE WHEN length(text) > 0 THEN 'Page ' || page_no
-      || ' - Text Section:' || chr(10) || chr(10) || text || chr(10) || chr(10) END,
-      chr(10) ORDER BY page_no) AS sections
-  FROM lines GROUP BY file_path) USING (file_path)""",
+SELECT file_path, CASE WHEN file_path LIKE '%.pdf' THEN l.text
+    WHEN file_path LIKE '%.docx' THEN d.text || chr(10) END AS text
+FROM doc_files d JOIN line_texts l USING (file_path)""",
     "guarded": """
 SELECT file_path,
   CASE WHEN file_path LIKE '%.pdf' OR file_path LIKE '%.docx' THEN text END AS text
@@ -103,9 +104,11 @@ FROM (
 
 _VIEWS["asked_texts"] = "SELECT * FROM texts SEMI JOIN supported USING (file_path)"
 _VIEWS["asked_left"] = "SELECT * FROM texts SEMI JOIN left_over USING (file_path)"
+_VIEWS["asked_lines"] = "SELECT * FROM line_texts SEMI JOIN supported USING (file_path)"
 _VIEWS["model_guarded"] = _model("guarded")
 _VIEWS["model_texts"] = _model("asked_texts")
 _VIEWS["model_left"] = _model("asked_left")
+_VIEWS["model_lines"] = _model("asked_lines")
 
 _NEEDS = {
     "supported": ["doc_files"],
@@ -119,13 +122,16 @@ _NEEDS = {
     "numbered": ["attempts"],
     "lines": ["doc_files"],
     "doc_pages": ["lines"],
-    "texts": ["lines"],
+    "line_texts": ["lines"],
+    "texts": ["line_texts"],
     "guarded": ["doc_files"],
     "asked_texts": ["texts", "supported"],
     "asked_left": ["texts", "left_over"],
+    "asked_lines": ["line_texts", "supported"],
     "model_guarded": ["guarded"],
     "model_texts": ["asked_texts"],
     "model_left": ["asked_left"],
+    "model_lines": ["asked_lines"],
 }
 
 
@@ -228,6 +234,11 @@ ORACLE: dict[str, str] = {
     "read_ledger": _with(
         f"SELECT * FROM ({_ledger('answered')}) WHERE status = 'success'", "answered"
     ),
+    "read_corrupt": _with(
+        "SELECT md5(file_path) || '.json' AS file, coalesce(body, '{\"filepath\": \"trunc') AS value "
+        "FROM answered WHERE outcome <> 'success'",
+        "answered",
+    ),
     "filter_supported": _LISTED,
     "unsupported_guard": _with(
         "SELECT file_path, text, CASE WHEN text IS NULL THEN 'extraction_failure' END AS outcome "
@@ -403,4 +414,12 @@ FROM (SELECT call_key, call_day, max(attempt_no) AS seen,
     "minimal_run": _with(_minimal("model_texts"), "model_texts"),
     "flags_run": _with(_flags("model_texts"), "model_texts"),
     "status_run": _with(_status("model_left"), "model_left"),
+    "resumed_run": _with(
+        _ledger(
+            "model_lines",
+            ", outcome, CAST(CASE WHEN outcome = 'success' THEN 1 ELSE 2 END AS BIGINT) AS run_seq",
+        ),
+        "model_lines",
+    ),
+    "streamed_run": _with(_ledger("model_lines", ", outcome"), "model_lines"),
 }

@@ -22,8 +22,8 @@ from docenrich.plans import runs
 from docenrich.sinks.keyed_json import write_keyed_json
 from docenrich.sinks.tables import append_ledger, preview, read_csv, write_csv
 from docenrich.sources.files import list_files, paths_df, read_bytes
-from docenrich.sources.ledger import read_ledger, read_ledger_table
-from docenrich.streaming.ingest import ingest_new
+from docenrich.sources.ledger import read_corrupt, read_ledger, read_ledger_table
+from docenrich.streaming.ingest import ingest_new, settle_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,9 +95,9 @@ def read_bytes_index(spark, sf_dir):
     )
 
 
-@query
-def read_ledger_(spark, sf_dir):
-    # files of failed documents hold the bare reply: no entry, or no JSON at all
+def _mixed_ledger(spark, sf_dir):
+    """A folder of result files. Those of failed documents hold the bare reply,
+    or half an entry where there was none: no entries, and partly no JSON."""
     rows = inputs.answered(spark, sf_dir).select(
         "outcome", "body", F.struct(*shape.shape_ledger_columns()).alias("entry")
     )
@@ -112,7 +112,18 @@ def read_ledger_(spark, sf_dir):
         ),
         folder,
     )
-    return read_ledger(spark, folder)
+    return folder
+
+
+@query
+def read_ledger_(spark, sf_dir):
+    return read_ledger(spark, _mixed_ledger(spark, sf_dir))
+
+
+@query
+def read_corrupt_(spark, sf_dir):
+    corrupt = read_corrupt(spark, _mixed_ledger(spark, sf_dir))
+    return corrupt.select(F.substring_index("file", "/", -1).alias("file"), "value")
 
 
 # --- filters ---------------------------------------------------------------
@@ -464,3 +475,34 @@ def flags_run(spark, sf_dir):
 def status_run(spark, sf_dir):
     files, earlier = inputs.doc_bytes(spark, sf_dir), inputs.ledger(spark, sf_dir)
     return runs.status_rows(files, earlier, RuleClient, inputs.EXTRACTORS, RULES)
+
+
+def _few_tasks(spark):
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+@query
+def resumed_run(spark, sf_dir):
+    """Two runs over a folder of files: the second asks about the failed ones again."""
+    root, folder = inputs.file_tree(spark, sf_dir), scratch_path(spark, "ledger")
+    for _ in range(2):
+        runs.run_status(
+            spark, root, folder, RuleClient, inputs.LINE_EXTRACTORS, RULES, _few_tasks(spark)
+        )
+    latest = ledger.latest_by_key(read_ledger_table(spark, folder)).drop("error")
+    return latest.withColumn("filepath", inputs.below(root, F.col("filepath")))
+
+
+@query
+def streamed_run(spark, sf_dir):
+    """The same folder through a stream, in one go."""
+    root, state = inputs.file_tree(spark, sf_dir), scratch_path(spark, "stream")
+    settle_new(
+        spark, root, f"{state}/checkpoint", f"{state}/ledger", RuleClient,
+        inputs.LINE_EXTRACTORS, RULES, num_partitions=_few_tasks(spark),
+    )
+    settled = read_ledger_table(spark, f"{state}/ledger")
+    return settled.select(
+        inputs.below(root, F.col("filepath")).alias("filepath"),
+        "type", "jurisdiction", "status", "outcome",
+    )
