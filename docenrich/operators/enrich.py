@@ -98,12 +98,19 @@ def enrich(
     )
 
 
-def enrich_from_replies(files: DataFrame, stored: DataFrame) -> DataFrame:
+def enrich_from_replies(
+    files: DataFrame, stored: DataFrame, order_col: str | None = None
+) -> DataFrame:
     """Answer from a table ``file_path, body`` of replies instead of a model.
 
     A file without a stored reply has failed like one the model never answered.
+    Of several replies to a path the last by ``order_col`` counts, or else the
+    greatest: each task reduces its own, so neither a path stored over and over
+    nor a file listed over and over multiplies rows.
     """
-    joined = files.join(stored.select("file_path", "body"), "file_path", "left")
+    latest = F.max(F.struct(order_col, "body"))["body"] if order_col else F.max("body")
+    by_path = stored.where(F.col("file_path").isNotNull()).groupBy("file_path")
+    joined = files.join(by_path.agg(latest.alias("body")), "file_path", "left")
     settled = F.when(F.col("body").isNull(), F.lit(API_FAILURE)).otherwise(
         _outcome_of_body(F.col("body"))
     )

@@ -169,6 +169,28 @@ def test_replies_and_layouts(spark):
         assert (path in minimal) == (expected == "success")
 
 
+def test_repeated_replies_do_not_multiply_files(spark):
+    from conftest import plan_of
+
+    files = spark.createDataFrame([("/a.pdf",), ("/a.pdf",), ("/b.pdf",)], "file_path string")
+    stored = spark.createDataFrame(
+        [("/a.pdf", '{"type":"new"}', 2), ("/a.pdf", '{"type":"old"}', 1), ("/a.pdf", None, 0),
+         (None, "{}", 9)],
+        "file_path string, body string, at int",
+    )
+    rows = sorted(tuple(r) for r in enrich_from_replies(files, stored, "at").collect())
+    assert rows == [("/a.pdf", '{"type":"new"}', "success")] * 2 + [("/b.pdf", None, "api_failure")]
+    assert enrich_from_replies(files, stored).count() == 3
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(enrich_from_replies(files, stored))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the join reuses the partitioning of the reduced replies
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_http_client(monkeypatch):
     seen = {}
 
