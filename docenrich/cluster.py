@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
@@ -35,6 +35,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Evaluate into the shared folder: later uses read, and nothing runs again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def listing_in_one_job(spark: SparkSession) -> Iterator[None]:
     """Let Spark's file index list whole subtrees per task.

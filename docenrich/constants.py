@@ -3,6 +3,7 @@
 from pyspark.sql import types as T
 
 # Result texts and tuning constants that callers rely on.
+# (FILES_PER_TASK is ours: the most files a lost task can cost.)
 DEFAULT_TYPE = "Unknown Type"
 DEFAULT_JURISDICTION = "Unknown Jurisdiction"
 PDF_SUFFIX = ".pdf"
@@ -17,6 +18,7 @@ MAX_ATTEMPTS = 5
 BACKOFF_BASE = 1.5
 WORKERS_PER_PARTITION = 10
 NUM_PARTITIONS = 200
+FILES_PER_TASK = 2000
 PREVIEW_ROWS = 20
 PREVIEW_WIDTH = 20
 

@@ -8,6 +8,7 @@ secrets never enter the plan. The factory must set a request timeout.
 
 import json
 import time
+import warnings
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -72,7 +73,10 @@ def enrich(
     the result before using it twice, and leave speculation off for that job.
     Requests in flight are at most running tasks times ``max_workers``.
     """
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get("spark.speculation", "false") == "true":
+        warnings.warn("spark.speculation repeats the calls of slow tasks", stacklevel=2)
     pending = F.col("outcome").isNull() if "outcome" in df.columns else F.lit(True)
     kept = [c for c in df.columns if c not in (text_col, "outcome", "error")]
     carried = df.select(

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docenrich.cluster import scratch_path
+from docenrich.cluster import written_once
 from docenrich.constants import LEDGER_SCHEMA, PATH_SCHEMA, WORKERS_PER_PARTITION
 from docenrich.operators.enrich import CallRules, Client, enrich
 from docenrich.operators.extract import Extractor, extract_text
@@ -22,7 +22,7 @@ from docenrich.operators.ledger import (
     skip_processed,
     union_results,
 )
-from docenrich.operators.partitions import repartitioned
+from docenrich.operators.partitions import spread_files
 from docenrich.operators.shape import (
     shape_flags,
     shape_minimal,
@@ -113,7 +113,7 @@ def run_raw(
 ) -> DataFrame:
     """Raw replies for the files directly in a folder."""
     files = list_files(spark, folder, recursive=False, include_hidden=True)
-    spread = repartitioned(files, num_partitions)
+    spread = spread_files(files, num_partitions)
     return shape_raw(written_once(settled_rows(spread, client_factory, extractors, rules)))
 
 
@@ -127,7 +127,7 @@ def run_minimal(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Write the minimal layout of a folder tree as CSV; returns the settled rows."""
-    files = repartitioned(list_files(spark, root, include_hidden=True), num_partitions)
+    files = spread_files(list_files(spark, root, include_hidden=True), num_partitions)
     settled = written_once(settled_rows(files, client_factory, extractors, rules))
     write_csv(shape_minimal(settled), csv_path)
     return settled
@@ -143,7 +143,7 @@ def run_flags(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Write the flags layout of a folder tree as CSV; returns the settled rows."""
-    files = repartitioned(list_files(spark, root, include_hidden=True), num_partitions)
+    files = spread_files(list_files(spark, root, include_hidden=True), num_partitions)
     settled = written_once(settled_rows(files, client_factory, extractors, rules))
     write_csv(shape_flags(settled), csv_path)
     return settled
@@ -187,7 +187,7 @@ def run_status(
         # by path, so that a wave means the same files if its plan runs again
         part = left.where(_wave("file_path", waves) == wave)
         if bare_listing or num_partitions is not None:
-            part = repartitioned(part, num_partitions)
+            part = spread_files(part, num_partitions)
         append_ledger(settled_rows(part, client_factory, extractors, rules), ledger_dir, run_seq)
         if json_dir is not None:
             settled = read_ledger_table(spark, ledger_dir).where(
@@ -200,11 +200,3 @@ def run_status(
 
 def _wave(path_col: str, waves: int) -> Column:
     return F.pmod(F.xxhash64(path_col), F.lit(waves))
-
-
-def written_once(df: DataFrame) -> DataFrame:
-    """Evaluate into the shared folder: later uses read, and ask nobody again."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "settled")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from docenrich.constants import PATH_SCHEMA
 from docenrich.functions.paths import plain_path
 from docenrich.operators.enrich import CallRules
 from docenrich.operators.ledger import currently_processed, next_run, skip_processed
-from docenrich.operators.partitions import repartitioned
+from docenrich.operators.partitions import spread_files
 from docenrich.plans.runs import ClientFactory, Extractors, settled_rows
 from docenrich.sinks.tables import append_ledger
 from docenrich.sources.ledger import read_ledger_table
@@ -96,7 +96,7 @@ def _settle_batch(
         ledger = read_ledger_table(batch.sparkSession, ledger_dir)
         left = skip_processed(batch, currently_processed(ledger))
         settled = settled_rows(
-            repartitioned(left, num_partitions), client_factory, extractors, rules
+            spread_files(left, num_partitions), client_factory, extractors, rules
         )
         append_ledger(settled, ledger_dir, next_run(ledger))
 

@@ -12,7 +12,8 @@ from checks import inputs
 from docenrich.operators import ledger as ledgers
 from docenrich.operators.enrich import CallRules
 from docenrich.operators.extract import PAGES, PARAGRAPHS, Extractor
-from docenrich.operators.partitions import spread_scan
+from docenrich.operators import partitions
+from docenrich.operators.partitions import repartitioned, spread_files, spread_scan
 from docenrich.operators.shape import failure_log
 from docenrich.plans import runs
 from docenrich.sinks.keyed_json import write_keyed_json
@@ -305,4 +306,16 @@ def test_only_a_narrow_scan_is_spread(spark):
     assert spread_scan(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
     wide = spark.range(0, 100, 1, 16)
     assert spread_scan(wide) is wide
-    assert runs.repartitioned(wide.select(F.col("id"))).rdd.getNumPartitions() == 200
+    assert repartitioned(wide.select(F.col("id"))).rdd.getNumPartitions() == 200
+
+
+def test_tasks_follow_the_number_of_files(spark, monkeypatch):
+    monkeypatch.setattr(partitions, "FILES_PER_TASK", 10)
+
+    def tasks(n, given=None):
+        spread = spread_files(spark.range(n).selectExpr("string(id) file_path"), given)
+        assert spread.count() == n
+        return spread.rdd.getNumPartitions()
+
+    assert (tasks(0), tasks(3), tasks(300), tasks(5000)) == (1, 3, 200, 500)
+    assert tasks(300, 7) == 7
