@@ -29,7 +29,7 @@ from docenrich.constants import (
     WORKERS_PER_PARTITION,
 )
 from docenrich.functions import replies
-from docenrich.storage import describe
+from docenrich.storage import describe, valid_text
 
 Client = Callable[[dict], tuple[int, str]]
 
@@ -170,7 +170,7 @@ def ask(client: Client, text: str | None, rules: CallRules) -> dict:
             reply["http_status"] = status
             if status == 200 or rules.any_status:
                 json.loads(body or "")
-                reply["body"], reply["call_error"] = body, None
+                reply["body"], reply["call_error"] = valid_text(body), None
                 return reply
             reply["call_error"] = f"status {status}"
             if status != 429:

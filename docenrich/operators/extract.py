@@ -180,7 +180,8 @@ def _extract_batches(
             if suffix is None:
                 raise ValueError("Unsupported file format")
             extractor = registry[suffix]
-            texts = list(extractor.read(storage.read_file(path) if content is None else content))
+            data = storage.read_file(path) if content is None else content
+            texts = [storage.valid_text(text) for text in extractor.read(data)]
         except Exception as problem:  # noqa: BLE001 - one bad file must not fail the job
             row["error"] = storage.describe(problem)
             return row, 0

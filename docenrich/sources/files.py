@@ -49,7 +49,7 @@ def list_files(
     ``include_hidden`` adds files whose name, or a folder on the way to them,
     starts with ``_`` or ``.``. With ``use_index`` Spark's own file index does
     the listing: it knows every storage scheme Spark knows, never shows hidden
-    files, and holds all file statuses on the driver.
+    or empty files, and holds all file statuses on the driver.
     """
     if use_index:
         return _binary_files(spark, root, recursive).select(
@@ -99,9 +99,9 @@ def walk_files(
 ) -> DataFrame:
     """``file_path`` of every file of a folder (tree); no rows for a missing one.
 
-    The tree is listed now, in rounds. A task lists its folders and what lies below them
-    up to a number of entries; folders it does not get to are spread over all
-    tasks in the next round, so one big subtree does not stay with one task.
+    The tree is listed now, in rounds. A task lists its folders and what lies
+    below them up to a number of entries; folders it does not get to are spread
+    over all tasks in the next round, so one big subtree does not stay with one.
 
     Each round is written to the shared folder: nothing is listed twice, and a
     lost executor costs only its own tasks. The driver learns a count.
@@ -146,9 +146,9 @@ def _list_folders(
                         if descend:
                             folders.append(path)
                         else:
-                            yield {"path": path, "descend": False}, len(path)
+                            yield {"path": storage.valid_text(path), "descend": False}, len(path)
                 for path in folders:
-                    yield {"path": path, "descend": True}, len(path)
+                    yield {"path": storage.valid_text(path), "descend": True}, len(path)
 
     return storage.arrow_batches(rows(), pa.schema([("path", pa.string()), ("descend", pa.bool_())]))
 

@@ -4,12 +4,16 @@ Plain paths and ``file:`` URIs use the operating system; any other scheme goes
 through ``pyarrow.fs``.
 """
 
+import functools
 import os
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 
+# Hadoop's names for a scheme that pyarrow knows by another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 _BATCH_ROWS = 2000
 _BATCH_BYTES = 8 << 20
 
@@ -21,10 +25,25 @@ def local_path(path: str) -> str | None:
     return None if "://" in path else path
 
 
-def _remote(path: str):
-    from pyarrow import fs
+@functools.lru_cache(maxsize=64)
+def _filesystem(base: str) -> tuple[fs.FileSystem, str]:
+    """File system of ``scheme://authority`` and what its own paths start with."""
+    scheme, authority = base.split("://", 1)
+    filesystem, start = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{authority}/")
+    return filesystem, start if start in ("", "/") else start.rstrip("/") + "/"
 
-    return fs.FileSystem.from_uri(path)
+
+def _remote(path: str) -> tuple[fs.FileSystem, str, str]:
+    """File system, its own path, and the text to replace that path's start by.
+
+    Only scheme and authority are parsed as a URI: names may hold blanks and
+    per cent signs that mean themselves.
+    """
+    scheme, rest = path.split("://", 1)
+    authority, _, key = rest.partition("/")
+    base = f"{scheme}://{authority}"
+    filesystem, start = _filesystem(base)
+    return filesystem, start + key, start
 
 
 def read_file(path: str) -> bytes:
@@ -32,7 +51,7 @@ def read_file(path: str) -> bytes:
     if local is not None:
         with open(local, "rb") as handle:
             return handle.read()
-    filesystem, name = _remote(path)
+    filesystem, name, _ = _remote(path)
     with filesystem.open_input_stream(name) as handle:
         return handle.read()
 
@@ -49,7 +68,7 @@ def replace_file(path: str, data: bytes) -> None:
         os.replace(partial, local)
         return
     # object stores publish an object only when the stream is closed
-    filesystem, name = _remote(path)
+    filesystem, name, _ = _remote(path)
     with filesystem.open_output_stream(name) as handle:
         handle.write(data)
 
@@ -58,7 +77,8 @@ def list_folder(folder: str) -> Iterator[tuple[str, bool]]:
     """(path, descend) for each entry: True for a folder, False for a file.
 
     A missing or unreadable folder has no entries. Links to folders are not
-    followed.
+    followed. Mounted folders are read entry by entry; a remote one arrives as
+    one list, so huge flat ones are better listed by Spark's own index.
     """
     local = local_path(folder)
     if local is not None:
@@ -73,15 +93,11 @@ def list_folder(folder: str) -> Iterator[tuple[str, bool]]:
                 elif not entry.is_symlink():
                     yield entry.path, True
         return
-    from pyarrow import fs
-
-    filesystem, name = _remote(folder)
-    scheme = folder.split("://", 1)[0] + "://"
-    authority = folder[len(scheme):].split("/", 1)[0]
-    prefix = scheme if name.startswith(authority) else scheme + authority
+    filesystem, name, start = _remote(folder)
+    base = folder[: len(folder) - len(name.removeprefix(start))]
     selector = fs.FileSelector(name, allow_not_found=True, recursive=False)
     for info in filesystem.get_file_info(selector):
-        yield prefix + info.path, info.type == fs.FileType.Directory
+        yield base + info.path.removeprefix(start), info.type == fs.FileType.Directory
 
 
 def arrow_batches(
@@ -100,6 +116,13 @@ def arrow_batches(
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+def valid_text(text: str | None) -> str | None:
+    """The text as UTF-8 can carry it: half characters become question marks."""
+    if text is None or text.isascii():
+        return text
+    return text.encode("utf-8", "replace").decode()
+
+
 def describe(problem: Exception) -> str:
     """The message of an exception, or its name if it has none."""
-    return str(problem) or type(problem).__name__
+    return valid_text(str(problem)) or type(problem).__name__

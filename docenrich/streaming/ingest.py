@@ -19,7 +19,10 @@ _BINARY_FILE = "path string, modificationTime timestamp, length long, content bi
 
 
 def new_files(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of ``file_path, modified, length``; the content is never read."""
+    """Stream of ``file_path, modified, length``; the content is never read.
+
+    Spark's file source leaves out hidden and empty files.
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)

@@ -59,6 +59,11 @@ def test_nothing_to_list(spark, tmp_path, use_index, recursive):
         assert found.count() == 0
 
 
+def test_empty_files_are_files(spark, tmp_path):
+    (tmp_path / "empty.pdf").touch()
+    assert listed(files.list_files(spark, str(tmp_path)), tmp_path) == ["empty.pdf"]
+
+
 def test_links_to_folders_are_not_followed(spark, tmp_path):
     root = make(tmp_path, ["a/x.pdf"])
     os.symlink(tmp_path / "a", tmp_path / "loop")
@@ -101,6 +106,29 @@ def test_paths_df(spark):
     assert [r.file_path for r in files.paths_df(spark, table).collect()] == ["/a.pdf"]
 
 
+def test_remote_schemes_take_names_literally():
+    from docenrich import storage
+
+    root = "mock://store/a"
+    for name in ("x y%20.pdf", "sub/é.docx"):
+        storage._remote(root)[0].create_dir(f"a/{name}".rpartition("/")[0])
+        storage.replace_file(f"{root}/{name}", name.encode())
+        assert storage.read_file(f"{root}/{name}") == name.encode()
+    assert sorted(storage.list_folder(root)) == [
+        (f"{root}/sub", True), (f"{root}/x y%20.pdf", False),
+    ]
+    assert list(storage.list_folder(f"{root}/sub")) == [(f"{root}/sub/é.docx", False)]
+    assert list(storage.list_folder(f"{root}/none")) == []
+
+
+def test_names_that_are_no_text_do_not_break_the_listing(spark, tmp_path):
+    with open(os.path.join(os.fsencode(tmp_path), b"\xff.pdf"), "w") as handle:
+        handle.write("x")
+    (tmp_path / "a.pdf").write_text("x")
+    names = listed(files.list_files(spark, str(tmp_path)), tmp_path)
+    assert len(names) == 2 and "a.pdf" in names
+
+
 def test_listing_reads_no_content(spark, tmp_path):
     from conftest import plan_of
 

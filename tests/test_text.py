@@ -101,6 +101,12 @@ def test_missing_unsupported_and_libraryless_files(spark, tmp_path):
     assert {r.outcome for r in rows} == {"extraction_failure"}
 
 
+def test_half_characters_do_not_fail_the_job(spark):
+    broken = {".pdf": Extractor(lambda content: ["a\ud800b", "é"], PARAGRAPHS)}
+    files = spark.createDataFrame([("/a.pdf", bytearray(b"x"))], "file_path string, content binary")
+    assert extract_text(files, broken).first().text == "a?b\né\n"
+
+
 def test_file_without_parts_has_empty_text(spark):
     nothing = {".pdf": Extractor(lambda content: [], PAGES)}
     files = spark.createDataFrame([("/a.pdf", bytearray(b"x"))], "file_path string, content binary")
