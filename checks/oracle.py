@@ -210,7 +210,9 @@ def _ledger(source: str, more: str = "") -> str:
 
 _LISTED = _with("SELECT file_path FROM supported", "supported")
 _BYTES = _with(
-    "SELECT file_path, strlen(text) AS n_bytes, md5(text) AS digest FROM supported", "supported"
+    "SELECT file_path, CAST(strlen(text) AS INTEGER) AS n_bytes, md5(text) AS digest "
+    "FROM supported",
+    "supported",
 )
 _STEM = "regexp_replace(regexp_extract(file_path, '[^/]*$'), '^(.+)\\.[^.]+$', '\\1') || '.json'"
 
@@ -235,7 +237,8 @@ ORACLE: dict[str, str] = {
         f"SELECT * FROM ({_ledger('answered')}) WHERE status = 'success'", "answered"
     ),
     "read_corrupt": _with(
-        "SELECT md5(file_path) || '.json' AS file, coalesce(body, '{\"filepath\": \"trunc') AS value "
+        "SELECT md5(file_path) || '.json' AS file, "
+        "coalesce(body, '{\"filepath\": \"trunc') AS value "
         "FROM answered WHERE outcome <> 'success'",
         "answered",
     ),
@@ -304,7 +307,7 @@ ORACLE: dict[str, str] = {
         "attempts",
     ),
     "resolve_attempts": _with(
-        """SELECT call_key, call_day, coalesce(decided_at, seen) AS attempts,
+        """SELECT call_key, call_day, CAST(coalesce(decided_at, seen) AS INTEGER) AS attempts,
   decision AS http_status,
   CASE WHEN decided_at IS NULL AND seen < 5 THEN
       list_sum(list_transform(generate_series(1, seen), lambda k: pow(1.5, k)))
@@ -320,7 +323,8 @@ FROM (SELECT call_key, call_day, max(attempt_no) AS seen,
         "numbered",
     ),
     "backoff_schedule": _with(
-        "SELECT event_id, attempt_no, pow(1.5, attempt_no) AS wait_s, "
+        "SELECT event_id, CAST(attempt_no AS INTEGER) AS attempt_no, "
+        "pow(1.5, attempt_no) AS wait_s, "
         "CAST(19.78125 AS DOUBLE) AS total_s FROM numbered",
         "numbered",
     ),
@@ -381,7 +385,9 @@ FROM (SELECT call_key, call_day, max(attempt_no) AS seen,
         + f" FROM (SELECT * FROM ({_status('answered')}) ORDER BY filepath LIMIT 20)",
         "answered",
     ),
-    "key_md5": _with("SELECT file_path, md5(file_path) || '.json' AS key FROM doc_files", "doc_files"),
+    "key_md5": _with(
+        "SELECT file_path, md5(file_path) || '.json' AS key FROM doc_files", "doc_files"
+    ),
     "key_stem": _with(f"SELECT file_path, {_STEM} AS key FROM doc_files", "doc_files"),
     "path_join": _with(
         f"SELECT file_path, '/out/' || lang || '/' || {_STEM} AS target FROM doc_files",

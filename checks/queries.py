@@ -386,7 +386,8 @@ def path_join(spark, sf_dir):
 @query
 def to_json_row(spark, sf_dir):
     rows = shape.shape_status(inputs.answered(spark, sf_dir))
-    return rows.select("filepath", replies.to_json_row(*[F.col(c) for c in rows.columns]).alias("json"))
+    row = replies.to_json_row(*[F.col(c) for c in rows.columns])
+    return rows.select("filepath", row.alias("json"))
 
 
 # --- sinks -----------------------------------------------------------------

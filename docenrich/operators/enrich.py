@@ -34,7 +34,8 @@ from docenrich.storage import describe, valid_text
 Client = Callable[[dict], tuple[int, str]]
 
 _REPLY_TYPES = (
-    "http_status int, body string, attempts int, waited_s double, crashed boolean, call_error string"
+    "http_status int, body string, attempts int, waited_s double, "
+    "crashed boolean, call_error string"
 )
 _REPLY_FIELDS = [
     ("http_status", pa.int32()),

@@ -163,8 +163,9 @@ def run_status(
     """Ask about the files no earlier run has finished; add them to the ledger.
 
     ``root`` is a folder tree or a DataFrame with ``file_path`` (and maybe
-    ``content``, which is shuffled only if ``num_partitions`` asks for it). With ``json_dir`` earlier successes are looked up in that
-    folder of result files too, and the new results written there as well.
+    ``content``, which is shuffled only if ``num_partitions`` asks for it).
+    With ``json_dir`` earlier successes are looked up in that folder of result
+    files too, and the new results written there as well.
     The files are settled in ``waves``, each committed to the ledger before the
     next: a run that breaks off and is started again repeats one wave's calls.
     Returns ``filepath, type, jurisdiction, status`` of this run's files.

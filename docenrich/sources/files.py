@@ -150,7 +150,9 @@ def _list_folders(
                 for path in folders:
                     yield {"path": storage.valid_text(path), "descend": True}, len(path)
 
-    return storage.arrow_batches(rows(), pa.schema([("path", pa.string()), ("descend", pa.bool_())]))
+    return storage.arrow_batches(
+        rows(), pa.schema([("path", pa.string()), ("descend", pa.bool_())])
+    )
 
 
 def _read_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,8 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     left out (see ``read_corrupt``). A missing folder is an empty ledger.
     """
     files = _json_files(spark, folder)
-    return files.where(_is_entry()).select(F.from_json("value", LEDGER_SCHEMA).alias("e")).select("e.*")
+    entry = F.from_json("value", LEDGER_SCHEMA).alias("entry")
+    return files.where(_is_entry()).select(entry).select("entry.*")
 
 
 def read_corrupt(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,6 +46,7 @@ def _json_files(spark: SparkSession, folder: str) -> DataFrame:
     be very many; the executors list and read them."""
     listed = walk_files(spark, folder, recursive=False, include_hidden=True)
     names = spread_scan(listed.where(F.col("file_path").endswith(".json")))
+    text = F.try_validate_utf8(F.col("content").cast("string"))
     return read_bytes(spark, names).select(
-        F.col("file_path").alias("file"), F.try_validate_utf8(F.col("content").cast("string")).alias("value")
+        F.col("file_path").alias("file"), text.alias("value")
     )
