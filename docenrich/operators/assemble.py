@@ -2,9 +2,9 @@
 
 A document may have any number of parts. Those beyond the first block are
 joined block by block, spread over all tasks, before they meet; the first
-block, which for nearly all documents is the whole text, is grouped by file
-and shuffled once. Both sides of the final join are already partitioned by
-file, so the join adds no shuffle.
+block, which for nearly all documents is the whole text, is shuffled once, by
+file. Tails are few, so their join is a broadcast as soon as Spark sees their
+size, and otherwise needs no further shuffle: both sides lie by file already.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -39,28 +39,27 @@ def _join_parts(
     df: DataFrame, path_col: str, no: Column, piece: Column, separator: str
 ) -> DataFrame:
     rows = df.select(F.col(path_col).alias("file_path"), no.alias("part_no"), piece.alias("piece"))
-    joined = f"listagg(piece, '{_quoted(separator)}') WITHIN GROUP (ORDER BY part_no)"
+    in_head = F.coalesce(F.col("part_no") <= BLOCK_PARTS, F.lit(True))
+    # later parts add nothing to the head but the document itself, which may
+    # have no earlier ones
     head = (
-        rows.where(F.col("part_no") <= BLOCK_PARTS)
+        rows.withColumn("piece", F.when(in_head, F.col("piece")))
         .groupBy("file_path")
-        .agg(F.expr(joined).alias("head"))
+        .agg(_joined("part_no", separator).alias("head"))
     )
     tail = (
-        rows.where(F.col("part_no") > BLOCK_PARTS)
+        rows.where(~in_head)
         .groupBy("file_path", F.floor((F.col("part_no") - 1) / BLOCK_PARTS).alias("block"))
-        .agg(F.expr(joined).alias("piece"))
+        .agg(_joined("part_no", separator).alias("piece"))
         .groupBy("file_path")
-        .agg(
-            F.expr(
-                f"listagg(piece, '{_quoted(separator)}') WITHIN GROUP (ORDER BY block)"
-            ).alias("tail")
-        )
+        .agg(_joined("block", separator).alias("tail"))
     )
     # concat_ws leaves out a side that is missing or holds no text at all
-    return head.join(tail, "file_path", "full_outer").select(
+    return head.join(tail, "file_path", "left").select(
         "file_path", F.concat_ws(separator, "head", "tail").alias("text")
     )
 
 
-def _quoted(separator: str) -> str:
-    return separator.replace("\n", "\\n")
+def _joined(order: str, separator: str) -> Column:
+    literal = separator.replace("\n", "\\n")
+    return F.expr(f"listagg(piece, '{literal}') WITHIN GROUP (ORDER BY {order})")

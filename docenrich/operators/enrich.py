@@ -200,7 +200,7 @@ def _call_batches(
 ) -> Iterator[pa.RecordBatch]:
     # A few slices are in flight at once, so a text that backs off for long
     # holds up neither the pool nor more than these slices in memory.
-    slice_rows, slices_ahead = max_workers * 4, 4
+    slice_rows, slices_ahead = max_workers * 4, 8
     client = client_factory()
     waiting: deque[tuple[pa.RecordBatch, list[Future]]] = deque()
     try:
