@@ -17,8 +17,9 @@ from docenrich.operators.partitions import repartitioned, spread_files, spread_s
 from docenrich.operators.shape import failure_log
 from docenrich.plans import runs
 from docenrich.sinks.keyed_json import write_keyed_json
-from docenrich.sinks.tables import preview, read_csv, write_csv
+from docenrich.sinks.tables import append_ledger, preview, read_csv, write_csv
 from docenrich.sources.ledger import read_corrupt, read_ledger, read_ledger_table
+from docenrich.streaming import ingest
 from docenrich.streaming.ingest import ingest_new, settle_new
 
 EXTRACTORS = {
@@ -319,3 +320,45 @@ def test_tasks_follow_the_number_of_files(spark, monkeypatch):
 
     assert (tasks(0), tasks(3), tasks(300), tasks(5000)) == (1, 3, 200, 500)
     assert tasks(300, 7) == 7
+
+
+def test_a_run_that_breaks_off_repeats_no_committed_wave(spark, job, monkeypatch):
+    os.remove(job / "calls" / "broken")
+    waves_done = []
+
+    def breaks_after_two(df, folder, run_seq):
+        if len(waves_done) == 2:
+            raise RuntimeError("driver lost")
+        append_ledger(df, folder, run_seq)
+        waves_done.append(run_seq)
+
+    monkeypatch.setattr(runs, "append_ledger", breaks_after_two)
+    with pytest.raises(RuntimeError):
+        status_run(spark, job, waves=4)
+    committed = {r.filepath for r in read_ledger_table(spark, str(job / "ledger")).collect()}
+    assert calls(job) == len(committed)
+    monkeypatch.setattr(runs, "append_ledger", append_ledger)
+    rest = status_run(spark, job, waves=4)
+    assert len(rest) == 4 - len(committed)
+    assert calls(job) == 4
+
+
+def test_a_repeated_batch_asks_nobody_again(spark, job, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    os.remove(job / "calls" / "broken")
+    args = (spark, str(job / "root"), str(job / "checkpoint"), str(job / "ledger"), factory(job),
+            EXTRACTORS, RULES)
+
+    def breaks_after_writing(df, folder, run_seq):
+        append_ledger(df, folder, run_seq)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(ingest, "append_ledger", breaks_after_writing)
+    with pytest.raises(StreamingQueryException):
+        settle_new(*args, num_partitions=2)
+    assert calls(job) == 3
+    monkeypatch.setattr(ingest, "append_ledger", append_ledger)
+    settle_new(*args, num_partitions=2)
+    assert calls(job) == 3
+    assert read_ledger_table(spark, str(job / "ledger")).count() == 3
