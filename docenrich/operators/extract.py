@@ -173,15 +173,16 @@ def explode_pages(
 def _extract_batches(
     batches: Iterator[pa.RecordBatch], registry: Mapping[str, Extractor]
 ) -> Iterator[pa.RecordBatch]:
-    def one(path: str, content: bytes | None) -> tuple[dict, int]:
+    def extractor_of(path: str | None) -> Extractor | None:
+        return next((x for suffix, x in registry.items() if (path or "").endswith(suffix)), None)
+
+    def one(path: str | None, content: Callable[[], bytes]) -> tuple[dict, int]:
         row = {"file_path": path, "style": None, "parts": None, "error": None}
         try:
-            suffix = next((s for s in registry if path.endswith(s)), None)
-            if suffix is None:
+            extractor = extractor_of(path)
+            if extractor is None:
                 raise ValueError("Unsupported file format")
-            extractor = registry[suffix]
-            data = storage.read_file(path) if content is None else content
-            texts = [storage.valid_text(text) for text in extractor.read(data)]
+            texts = [storage.valid_text(text) for text in extractor.read(content())]
         except Exception as problem:  # noqa: BLE001 - one bad file must not fail the job
             row["error"] = storage.describe(problem)
             return row, 0
@@ -191,8 +192,16 @@ def _extract_batches(
 
     def rows() -> Iterator[tuple[dict, int]]:
         for batch in batches:
-            has_content = "content" in batch.schema.names
-            for at, path in enumerate(batch.column("file_path").to_pylist()):
-                yield one(path, batch.column("content")[at].as_py() if has_content else None)
+            paths = batch.column("file_path").to_pylist()
+            if "content" in batch.schema.names:
+                for path, content in zip(paths, batch.column("content")):
+                    yield one(path, content.as_py)
+            else:
+                known = [path for path in paths if extractor_of(path) is not None]
+                for path, coming in storage.read_ahead(known):
+                    yield one(path, coming.result)
+                for path in paths:
+                    if extractor_of(path) is None:
+                        yield one(path, bytes)
 
     return storage.arrow_batches(rows(), _ARROW_SCHEMA)

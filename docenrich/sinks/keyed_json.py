@@ -7,6 +7,7 @@ has settled stays settled, and a task that runs again replaces its own files.
 
 import json
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from docenrich import storage
 from docenrich.cluster import ship_package
+from docenrich.constants import WORKERS_PER_PARTITION
 from docenrich.functions.paths import key_md5
 
 _KEY = "result_file"
@@ -42,12 +44,15 @@ class _KeyedJsonWriter(DataSourceArrowWriter):
         self.folder = folder.rstrip("/")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        def write_one(row: dict) -> int:
+            name = row.pop(_KEY)
+            storage.replace_file(f"{self.folder}/{name}", json.dumps(row).encode())
+            return 1
+
         files = 0
-        for batch in iterator:
-            for row in batch.to_pylist():
-                name = row.pop(_KEY)
-                storage.replace_file(f"{self.folder}/{name}", json.dumps(row).encode())
-                files += 1
+        with ThreadPoolExecutor(WORKERS_PER_PARTITION) as pool:
+            for batch in iterator:
+                files += sum(pool.map(write_one, batch.to_pylist()))
         return _Written(files)
 
 

@@ -156,14 +156,15 @@ def _list_folders(
 
 
 def _read_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    paths = (path for batch in batches for path in batch.column("file_path").to_pylist())
+
     def rows() -> Iterator[tuple[dict, int]]:
-        for batch in batches:
-            for path in batch.column("file_path").to_pylist():
-                try:
-                    content = storage.read_file(path)
-                except OSError:
-                    content = None
-                yield {"file_path": path, "content": content}, len(content or b"")
+        for path, coming in storage.read_ahead(paths):
+            try:
+                content = coming.result()
+            except OSError:
+                content = None
+            yield {"file_path": path, "content": content}, len(content or b"")
 
     return storage.arrow_batches(
         rows(), pa.schema([("file_path", pa.string()), ("content", pa.binary())])

@@ -7,11 +7,15 @@ through ``pyarrow.fs``.
 import functools
 import os
 import uuid
+from collections import deque
 from collections.abc import Iterable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pyarrow as pa
 from pyarrow import fs
 
+from docenrich.constants import WORKERS_PER_PARTITION
+
 # Hadoop's names for a scheme that pyarrow knows by another one.
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 _BATCH_ROWS = 2000
@@ -56,6 +60,19 @@ def read_file(path: str) -> bytes:
         return handle.read()
 
 
+def read_ahead(paths: Iterable[str]) -> Iterator[tuple[str, Future]]:
+    """Paths in order, each with its bytes to come: the next few files are read
+    while one is being worked on."""
+    waiting: deque[tuple[str, Future]] = deque()
+    with ThreadPoolExecutor(WORKERS_PER_PARTITION) as pool:
+        for path in paths:
+            waiting.append((path, pool.submit(read_file, path)))
+            if len(waiting) >= WORKERS_PER_PARTITION:
+                yield waiting.popleft()
+        while waiting:
+            yield waiting.popleft()
+
+
 def replace_file(path: str, data: bytes) -> None:
     """Write a whole file so that readers see the old one or the new one."""
     local = local_path(path)
