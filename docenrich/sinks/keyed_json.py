@@ -31,7 +31,7 @@ class KeyedJsonSource(DataSource):
         return "keyed_json"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _KeyedJsonWriter(self.options["path"])
+        return _KeyedJsonWriter(self.options["path"], int(self.options["workers"]))
 
 
 @dataclass
@@ -40,30 +40,39 @@ class _Written(WriterCommitMessage):
 
 
 class _KeyedJsonWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, workers: int):
         self.folder = folder.rstrip("/")
+        self.workers = workers
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        def write_one(row: dict) -> int:
-            name = row.pop(_KEY)
-            storage.replace_file(f"{self.folder}/{name}", json.dumps(row).encode())
-            return 1
+        def write_some(rows: list[dict]) -> int:
+            for row in rows:
+                name = row.pop(_KEY)
+                storage.replace_file(f"{self.folder}/{name}", json.dumps(row).encode())
+            return len(rows)
 
         files = 0
-        with ThreadPoolExecutor(WORKERS_PER_PARTITION) as pool:
+        with ThreadPoolExecutor(self.workers) as pool:
             for batch in iterator:
-                files += sum(pool.map(write_one, batch.to_pylist()))
+                rows = batch.to_pylist()
+                shares = [rows[n :: self.workers] for n in range(self.workers)]
+                files += sum(pool.map(write_some, shares))
         return _Written(files)
 
 
-def write_keyed_json(df: DataFrame, folder: str) -> None:
+def write_keyed_json(df: DataFrame, folder: str, workers: int | None = None) -> None:
     """Write each row of a ledger layout to ``folder/md5(filepath).json``.
 
     An entry already there is replaced. With several rows for one path, reduce
-    them first (``latest_by_key``).
+    them first (``latest_by_key``). A task writes to remote storage with several
+    workers, which hides its latency, and to a plain path with one, which is
+    faster on a disk; give ``workers`` for a mounted remote store.
     """
+    if workers is None:
+        workers = 1 if storage.local_path(folder) else WORKERS_PER_PARTITION
     spark = df.sparkSession
     ship_package(spark)
     spark.dataSource.register(KeyedJsonSource)
     rows = df.select("*", key_md5(F.col("filepath")).alias(_KEY))
-    rows.write.format("keyed_json").mode("append").option("path", folder).save()
+    writer = rows.write.format("keyed_json").mode("append")
+    writer.option("path", folder).option("workers", str(workers)).save()

@@ -77,10 +77,15 @@ def replace_file(path: str, data: bytes) -> None:
     """Write a whole file so that readers see the old one or the new one."""
     local = local_path(path)
     if local is not None:
-        os.makedirs(os.path.dirname(local), exist_ok=True)
+        folder = os.path.dirname(local)
         # the leading dot keeps half-written files out of every listing
-        partial = os.path.join(os.path.dirname(local), f".{uuid.uuid4().hex}.part")
-        with open(partial, "wb") as handle:
+        partial = os.path.join(folder, f".{uuid.uuid4().hex}.part")
+        try:
+            handle = open(partial, "wb")
+        except FileNotFoundError:
+            os.makedirs(folder, exist_ok=True)
+            handle = open(partial, "wb")
+        with handle:
             handle.write(data)
         os.replace(partial, local)
         return

@@ -205,11 +205,11 @@ def test_ledger_folder_with_bad_files(spark, tmp_path):
 def test_keyed_files_are_replaced_in_place(spark, tmp_path):
     schema = "filepath string, type string, jurisdiction string, status string"
     folder = str(tmp_path / "out")
-    for status in ("error", "success"):
+    for status, workers in (("error", None), ("success", 4)):
         rows = spark.createDataFrame(
             [("/a.pdf", None, "x\n", status), ("/b/a.pdf", "t", "é", status)], schema
         )
-        write_keyed_json(rows, folder)
+        write_keyed_json(rows, folder, workers)
     assert len(os.listdir(folder)) == 2
     back = sorted(tuple(r) for r in read_ledger(spark, folder).collect())
     assert back == [("/a.pdf", None, "x\n", "success"), ("/b/a.pdf", "t", "é", "success")]
