@@ -72,13 +72,15 @@ def learn_profiles(
 
     Learns from about ``sample_texts`` texts of each language, chosen by the
     hash of the text. Rows without language or text are left out. What reaches
-    the driver are ``top`` numbers for each language.
+    the driver are a count and ``top`` numbers for each language.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), clean_text(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").agg((sample_texts / F.count("*")).alias("rate"))
+    counts = rows.groupBy("lang").count().collect()
+    # one number for each language, so that no text has to move
+    rates = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], sample_texts / r["count"])])
     share = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)
-    chosen = rows.join(counts, "lang").where(share < F.col("rate")).select("lang", "text")
+    chosen = rows.where(share < F.element_at(rates, F.col("lang"))) if counts else rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
