@@ -11,6 +11,8 @@ a part.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,27 +102,38 @@ def _sampled(terms: Column) -> Column:
     return F.filter(terms, lambda t: t.bitwiseAND(F.lit(LEXICON_ONE_IN - 1)) == 0)
 
 
+def subset_mask(term: Column) -> Column:
+    """A bit for each subset of the lexicon, set where the subset keeps the term."""
+    bits = [
+        F.when(
+            F.xxhash64(term, F.lit(j)).bitwiseAND(F.lit((2 << j % LEVELS) - 1)) == 0, F.lit(1 << j)
+        ).otherwise(F.lit(0)).cast("long")
+        for j in range(SUBSETS)
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
 def subset_hashes(terms: Column, otherwise: Column) -> Column:
     """One 32-bit hash for each subset of the lexicon; 0 where the text has no term of it.
 
-    ``terms`` are the text's lexicon terms. A text with none is hashed by
-    ``otherwise``, the hash of all its terms.
+    ``terms`` are the text's sorted lexicon terms with their masks. A text with none is
+    hashed by ``otherwise``, the hash of all its terms.
     """
-    ordered = F.array_sort(terms)
-
-    def one(j: Column) -> Column:
-        mask = F.call_function("shiftleft", F.lit(1), (j % LEVELS + 1).cast("int")) - 1
-        kept = F.filter(ordered, lambda t: F.xxhash64(t, j).bitwiseAND(mask.cast("long")) == 0)
-        return F.when(F.size(kept) == 0, F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64(kept, j), F.lit((1 << 32) - 1)) + 1
-        )
-
-    subsets = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    return F.when(F.size(terms) > 0, F.transform(subsets, one)).otherwise(
-        F.transform(subsets, lambda j: F.pmod(F.xxhash64(otherwise, j), F.lit((1 << 32) - 1)) + 1)
+
+    def one(j: int) -> Column:
+        kept = F.filter(terms, lambda t: t["mask"].bitwiseAND(F.lit(1 << j)) != 0)["term"]
+        return F.when(F.size(kept) == 0, F.lit(0).cast("long")).otherwise(_short(F.xxhash64(kept, F.lit(j))))
+
+    return F.when(F.size(terms) > 0, F.array(*[one(j) for j in range(SUBSETS)])).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda j: _short(F.xxhash64(otherwise, j)))
     )
 
 
+def _short(value: Column) -> Column:
+    """From 1 to 2 ** 32 - 1."""
+    return F.pmod(value, F.lit((1 << 32) - 1)) + 1
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets that either text has terms of."""
     pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
@@ -146,64 +159,65 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     texts = with_next(docs, id_col, text_col).withColumn(
         "edited", edited_text(F.col("text"), F.col("next_text"))
     )
-    base = work.save(
+    both = work.save(
         texts.select(
             "doc_id",
             F.char_length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             F.unhex(F.md5("text")).alias("key"),
             F.unhex(F.md5("next_text")).alias("next_key"),
-            term_hashes(F.col("text")).alias("terms"),
-            term_hashes(F.col("edited")).alias("edited_terms"),
+            term_hashes(F.col("text")).alias("all_terms"),
+            term_hashes(F.col("edited")).alias("all_edited"),
         ).select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id", "n_chars", "edited_sha256", "key", "next_key",
-            _sampled(F.col("terms")).alias("terms"),
-            _sampled(F.col("edited_terms")).alias("edited_terms"),
-            F.xxhash64(F.array_sort("terms")).alias("all_terms"),
-            F.xxhash64(F.array_sort("edited_terms")).alias("edited_all_terms"),
+            _sampled(F.col("all_terms")).alias("terms"),
+            _sampled(F.col("all_edited")).alias("edited_terms"),
+            F.xxhash64(F.array_sort("all_terms")).alias("all_terms"),
+            F.xxhash64(F.array_sort("all_edited")).alias("all_edited"),
         ),
         "texts",
     )
-    n = base.count()
+    n = both.count()
     lexicon = (
-        base.select(F.explode("terms").alias("term"))
+        both.select(F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("df"))
         .where((F.col("df") >= MIN_DF) & (F.col("df") <= max(MIN_DF, n * MAX_DF_SHARE)))
     )
-    lexicon = work.save(lexicon.select("term"), "lexicon")
+    lexicon = work.save(lexicon.select("term", subset_mask(F.col("term")).alias("mask")), "lexicon")
     # a term that both texts have travels once: 1 the text, 2 the edited one, 3 both
-    uses = base.select(
+    of = lambda terms, who: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(who).cast("byte").alias("of")))
+    uses = both.select(
         "row",
-        F.explode(
+        F.inline(
             F.concat(
-                F.transform(F.array_except("terms", "edited_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("of"))),
-                F.transform(F.array_except("edited_terms", "terms"), lambda t: F.struct(t.alias("term"), F.lit(2).alias("of"))),
-                F.transform(F.array_intersect("terms", "edited_terms"), lambda t: F.struct(t.alias("term"), F.lit(3).alias("of"))),
+                of(F.array_except("terms", "edited_terms"), 1),
+                of(F.array_except("edited_terms", "terms"), 2),
+                of(F.array_intersect("terms", "edited_terms"), 3),
             )
-        ).alias("use"),
-    ).select("row", "use.term", F.col("use.of").cast("byte").alias("of"))
-    kept = (
-        uses.join(lexicon, "term", "left_semi")
-        .groupBy("row")
-        .agg(
-            F.collect_list(F.when(F.col("of") != 2, F.col("term"))).alias("own"),
-            F.collect_list(F.when(F.col("of") != 1, F.col("term"))).alias("edit"),
-        )
+        ),
     )
-    none = F.array().cast("array<long>")
+    met = uses.join(lexicon, "term").select("row", "of", F.struct("term", "mask").alias("use"))
+    kept = work.save(
+        met.groupBy("row").agg(
+            F.collect_list(F.when(F.col("of") != 2, F.col("use"))).alias("own"),
+            F.collect_list(F.when(F.col("of") != 1, F.col("use"))).alias("edit"),
+        ).select("row", *[F.array_sort(c).alias(c) for c in ("own", "edit")]),
+        "kept",
+    )
+    none = F.array().cast("array<struct<term:long,mask:long>>")
     prints = work.save(
-        base.drop("terms", "edited_terms")
+        both.drop("terms", "edited_terms")
         .join(kept, "row", "left")
         .select(
             "doc_id", "n_chars", "edited_sha256", "key", "next_key",
             subset_hashes(F.coalesce("own", none), F.col("all_terms")).alias("hashes"),
-            subset_hashes(F.coalesce("edit", none), F.col("edited_all_terms")).alias("edited_hashes"),
+            subset_hashes(F.coalesce("edit", none), F.col("all_edited")).alias("edited_hashes"),
         ),
         "prints",
     )
-    work.drop(base, lexicon)
+    work.drop(both, lexicon, kept)
     following = prints.select(F.col("key").alias("next_key"), F.col("hashes").alias("next_hashes"))
     following = following.dropDuplicates(["next_key"])
     return prints.join(following, "next_key").select(

@@ -5,11 +5,11 @@ global order of all tokens the first ones of both must have tokens in common.
 Three orders are used, and their filters intersected before a pair is verified:
 
 1. by hash: of the first ``missing + spare`` tokens of each set, at least
-   ``needed`` are shared. Only these tokens are ever counted; those that no
-   other set has among its first ones fall away, and so does a set that has
-   fewer than ``needed`` left.
-2. the rest from rare to frequent: two sets must share one of their first ones,
-   which keeps passages that many texts have out of the candidates,
+   ``needed`` are shared. A set that has fewer in common with any others falls
+   away; of all sets only these tokens are ever shuffled.
+2. from rare to frequent, over the whole sets that are left: two sets must
+   share one of their first tokens, which keeps passages that many texts have
+   out of the candidates,
 3. by magnitude of frequency, then by another hash: the same once more.
 
 Equal sets are one node. Candidates are first verified against a few hubs of
@@ -104,80 +104,102 @@ def _whole_sets(words: int):
     return task
 
 
-def _candidates(rows: DataFrame, work: Workspace) -> DataFrame:
-    """``node, n, rare, second, third`` of every set that may have a partner.
-
-    ``second`` and ``third`` are the first tokens in the second and the third
-    order; ``rare`` is the share of the set's first tokens that no other has.
-    """
-    tokens = rows.where("n > 0").select("node", "n", "need", F.size("first").alias("size"), F.explode("first").alias("token"))
+def _survivors(rows: DataFrame, work: Workspace) -> DataFrame:
+    """The nodes that pass the first order's filter."""
+    tokens = rows.where("n > 0").select("node", "need", F.explode("first").alias("token"))
     shared = (
-        tokens.groupBy("token")
-        .agg(F.count("*").alias("often"), F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low <> high")
-        .select("token", "often")
+        tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    )
+    shared = work.save(shared.select("token"), "shared")
+    met = tokens.join(shared, "token", "left_semi").distinct()
+    found = met.groupBy("node", "need").count().where(F.col("count") >= F.col("need")).select("node")
+    found = work.save(found, "survivors")
+    work.drop(shared)
+    return found
+
+
+def _sets_of(nodes: DataFrame, rows: DataFrame, texts: DataFrame, words: int, work: Workspace) -> DataFrame:
+    """``node, tokens``: the whole sets of the nodes, from one text of each."""
+    wanted = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    chosen = texts.alias("t").join(
+        wanted.hint("shuffle_hash").alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))
     )
-    shared = work.save(shared, "shared")
-    met = work.save(tokens.join(shared, "token").distinct(), "met")
-    found = met.groupBy("node", "n", "need", "size").agg(
+    sets = chosen.select("w.node", "t.text").mapInArrow(_whole_sets(words), "node long, own long, tokens array<long>")
+    # rows that repeat an id may have another text, or the same one twice
+    return work.save(sets.where("node = own").drop("own").dropDuplicates(["node"]), "whole")
+
+
+def _ordered(whole: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """``node, n, met, second, third, tokens`` of every set that may have a partner.
+
+    ``met`` counts the tokens that another survivor has: a partner can share no
+    others. ``second`` and ``third`` are the first tokens in these orders.
+    """
+    tokens = whole.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    shared = work.save(shared, "frequencies")
+    found = tokens.join(shared, "token").groupBy("node", "n").agg(
         F.array_sort(F.collect_list(F.struct("often", "token"))).alias("by_often"),
         F.array_sort(
-            F.collect_list(
-                F.struct(F.floor(F.log2("often")).alias("a"), F.xxhash64("token").alias("b"), "token")
-            )
+            F.collect_list(F.struct(F.floor(F.log2("often")).alias("a"), F.xxhash64("token").alias("b"), "token"))
         ).alias("by_magnitude"),
     )
-    left = F.size("by_often")
-    keep = (left - F.col("need") + 1).cast("int")
-    found = found.where(left >= F.col("need")).select(
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    met = F.size("by_often")
+    keep = met - least + 1
+    found = found.where(met >= least).select(
         "node",
         "n",
-        ((F.col("size") - left) / F.col("n")).alias("rare"),
+        met.alias("met"),
         F.slice("by_often", F.lit(1), keep)["token"].alias("second"),
         F.slice("by_magnitude", F.lit(1), keep)["token"].alias("third"),
     )
-    nodes = work.save(found, "nodes")
-    work.drop(shared, met)
-    return nodes
+    sets = work.save(found.join(whole, "node"), "sets")
+    work.drop(shared)
+    return sets
 
 
-def _sets_of(nodes: DataFrame, rows: DataFrame, texts: DataFrame, words: int, work: Workspace) -> DataFrame:
-    """``node, n, third, tokens``: the whole sets of the nodes, from one text of each."""
-    wanted = (
-        rows.join(nodes.select("node"), "node", "left_semi")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"))
-    )
-    chosen = texts.alias("t").join(
-        wanted.hint("shuffle_hash").alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))
+def _groups(sets: DataFrame, work: Workspace) -> DataFrame:
+    """``token, node, n, met``: who shares a token of the second order.
+
+    Of tokens that exactly the same nodes share, as those of a common passage,
+    one stands for all.
+    """
+    members = sets.select("node", "n", "met", F.explode("second").alias("token"))
+    who = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"who{salt}") for salt in (0, 1)]
+    groups = (
+        members.groupBy("token")
+        .agg(F.count("*").alias("size"), *who)
+        .where("size > 1")
+        .groupBy("size", "who0", "who1")
+        .agg(F.min("token").alias("token"))
+        .select("token")
     )
-    sets = chosen.select("w.node", "t.text").mapInArrow(_whole_sets(words), "node long, own long, tokens array<long>")
-    # rows that repeat an id may have another text, or the same one twice
-    sets = sets.where("node = own").drop("own").dropDuplicates(["node"])
-    return work.save(sets.join(nodes.select("node", "n", "third"), "node"), "sets")
+    return work.save(members.join(work.save(groups, "tokens"), "token"), "members")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    a, b = F.col(a), F.col(b)
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    """Whether sizes, and what either shares with any other set, allow the similarity."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    most = F.least(F.col(f"{a}met"), F.col(f"{b}met"), n, m)
+    return most * (100 + percent) >= (n + m) * percent
 
 
 def _hub_pairs(members: DataFrame, salt: int, percent: int, work: Workspace) -> DataFrame:
     """Pairs of the members of a token group with its hubs, where components differ."""
-    hub = lambda order: F.min(F.struct(order.alias("o"), "node", "comp", F.col("n").alias("n")))
-    orders = [F.xxhash64("node", F.lit(salt * HUBS + j)) for j in range(HUBS)]
-    hubs = (
+    orders = [-F.col("met") / F.col("n"), *[F.xxhash64("node", F.lit(salt * HUBS + j)).cast("double") for j in range(HUBS)]]
+    hubs = [F.min(F.struct(o.alias("o"), F.struct("node", "comp", "n", "met").alias("hub"))) for o in orders]
+    found = (
         members.groupBy("token")
-        .agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.array(hub(F.col("rare")), *[hub(o.cast("double")) for o in orders]).alias("hubs"),
-        )
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.array(*hubs).alias("hubs"))
         .where("low <> high")
-        .select("token", F.explode(F.array_distinct(F.transform("hubs", lambda h: F.struct(h["node"].alias("node"), h["comp"].alias("comp"), h["n"].alias("n"))))).alias("hub"))
-    )
-    hubs = work.save(hubs, "hubs")
-    met = members.join(hubs, "token").where((F.col("comp") != F.col("hub.comp")) & _may_link("n", "hub.n", percent))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        .select("token", F.explode(F.array_distinct(F.transform("hubs", lambda h: h["hub"]))).alias("hub"))
+        .select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "comp", "n", "met")])
+    )
+    met = members.join(work.save(found, "hubs"), "token").where(
+        (F.col("comp") != F.col("hub_comp")) & _may_link("", "hub_", percent)
+    )
+    return met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
 
 
 def _cross_pairs(members: DataFrame, percent: int, work: Workspace) -> DataFrame:
@@ -189,15 +211,14 @@ def _cross_pairs(members: DataFrame, percent: int, work: Workspace) -> DataFrame
         .where("comps > 1")
         .select("token", F.col("main.comp").alias("main"))
     )
-    mixed = work.save(mixed, "mixed")
-    left = work.save(members.join(mixed, "token"), "left")
-    few = left.where("comp <> main").select("token", F.col("node").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"))
+    left = work.save(members.join(work.save(mixed, "mixed"), "token"), "left")
+    few = left.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "met")])
     pairs = left.join(few, "token").where(
-        ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("x")))
+        ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("x_node")))
         & (F.col("comp") != F.col("x_comp"))
-        & _may_link("n", "x_n", percent)
+        & _may_link("", "x_", percent)
     )
-    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    return pairs.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,22 +260,20 @@ def near_duplicates(
     rows = work.save(
         texts.mapInArrow(_prefixes(percent, words), "doc_id long, n long, node long, need long, first array<long>"), "rows"
     )
-    nodes = _candidates(rows, work)
-    sets = _sets_of(nodes, rows, texts, words, work)
+    whole = _sets_of(_survivors(rows, work), rows, texts, words, work)
+    sets = _ordered(whole, percent, work)
+    work.drop(whole)
+    groups = _groups(sets, work)
     comps = spark.createDataFrame([], "node long, component long")
     for round_ in range(HUB_ROUNDS + 1):
-        members = (
-            nodes.select("node", "n", "rare", F.explode("second").alias("token"))
-            .join(comps, "node", "left")
-            .select("node", "n", "rare", "token", F.coalesce("component", "node").alias("comp"))
-        )
+        members = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
         last = round_ == HUB_ROUNDS
         pairs = _cross_pairs(members, percent, work) if last else _hub_pairs(members, round_, percent, work)
         links = work.save(_linked(work.save(pairs, "pairs"), sets, percent), "links")
         if not links.isEmpty():
             known = comps.select(F.col("node").alias("u"), F.col("component").alias("v"))
             comps = connected_components(links.union(known), work)
-    work.drop(sets, nodes)
+    work.drop(sets, groups)
     placed = (
         rows.select("doc_id", "n", "node")
         .join(comps, "node", "left")
