@@ -198,7 +198,9 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
             )
         ),
     )
-    met = uses.join(lexicon, "term").select("row", "of", F.struct("term", "mask").alias("use"))
+    met = work.save(uses.join(lexicon, "term").select("row", "of", F.struct("term", "mask").alias("use")), "met")
+    told = work.save(both.drop("terms", "edited_terms"), "told")
+    work.drop(both, lexicon)
     kept = work.save(
         met.groupBy("row").agg(
             F.collect_list(F.when(F.col("of") != 2, F.col("use"))).alias("own"),
@@ -208,8 +210,7 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     )
     none = F.array().cast("array<struct<term:long,mask:long>>")
     prints = work.save(
-        both.drop("terms", "edited_terms")
-        .join(kept, "row", "left")
+        told.join(kept, "row", "left")
         .select(
             "doc_id", "n_chars", "edited_sha256", "key", "next_key",
             subset_hashes(F.coalesce("own", none), F.col("all_terms")).alias("hashes"),
@@ -217,7 +218,7 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         ),
         "prints",
     )
-    work.drop(both, lexicon, kept)
+    work.drop(met, told, kept)
     following = prints.select(F.col("key").alias("next_key"), F.col("hashes").alias("next_hashes"))
     following = following.dropDuplicates(["next_key"])
     return prints.join(following, "next_key").select(
