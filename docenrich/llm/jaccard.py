@@ -160,41 +160,45 @@ def _ordered(whole: DataFrame, percent: int, work: Workspace) -> DataFrame:
 
 
 def _groups(sets: DataFrame, work: Workspace) -> DataFrame:
-    """``token, node, n, met``: who shares a token of the second order.
+    """``token, node, n, met, place``: who shares a token of the second order, and where it has it.
 
     Of tokens that exactly the same nodes share, as those of a common passage,
-    one stands for all.
+    one stands for all, with the first place that any of them has.
     """
-    members = sets.select("node", "n", "met", F.explode("second").alias("token"))
+    members = sets.select("node", "n", "met", F.posexplode("second").alias("place", "token"))
     who = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"who{salt}") for salt in (0, 1)]
-    groups = (
-        members.groupBy("token")
-        .agg(F.count("*").alias("size"), *who)
-        .where("size > 1")
-        .groupBy("size", "who0", "who1")
-        .agg(F.min("token").alias("token"))
-        .select("token")
+    tokens = members.groupBy("token").agg(F.count("*").alias("size"), *who).where("size > 1")
+    tokens = work.save(tokens, "tokens")
+    one = tokens.groupBy("size", "who0", "who1").agg(F.min("token").alias("one"))
+    alike = tokens.join(one, ["size", "who0", "who1"]).select("token", "one")
+    return work.save(
+        members.join(alike, "token")
+        .groupBy(F.col("one").alias("token"), "node", "n", "met")
+        .agg(F.min("place").alias("place")),
+        "members",
     )
-    return work.save(members.join(work.save(groups, "tokens"), "token"), "members")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Whether sizes, and what either shares with any other set, allow the similarity."""
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    most = F.least(F.col(f"{a}met"), F.col(f"{b}met"), n, m)
-    return most * (100 + percent) >= (n + m) * percent
+    """Whether this token can be the first, in the second order, that a pair at the similarity shares.
+
+    Of ``met`` tokens at least ``overlap`` are shared, so that one is among the
+    first ``met - overlap + 1`` of both.
+    """
+    overlap = F.ceil((F.col(f"{a}n") + F.col(f"{b}n")) * percent / (100 + percent) - 1e-9)
+    return (F.col(f"{a}place") <= F.col(f"{a}met") - overlap) & (F.col(f"{b}place") <= F.col(f"{b}met") - overlap)
 
 
 def _hub_pairs(members: DataFrame, salt: int, percent: int, work: Workspace) -> DataFrame:
     """Pairs of the members of a token group with its hubs, where components differ."""
     orders = [-F.col("met") / F.col("n"), *[F.xxhash64("node", F.lit(salt * HUBS + j)).cast("double") for j in range(HUBS)]]
-    hubs = [F.min(F.struct(o.alias("o"), F.struct("node", "comp", "n", "met").alias("hub"))) for o in orders]
+    hubs = [F.min(F.struct(o.alias("o"), F.struct("node", "comp", "n", "met", "place").alias("hub"))) for o in orders]
     found = (
         members.groupBy("token")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.array(*hubs).alias("hubs"))
         .where("low <> high")
         .select("token", F.explode(F.array_distinct(F.transform("hubs", lambda h: h["hub"]))).alias("hub"))
-        .select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "comp", "n", "met")])
+        .select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "comp", "n", "met", "place")])
     )
     met = members.join(work.save(found, "hubs"), "token").where(
         (F.col("comp") != F.col("hub_comp")) & _may_link("", "hub_", percent)
@@ -212,7 +216,7 @@ def _cross_pairs(members: DataFrame, percent: int, work: Workspace) -> DataFrame
         .select("token", F.col("main.comp").alias("main"))
     )
     left = work.save(members.join(work.save(mixed, "mixed"), "token"), "left")
-    few = left.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "met")])
+    few = left.where("comp <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "met", "place")])
     pairs = left.join(few, "token").where(
         ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("x_node")))
         & (F.col("comp") != F.col("x_comp"))
