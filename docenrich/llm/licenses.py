@@ -84,21 +84,19 @@ def scan_licenses(
         F.explode(F.sequence(F.ceil(size * narrow - 1e-9).cast("int"), F.floor(size * wide + 1e-9).cast("int"))),
     )
     largest = filed.agg(F.max("n_bigrams")).first()[0]
-    text = clean_text(text_col)
-    whole = F.struct(text.alias("unit"))
-    lines = F.transform(F.split(text, "\r\n|\n|\r"), lambda line: F.struct(line.alias("unit")))
-    several = F.size(lines) > 1
+    lines = F.transform(F.split(clean_text(text_col), "\r\n|\n|\r"), normal_words)
     units = (
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.posexplode(F.when(several, F.concat(lines, F.array(whole))).otherwise(F.array(whole))).alias("place", "u"),
-        )
-        .select("doc_id", "place", normal_words(F.col("u.unit")).alias("words"))
-        .where(F.size("words") >= 2)
+        docs.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
+        # line ends part words: those of the whole text are those of its lines
+        .select("doc_id", F.posexplode(
+            F.when(F.size("lines") > 1, F.concat("lines", F.array(F.flatten("lines")))).otherwise(F.col("lines"))
+        ).alias("place", "words"))
+        # with one distinct bigram less than distinct words at the least, others are too large
+        .where((F.size("words") >= 2) & (F.size(F.array_distinct("words")) <= largest + 1))
         .select("doc_id", "place", word_bigrams(F.col("words")).alias("bigrams"))
         .withColumn("n_bigrams", F.size("bigrams"))
         .where(F.col("n_bigrams") <= largest)
-    )
+    )
     shared = F.size(F.array_intersect("bigrams", "notice_bigrams"))
     dice = 2 * shared / (F.col("n_bigrams") + F.size("notice_bigrams"))
     return (
