@@ -1,6 +1,7 @@
 """What the library needs from the session it is handed."""
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,13 +16,15 @@ _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a folder made for
-    it, and set on the session so that later calls agree.
+    Only on a local master (tests, a laptop) may the session name none: a folder
+    is then made for it, and set on the session so that later calls agree.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="docenrich-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
