@@ -229,6 +229,16 @@ def file_tree(spark: SparkSession, sf_dir: str, flat: bool = False) -> str:
     return _trees[key]
 
 
+def byte_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the documents as files, DOCX files as real ones; once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "bytes")
+    if key not in _trees:
+        root = scratch_path(spark, "tree")
+        write_tree(doc_bytes(spark, sf_dir), root)
+        _trees[key] = root
+    return _trees[key]
+
+
 def flat_name(path):
     return F.concat(F.md5(path), F.lit("."), F.substring_index(path, ".", -1))
 

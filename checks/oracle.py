@@ -427,5 +427,8 @@ FROM (SELECT call_key, call_day, max(attempt_no) AS seen,
         ),
         "model_lines",
     ),
+    "resumed_files_run": _with(_ledger("model_lines"), "model_lines"),
+    "minimal_folder_run": _with(_minimal("model_lines"), "model_lines"),
+    "flags_folder_run": _with(_flags("model_lines"), "model_lines"),
     "streamed_run": _with(_ledger("model_lines", ", outcome"), "model_lines"),
 }

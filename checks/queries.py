@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.clients import OneShotClient, RuleClient, no_wait
+from docenrich import storage
 from docenrich.cluster import scratch_path, ship_package
 from docenrich.constants import DOCX_SUFFIX, PDF_SUFFIX
 from docenrich.functions import paths, replies, retry, text
@@ -59,7 +60,8 @@ def list_files_(spark, sf_dir):
 @query
 def list_files_index(spark, sf_dir):
     root = inputs.file_tree(spark, sf_dir)
-    listed = list_files(spark, root, use_index=True)
+    # the whole tree, hidden files too; this one has none
+    listed = list_files(spark, root, include_hidden=True)
     return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
 
 
@@ -88,7 +90,8 @@ def read_bytes_(spark, sf_dir):
 @query
 def read_bytes_index(spark, sf_dir):
     root = inputs.file_tree(spark, sf_dir)
-    return read_bytes(spark, root, use_index=True).select(
+    # of paths that are listed already
+    return read_bytes(spark, spread_scan(list_files(spark, root))).select(
         inputs.below(root, F.col("file_path")).alias("file_path"),
         F.length("content").alias("n_bytes"),
         F.md5("content").alias("digest"),
@@ -188,7 +191,8 @@ def join_pages(spark, sf_dir):
 @query
 def docx_paragraphs(spark, sf_dir):
     files = inputs.doc_bytes(spark, sf_dir).where(F.col("file_path").endswith(DOCX_SUFFIX))
-    return extract_parts(files).select("file_path", F.col("part_no").alias("para_no"), "text")
+    parts = extract_parts(files, inputs.EXTRACTORS)
+    return parts.select("file_path", F.col("part_no").alias("para_no"), "text")
 
 
 @query
@@ -447,7 +451,7 @@ def map_partitions_(spark, sf_dir):
 @query
 def ingest_new_(spark, sf_dir):
     root, state = inputs.file_tree(spark, sf_dir), scratch_path(spark, "ingest")
-    table = ingest_new(spark, root, f"{state}/checkpoint", f"{state}/table")
+    table = ingest_new(spark, root, f"{state}/table")
     return table.select(inputs.below(root, F.col("file_path")).alias("file_path"), "length")
 
 
@@ -474,8 +478,14 @@ def flags_run(spark, sf_dir):
 
 @query
 def status_run(spark, sf_dir):
-    files, earlier = inputs.doc_bytes(spark, sf_dir), inputs.ledger(spark, sf_dir)
-    return runs.status_rows(files, earlier, RuleClient, inputs.EXTRACTORS, RULES)
+    """Paths and ledger are compared; only the files left over are opened."""
+    root = inputs.byte_tree(spark, sf_dir)
+    root = storage.local_path(root) or root
+    files = _paths(spark, sf_dir).select(F.concat(F.lit(root), "file_path").alias("file_path"))
+    earlier = inputs.ledger(spark, sf_dir)
+    earlier = earlier.withColumn("filepath", F.concat(F.lit(root), "filepath"))
+    status = runs.status_rows(files, earlier, RuleClient, inputs.EXTRACTORS, RULES)
+    return status.withColumn("filepath", inputs.below(root, F.col("filepath")))
 
 
 def _few_tasks(spark):
@@ -494,6 +504,39 @@ def resumed_run(spark, sf_dir):
     return latest.withColumn("filepath", inputs.below(root, F.col("filepath")))
 
 
+@query
+def resumed_files_run(spark, sf_dir):
+    """Two runs in waves, the second with a folder of result files: those of the
+    first are made up."""
+    root, state = inputs.file_tree(spark, sf_dir), scratch_path(spark, "files")
+    for json_dir in (None, f"{state}/json"):
+        runs.run_status(
+            spark, root, f"{state}/ledger", RuleClient, inputs.LINE_EXTRACTORS, RULES,
+            _few_tasks(spark), json_dir=json_dir, waves=2,
+        )
+    entries = read_ledger(spark, f"{state}/json")
+    return entries.withColumn("filepath", inputs.below(root, F.col("filepath")))
+
+
+def _written_and_read(spark, sf_dir, run, shape_rows):
+    root, path = inputs.file_tree(spark, sf_dir), scratch_path(spark, "csv")
+    settled = run(
+        spark, root, path, RuleClient, inputs.LINE_EXTRACTORS, RULES, _few_tasks(spark)
+    )
+    rows = read_csv(spark, path, shape_rows(settled).schema)
+    return rows.withColumn("filepath", inputs.below(root, F.col("filepath")))
+
+
+@query
+def minimal_folder_run(spark, sf_dir):
+    return _written_and_read(spark, sf_dir, runs.run_minimal, shape.shape_minimal)
+
+
+@query
+def flags_folder_run(spark, sf_dir):
+    return _written_and_read(spark, sf_dir, runs.run_flags, shape.shape_flags)
+
+
 @query
 def streamed_run(spark, sf_dir):
     """The same folder through a stream, in one go."""

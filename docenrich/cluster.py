@@ -5,8 +5,6 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,33 +36,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written_once(df: DataFrame, label: str = "settled") -> DataFrame:
+def written_once(
+    df: DataFrame, label: str = "settled", partition_by: str | None = None
+) -> DataFrame:
     """Evaluate into the shared folder: later uses read, and nothing runs again."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def listing_in_one_job(spark: SparkSession) -> Iterator[None]:
-    """Let Spark's file index list whole subtrees per task.
-
-    By default it runs a job of its own for every folder that has more than a
-    few subfolders, with a task for each of them.
-    """
-    prefix = "spark.sql.sources.parallelPartitionDiscovery."
-    before = {key: spark.conf.get(prefix + key) for key in ("threshold", "parallelism")}
-    tasks = min(int(before["parallelism"]), 4 * spark.sparkContext.defaultParallelism)
-    spark.conf.set(prefix + "threshold", 1)
-    spark.conf.set(prefix + "parallelism", tasks)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(prefix + key, value)
-
-
 def ship_package(spark: SparkSession, *package_dirs: str) -> None:
     """Send this package (and others) to the Python workers, once per session."""
     for package_dir in (_PACKAGE_DIR, *package_dirs):

@@ -14,6 +14,10 @@ EXTRACTION_MESSAGE = "Extraction failed for file: "
 API_MESSAGE = "API call failed for file: "
 ERROR_MESSAGE = "Unexpected error processing file "
 NO_OBJECT = "the reply is not a JSON object"
+UNSUPPORTED = "Unsupported file format"
+PAGE_HEADING = ("Page ", " - Text Section:\n\n")
+BUSY_MESSAGE = ("Rate limit exceeded. Retrying in ", " seconds...")
+RETRY_MESSAGE = ("API request failed. Retrying ", "...")
 MAX_ATTEMPTS = 5
 BACKOFF_BASE = 1.5
 WORKERS_PER_PARTITION = 10

@@ -11,6 +11,8 @@ MALFORMED = "malformed"
 OTHER = "other"
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_BLANKS = " \t\r\n"
 
 
 def request_payload(text: Column, field: str = "text") -> Column:
@@ -23,32 +25,49 @@ def to_json_row(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns), _KEEP_NULLS)
 
 
+def is_json(body: Column) -> Column:
+    """Whether the whole body is one JSON value, by the standard's own grammar.
+
+    Spark's parsers stop after the first value. Inside a list nothing but that
+    value may come before the end; a body that ends the list itself is no value
+    of an object.
+    """
+    in_list = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", _STRICT)
+    in_object = F.from_json(
+        F.concat(F.lit('{"v":'), body, F.lit("}")), "map<string,string>", _STRICT
+    )
+    return in_list.isNotNull() & in_object.isNotNull()
+
+
 def reply_kind(body: Column) -> Column:
     """object, null, malformed or other (array, string, number); NULL if no body."""
+    bare = F.btrim(body, F.lit(_BLANKS))
     return (
         F.when(body.isNull(), F.lit(None).cast("string"))
-        .when(F.json_object_keys(body).isNotNull(), F.lit(OBJECT))
-        .when(F.try_parse_json(body).isNull(), F.lit(MALFORMED))
-        .when(F.trim(body) == "null", F.lit(NULL))
+        .when(~is_json(body), F.lit(MALFORMED))
+        .when(bare.startswith("{"), F.lit(OBJECT))
+        .when(bare == "null", F.lit(NULL))
         .otherwise(F.lit(OTHER))
     )
 
 
 def reply_field(body: Column, key: str) -> Column:
-    """Value of a key as a string; numbers and nested values in JSON spelling."""
+    """Value of a key as a string; numbers and nested values in JSON spelling.
+    NULL unless the body is an object."""
     schema = T.StructType([T.StructField(key, T.StringType())])
-    return F.from_json(body, schema).getField(key)
+    return F.when(reply_kind(body) == OBJECT, F.from_json(body, schema).getField(key))
 
 
 def get_or_default(body: Column, key: str, default: str) -> Column:
     """The default only where the key is absent: an explicit null stays NULL."""
-    present = F.array_contains(F.json_object_keys(body), key)
+    named = F.array_contains(F.json_object_keys(body), key)
+    present = (reply_kind(body) == OBJECT) & named
     return F.when(present, reply_field(body, key)).otherwise(F.lit(default))
 
 
 def is_empty_reply(body: Column) -> Column:
     """Bodies that say nothing: ``{}  []  ""  0  false  null`` and no body at all."""
-    scalar = F.trim(body).rlike(r'^(null|false|""|-?0(\.0+)?([eE][+-]?[0-9]+)?)$')
+    scalar = F.btrim(body, F.lit(_BLANKS)).rlike(r'^(null|false|""|-?0(\.0+)?([eE][+-]?[0-9]+)?)$')
     return (
         F.when(body.isNull(), F.lit(True))
         .when(F.json_object_keys(body).isNotNull(), F.size(F.json_object_keys(body)) == 0)

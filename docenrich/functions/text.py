@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docenrich.constants import PAGE_HEADING
+
 
 def has_text(text: Column) -> Column:
     """Neither NULL nor empty. Text of blanks only counts as text."""
@@ -12,9 +14,9 @@ def has_text(text: Column) -> Column:
 def page_section(page_no: Column, text: Column) -> Column:
     """A page under its heading."""
     return F.concat(
-        F.lit("Page "),
+        F.lit(PAGE_HEADING[0]),
         page_no.cast("string"),
-        F.lit(" - Text Section:\n\n"),
+        F.lit(PAGE_HEADING[1]),
         text,
         F.lit("\n\n"),
     )

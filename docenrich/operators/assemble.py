@@ -1,10 +1,8 @@
 """Putting long tables of pages or paragraphs back together.
 
-A document may have any number of parts. Those beyond the first block are
-joined block by block, spread over all tasks, before they meet; the first
-block, which for nearly all documents is the whole text, is shuffled once, by
-file. Tails are few, so their join is a broadcast as soon as Spark sees their
-size, and otherwise needs no further shuffle: both sides lie by file already.
+A document may have any number of parts, so they are joined block by block,
+spread over all tasks, before the blocks of a file meet. Nearly all documents
+are one block. The input is read once.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -39,24 +37,12 @@ def _join_parts(
     df: DataFrame, path_col: str, no: Column, piece: Column, separator: str
 ) -> DataFrame:
     rows = df.select(F.col(path_col).alias("file_path"), no.alias("part_no"), piece.alias("piece"))
-    in_head = F.coalesce(F.col("part_no") <= BLOCK_PARTS, F.lit(True))
-    # later parts add nothing to the head but the document itself, which may
-    # have no earlier ones
-    head = (
-        rows.withColumn("piece", F.when(in_head, F.col("piece")))
-        .groupBy("file_path")
-        .agg(_joined("part_no", separator).alias("head"))
+    block = F.coalesce(F.floor((F.col("part_no") - 1) / BLOCK_PARTS), F.lit(0))
+    blocks = rows.groupBy("file_path", block.alias("block")).agg(
+        _joined("part_no", separator).alias("piece")
     )
-    tail = (
-        rows.where(~in_head)
-        .groupBy("file_path", F.floor((F.col("part_no") - 1) / BLOCK_PARTS).alias("block"))
-        .agg(_joined("part_no", separator).alias("piece"))
-        .groupBy("file_path")
-        .agg(_joined("block", separator).alias("tail"))
-    )
-    # concat_ws leaves out a side that is missing or holds no text at all
-    return head.join(tail, "file_path", "left").select(
-        "file_path", F.concat_ws(separator, "head", "tail").alias("text")
+    return blocks.groupBy("file_path").agg(
+        F.coalesce(_joined("block", separator), F.lit("")).alias("text")
     )
 
 

@@ -5,7 +5,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docenrich.constants import API_FAILURE, BACKOFF_BASE, MAX_ATTEMPTS, OPEN, SUCCESS
+from docenrich.constants import (
+    API_FAILURE,
+    BACKOFF_BASE,
+    BUSY_MESSAGE,
+    MAX_ATTEMPTS,
+    OPEN,
+    RETRY_MESSAGE,
+    SUCCESS,
+)
 from docenrich.functions import retry
 
 
@@ -37,8 +45,10 @@ def with_waits(numbered: DataFrame, base: float = BACKOFF_BASE) -> DataFrame:
 def retry_log(waits: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Adds ``level, message`` to the attempts to be repeated, and keeps only those.
 
-    Takes the result of ``with_waits``.
+    Takes the result of ``with_waits``; what a column ``error`` says of a failed
+    request ends its message.
     """
+    error = F.col("error") if "error" in waits.columns else F.lit(None).cast("string")
     busy = F.col("http_status") == 429
     return waits.where(F.col("wait_s").isNotNull()).withColumns(
         {
@@ -46,15 +56,16 @@ def retry_log(waits: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
             "message": F.when(
                 busy,
                 F.concat(
-                    F.lit("Rate limit exceeded. Retrying in "),
+                    F.lit(BUSY_MESSAGE[0]),
                     retry.format_wait(F.col("wait_s")),
-                    F.lit(" seconds..."),
+                    F.lit(BUSY_MESSAGE[1]),
                 ),
             ).otherwise(
                 F.concat(
-                    F.lit("API request failed. Retrying "),
+                    F.lit(RETRY_MESSAGE[0]),
                     F.col("attempt_no").cast("string"),
-                    F.lit(f"/{max_attempts}..."),
+                    F.lit(f"/{max_attempts}{RETRY_MESSAGE[1]}"),
+                    F.coalesce(F.concat(F.lit(" "), error), F.lit("")),
                 )
             ),
         }

@@ -152,6 +152,11 @@ def _outcome(any_status: bool) -> Column:
     )
 
 
+def _no_number(name: str) -> None:
+    """``NaN`` and ``Infinity`` are not JSON."""
+    raise json.JSONDecodeError("not a JSON value", name, 0)
+
+
 def ask(client: Client, text: str | None, rules: CallRules) -> dict:
     """Every attempt for one text. ``body`` is set only by a decisive reply."""
     reply = {
@@ -170,10 +175,10 @@ def ask(client: Client, text: str | None, rules: CallRules) -> dict:
             status, body = client({rules.field: text})
             reply["http_status"] = status
             if status == 200 or rules.any_status:
-                json.loads(body or "")
+                json.loads(body or "", parse_constant=_no_number)
                 reply["body"], reply["call_error"] = valid_text(body), None
                 return reply
-            reply["call_error"] = f"status {status}"
+            reply["call_error"] = valid_text(f"status {status}: {body}" if body else f"status {status}")
             if status != 429:
                 return reply
         except OSError as problem:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docenrich import storage
 from docenrich.cluster import ship_package
-from docenrich.constants import DOCX_SUFFIX, EXTRACTION_FAILURE, PDF_SUFFIX
+from docenrich.constants import DOCX_SUFFIX, EXTRACTION_FAILURE, PDF_SUFFIX, UNSUPPORTED
 from docenrich.functions.text import pages_text, paragraphs_text
 
 PAGES = "pages"
@@ -77,19 +77,8 @@ def docx_paragraphs(content: bytes) -> Iterator[str]:
         yield "".join(_run_text(run) for run in runs)
 
 
-def pdf_pages(content: bytes) -> Iterator[str | None]:
-    """Pages in order, by whichever PDF library the executors carry."""
-    try:
-        import pdfplumber
-    except ImportError:
-        raise RuntimeError("no PDF library installed: register an extractor for .pdf") from None
-    with pdfplumber.open(io.BytesIO(content)) as pdf:
-        for page in pdf.pages:
-            yield page.extract_text()
-
-
+# PDF layout is a library's work: callers register the one their executors have.
 DEFAULT_EXTRACTORS: dict[str, Extractor] = {
-    PDF_SUFFIX: Extractor(pdf_pages, PAGES),
     DOCX_SUFFIX: Extractor(docx_paragraphs, PARAGRAPHS),
 }
 
@@ -111,10 +100,16 @@ def read_parts(
 
     ``files`` has ``file_path`` and, if the bytes are at hand, ``content``;
     otherwise each file is opened by the task that handles its path. Every
-    problem with a file becomes its ``error``, never a failed task.
+    problem with a file becomes its ``error``, never a failed task; trouble with
+    the storage that may pass is no such problem, and Spark tries again.
+
+    ``extractors`` are added to the default ones. Each supported suffix needs one.
     """
     ship_package(files.sparkSession)
-    registry = dict(DEFAULT_EXTRACTORS if extractors is None else extractors)
+    registry = DEFAULT_EXTRACTORS | dict(extractors or {})
+    lacking = {PDF_SUFFIX, DOCX_SUFFIX} - set(registry)
+    if lacking:
+        raise ValueError(f"no extractor registered for {', '.join(sorted(lacking))}")
     columns = [c for c in ("file_path", "content") if c in files.columns]
     return files.select(*columns).mapInArrow(
         lambda batches: _extract_batches(batches, registry), _PARTS_SCHEMA
@@ -178,11 +173,17 @@ def _extract_batches(
 
     def one(path: str | None, content: Callable[[], bytes]) -> tuple[dict, int]:
         row = {"file_path": path, "style": None, "parts": None, "error": None}
+        extractor = extractor_of(path)
+        if extractor is None:
+            row["error"] = UNSUPPORTED
+            return row, 0
+        try:
+            data = content()
+        except storage.UNREADABLE as problem:
+            row["error"] = storage.describe(problem)
+            return row, 0
         try:
-            extractor = extractor_of(path)
-            if extractor is None:
-                raise ValueError("Unsupported file format")
-            texts = [storage.valid_text(text) for text in extractor.read(content())]
+            texts = [storage.valid_text(text) for text in extractor.read(data)]
         except Exception as problem:  # noqa: BLE001 - one bad file must not fail the job
             row["error"] = storage.describe(problem)
             return row, 0

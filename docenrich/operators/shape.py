@@ -97,18 +97,19 @@ def status_of_ledger(entries: DataFrame) -> DataFrame:
 
 
 def failure_log(df: DataFrame, path_col: str = "file_path") -> DataFrame:
-    """``filepath, level, message``: one line for each file that failed.
+    """``filepath, level, message``: one line for each file that failed, and why.
 
     Rows of the ledger table will do too, with ``path_col="filepath"``.
     """
     path, outcome = F.col(path_col), F.col("outcome")
-    reason = F.coalesce("error", F.lit(NO_OBJECT)) if "error" in df.columns else F.lit(NO_OBJECT)
+    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    known = F.coalesce(F.concat(F.lit(": "), error), F.lit(""))
     return df.where(outcome != SUCCESS).select(
         path.alias("filepath"),
         F.when(outcome == ERROR, F.lit("ERROR")).otherwise(F.lit("WARNING")).alias("level"),
-        F.when(outcome == EXTRACTION_FAILURE, F.concat(F.lit(EXTRACTION_MESSAGE), path))
-        .when(outcome == API_FAILURE, F.concat(F.lit(API_MESSAGE), path))
-        .otherwise(F.concat(F.lit(ERROR_MESSAGE), path, F.lit(": "), reason))
+        F.when(outcome == EXTRACTION_FAILURE, F.concat(F.lit(EXTRACTION_MESSAGE), path, known))
+        .when(outcome == API_FAILURE, F.concat(F.lit(API_MESSAGE), path, known))
+        .otherwise(F.concat(F.lit(ERROR_MESSAGE), path, F.lit(": "), F.coalesce(error, F.lit(NO_OBJECT))))
         .alias("message"),
     )
 

@@ -5,18 +5,20 @@ nothing executed. ``run_*`` start from a folder and execute: list, read and ask
 once, write, and hand back a DataFrame over what was written.
 """
 
+import math
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.cluster import written_once
-from docenrich.constants import LEDGER_SCHEMA, PATH_SCHEMA, WORKERS_PER_PARTITION
+from docenrich.constants import FILES_PER_TASK, LEDGER_SCHEMA, SUCCESS, WORKERS_PER_PARTITION
 from docenrich.operators.enrich import CallRules, Client, enrich
 from docenrich.operators.extract import Extractor, extract_text
 from docenrich.operators.filters import filter_supported
 from docenrich.operators.ledger import (
     currently_processed,
+    latest_by_key,
     next_run,
     processed_paths,
     skip_processed,
@@ -25,6 +27,7 @@ from docenrich.operators.ledger import (
 from docenrich.operators.partitions import spread_files
 from docenrich.operators.shape import (
     shape_flags,
+    shape_ledger,
     shape_minimal,
     shape_raw,
     shape_status,
@@ -37,6 +40,8 @@ from docenrich.sources.ledger import read_ledger, read_ledger_table
 
 ClientFactory = Callable[[], Client]
 Extractors = Mapping[str, Extractor]
+# From ``file_path`` to ``file_path, content``.
+Reader = Callable[[DataFrame], DataFrame]
 
 # The raw run asks once, in another field, and takes any reply that is JSON.
 RAW_RULES = CallRules(field="input", max_attempts=1, any_status=True)
@@ -93,14 +98,27 @@ def status_rows(
     client_factory: ClientFactory,
     extractors: Extractors | None = None,
     rules: CallRules = CallRules(),
+    reader: Reader | None = None,
 ) -> DataFrame:
     """Status of the files whose latest entry in the ledger is no success.
 
-    The anti join comes before the documents are read into Python: filters do
-    not move below that step by themselves.
+    Only paths are made distinct, compared and shuffled. The documents of those
+    left are read afterwards, by ``reader`` or by opening the files. A table
+    that holds ``content`` already is joined to the paths left, which moves its
+    bytes if there are too many paths to broadcast.
     """
-    left = skip_processed(filter_supported(files), currently_processed(ledger))
-    return shape_status(settled_rows(left, client_factory, extractors, rules))
+    files = filter_supported(files)
+    left = skip_processed(files.select("file_path").distinct(), currently_processed(ledger))
+    documents = _documents(files, left, reader)
+    return shape_status(settled_rows(documents, client_factory, extractors, rules))
+
+
+def _documents(files: DataFrame, left: DataFrame, reader: Reader | None) -> DataFrame:
+    if reader is not None:
+        return reader(left)
+    if "content" not in files.columns:
+        return left
+    return files.join(left, "file_path", "left_semi").dropDuplicates(["file_path"])
 
 
 def run_raw(
@@ -158,46 +176,65 @@ def run_status(
     rules: CallRules = CallRules(),
     num_partitions: int | None = None,
     json_dir: str | None = None,
-    waves: int = 1,
+    waves: int | None = None,
+    reader: Reader | None = None,
 ) -> DataFrame:
     """Ask about the files no earlier run has finished; add them to the ledger.
 
     ``root`` is a folder tree or a DataFrame with ``file_path`` (and maybe
-    ``content``, which is shuffled only if ``num_partitions`` asks for it).
+    ``content``); ``reader`` and ``content`` work as in ``status_rows``.
     With ``json_dir`` earlier successes are looked up in that folder of result
-    files too, and the new results written there as well.
+    files too, and the new results written there as well; files that an earlier
+    run settled but did not write are made up first.
     The files are settled in ``waves``, each committed to the ledger before the
     next: a run that breaks off and is started again repeats one wave's calls.
+    By default a wave has at most ``FILES_PER_TASK`` files per core, however
+    many files there are.
     Returns ``filepath, type, jurisdiction, status`` of this run's files.
     """
     ledger = read_ledger_table(spark, ledger_dir)
     run_seq = next_run(ledger)
     done = currently_processed(ledger)
     if json_dir is not None:
-        done = union_results(done, processed_paths(read_ledger(spark, json_dir)))
+        earlier = written_once(read_ledger(spark, json_dir), "result-files")
+        write_keyed_json(_not_in_files(ledger, earlier), json_dir)
+        done = union_results(done, processed_paths(earlier))
 
     if isinstance(root, DataFrame):
         files = filter_supported(root)
     else:
         files = list_files(spark, root, include_hidden=True)
-    bare_listing = files.columns == PATH_SCHEMA.names
-    if bare_listing:
-        files = files.distinct()
-    left = skip_processed(files, done)
+    left = written_once(skip_processed(files.select("file_path").distinct(), done), "left")
+    if waves is None:
+        wave_files = FILES_PER_TASK * spark.sparkContext.defaultParallelism
+        waves = max(1, math.ceil(left.count() / wave_files))
+    if waves > 1:
+        left = left.withColumn("wave", F.pmod(F.xxhash64("file_path"), F.lit(waves)))
+        left = written_once(left, "waves", partition_by="wave")
     for wave in range(waves):
-        # by path, so that a wave means the same files if its plan runs again
-        part = left.where(_wave("file_path", waves) == wave)
-        if bare_listing or num_partitions is not None:
-            part = spread_files(part, num_partitions)
-        append_ledger(settled_rows(part, client_factory, extractors, rules), ledger_dir, run_seq)
+        paths = left.where(F.col("wave") == wave).drop("wave") if waves > 1 else left
+        documents = _documents(files, spread_files(paths, num_partitions), reader)
+        settled = settled_rows(documents, client_factory, extractors, rules)
+        if json_dir is not None:
+            settled = written_once(settled)
+        append_ledger(settled, ledger_dir, run_seq)
         if json_dir is not None:
-            settled = read_ledger_table(spark, ledger_dir).where(
-                (F.col("run_seq") == run_seq) & (_wave("filepath", waves) == wave)
-            )
-            write_keyed_json(settled.select(*LEDGER_SCHEMA.names), json_dir)
+            write_keyed_json(shape_ledger(settled), json_dir)
     written = read_ledger_table(spark, ledger_dir).where(F.col("run_seq") == run_seq)
     return status_of_ledger(written)
 
 
-def _wave(path_col: str, waves: int) -> Column:
-    return F.pmod(F.xxhash64(path_col), F.lit(waves))
+def _not_in_files(ledger: DataFrame, earlier: DataFrame) -> DataFrame:
+    """The latest ledger entries that no result file tells of. A file that tells
+    of a success stays, whatever the ledger says of a later failure."""
+    entry, in_file = latest_by_key(ledger.where("filepath IS NOT NULL")), earlier.alias("in_file")
+    entry = entry.select(*LEDGER_SCHEMA.names).alias("entry")
+    others = [n for n in LEDGER_SCHEMA.names if n != "filepath"]
+    same = F.lit(True)
+    for name in others:
+        same &= F.col(f"entry.{name}").eqNullSafe(F.col(f"in_file.{name}"))
+    better = (F.col("in_file.status") == SUCCESS) & (F.col("entry.status") != SUCCESS)
+    told = F.coalesce(same | better, F.lit(False))
+    return entry.join(
+        in_file, (F.col("entry.filepath") == F.col("in_file.filepath")) & told, "left_anti"
+    )

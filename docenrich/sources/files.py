@@ -4,17 +4,15 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich import storage
-from docenrich.cluster import listing_in_one_job, scratch_path, ship_package
+from docenrich.cluster import scratch_path, ship_package
 from docenrich.constants import BYTES_SCHEMA, PATH_SCHEMA
-from docenrich.functions.paths import is_supported, plain_path
-from docenrich.operators.partitions import spread_scan
+from docenrich.functions.paths import is_supported
+from docenrich.operators.partitions import spread_files
 
-_GLOB = "*.{pdf,docx}"
 # Entries one task lists below a folder before it hands the rest on: few at
 # first, to have folders for every task soon.
 _FIRST_ROUND_ENTRIES = 1000
@@ -41,59 +39,34 @@ def list_files(
     root: str,
     recursive: bool = True,
     include_hidden: bool = False,
-    use_index: bool = False,
 ) -> DataFrame:
     """Paths of the PDF and DOCX files of a folder (tree); empty if there is none.
 
     The executors walk the tree, so a listing of any length stays distributed.
     ``include_hidden`` adds files whose name, or a folder on the way to them,
-    starts with ``_`` or ``.``. With ``use_index`` Spark's own file index does
-    the listing: it knows every storage scheme Spark knows, never shows hidden
-    or empty files, and holds all file statuses on the driver.
+    starts with ``_`` or ``.``. A byte of a name that is no text is spelled as
+    NUL and two hexadecimal digits, which opening the file undoes.
     """
-    if use_index:
-        return _binary_files(spark, root, recursive).select(
-            plain_path(F.col("path")).alias("file_path")
-        )
     listed = walk_files(spark, root, recursive, include_hidden)
     return listed.where(is_supported(F.col("file_path")))
 
 
 def read_bytes(
-    spark: SparkSession, source: str | DataFrame, recursive: bool = True, use_index: bool = False
+    spark: SparkSession, source: str | DataFrame, recursive: bool = True
 ) -> DataFrame:
     """``file_path, content`` of a folder's documents, or of listed paths.
 
     Each file is opened by the task that handles its path, so files dropped
-    from a listing are never read. ``content`` is NULL for one that cannot be.
+    from a listing are never read. ``content`` is NULL for one that is missing
+    or forbidden; any other trouble with the storage fails the task, and is
+    tried again.
     """
-    if use_index:
-        return _binary_files(spark, source, recursive).select(
-            plain_path(F.col("path")).alias("file_path"), "content"
-        )
     if not isinstance(source, DataFrame):
-        source = spread_scan(list_files(spark, source, recursive))
+        source = spread_files(list_files(spark, source, recursive))
     ship_package(spark)
     return source.select("file_path").mapInArrow(_read_listed, BYTES_SCHEMA)
 
 
-def _binary_files(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
-    reader = spark.read.format("binaryFile")
-    try:
-        with listing_in_one_job(spark):
-            if recursive:
-                reader = reader.option("recursiveFileLookup", "true")
-                return reader.option("pathGlobFilter", _GLOB).load(root)
-            # a glob, because loading the folder itself would take a subfolder
-            # called k=1 for a partition column and lose the files beside it
-            return reader.load(f"{root.rstrip('/')}/{_GLOB}")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = "path string, modificationTime timestamp, length long, content binary"
-        return spark.createDataFrame([], empty)
-
-
 def walk_files(
     spark: SparkSession, root: str, recursive: bool, include_hidden: bool
 ) -> DataFrame:
@@ -146,9 +119,9 @@ def _list_folders(
                         if descend:
                             folders.append(path)
                         else:
-                            yield {"path": storage.valid_text(path), "descend": False}, len(path)
+                            yield {"path": storage.path_text(path), "descend": False}, len(path)
                 for path in folders:
-                    yield {"path": storage.valid_text(path), "descend": True}, len(path)
+                    yield {"path": storage.path_text(path), "descend": True}, len(path)
 
     return storage.arrow_batches(
         rows(), pa.schema([("path", pa.string()), ("descend", pa.bool_())])
@@ -162,7 +135,7 @@ def _read_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, coming in storage.read_ahead(paths):
             try:
                 content = coming.result()
-            except OSError:
+            except storage.UNREADABLE:
                 content = None
             yield {"file_path": path, "content": content}, len(content or b"")
 

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.constants import LEDGER_SCHEMA, LEDGER_TABLE_SCHEMA
-from docenrich.operators.partitions import spread_scan
+from docenrich.functions.replies import OBJECT, reply_kind
+from docenrich.operators.partitions import spread_files
 from docenrich.sources.files import read_bytes, walk_files
 
 
@@ -37,15 +38,15 @@ def read_ledger_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _is_entry():
-    keys = F.json_object_keys("value")
-    return F.coalesce(F.array_contains(keys, "filepath"), F.lit(False))
+    named = F.array_contains(F.json_object_keys("value"), "filepath")
+    return F.coalesce((reply_kind(F.col("value")) == OBJECT) & named, F.lit(False))
 
 
 def _json_files(spark: SparkSession, folder: str) -> DataFrame:
     """``file, value``: the text of each file. One file is one row, so there can
     be very many; the executors list and read them."""
     listed = walk_files(spark, folder, recursive=False, include_hidden=True)
-    names = spread_scan(listed.where(F.col("file_path").endswith(".json")))
+    names = spread_files(listed.where(F.col("file_path").endswith(".json")))
     text = F.try_validate_utf8(F.col("content").cast("string"))
     return read_bytes(spark, names).select(
         F.col("file_path").alias("file"), text.alias("value")

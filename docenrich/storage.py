@@ -6,6 +6,7 @@ through ``pyarrow.fs``.
 
 import functools
 import os
+import re
 import uuid
 from collections import deque
 from collections.abc import Iterable, Iterator
@@ -22,8 +23,24 @@ _BATCH_ROWS = 2000
 _BATCH_BYTES = 8 << 20
 
 
+# What says of a path that no file is there, now or on a second try.
+NOT_THERE = (FileNotFoundError, NotADirectoryError, IsADirectoryError)
+# And of a file that it is there, but not for us.
+UNREADABLE = (*NOT_THERE, PermissionError)
+
+_LOST_BYTE = re.compile("[\udc80-\udcff]")
+_ESCAPED_BYTE = re.compile("\0([0-9a-f]{2})")
+
+
+def path_text(path: str) -> str:
+    """A path as UTF-8 can carry it: a byte that is no text becomes NUL and two
+    hexadecimal digits. No path holds a NUL, so ``local_path`` can undo it."""
+    return _LOST_BYTE.sub(lambda found: f"\0{ord(found[0]) - 0xDC00:02x}", path)
+
+
 def local_path(path: str) -> str | None:
     """The path on a mounted file system, or None for a remote scheme."""
+    path = _ESCAPED_BYTE.sub(lambda found: chr(0xDC00 + int(found[1], 16)), path)
     if path.startswith("file:"):
         return "/" + path[len("file:"):].lstrip("/")
     return None if "://" in path else path
@@ -60,6 +77,20 @@ def read_file(path: str) -> bytes:
         return handle.read()
 
 
+def file_facts(path: str) -> tuple[float, int] | None:
+    """Seconds since 1970 of the last change, and the length; None if it is gone."""
+    local = local_path(path)
+    if local is not None:
+        try:
+            found = os.stat(local)
+        except NOT_THERE:
+            return None
+        return found.st_mtime, found.st_size
+    filesystem, name, _ = _remote(path)
+    info = filesystem.get_file_info(name)
+    return None if info.size is None else (info.mtime_ns / 1e9, info.size)
+
+
 def read_ahead(paths: Iterable[str]) -> Iterator[tuple[str, Future]]:
     """Paths in order, each with its bytes to come: the next few files are read
     while one is being worked on."""
@@ -98,15 +129,15 @@ def replace_file(path: str, data: bytes) -> None:
 def list_folder(folder: str) -> Iterator[tuple[str, bool]]:
     """(path, descend) for each entry: True for a folder, False for a file.
 
-    A missing or unreadable folder has no entries. Links to folders are not
-    followed. Mounted folders are read entry by entry; a remote one arrives as
+    A missing folder has no entries; one that cannot be read is an error. Links
+    to folders are not followed. Mounted folders are read entry by entry; a remote one arrives as
     one list, so huge flat ones are better listed by Spark's own index.
     """
     local = local_path(folder)
     if local is not None:
         try:
             entries = os.scandir(local)
-        except OSError:
+        except (FileNotFoundError, NotADirectoryError):
             return
         with entries:
             for entry in entries:

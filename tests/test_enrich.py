@@ -1,10 +1,8 @@
 import json
-import urllib.error
 import uuid
 
 import pytest
 
-from docenrich.functions import http_client
 from docenrich.operators.enrich import CallRules, ask, enrich, enrich_from_replies
 from docenrich.operators.shape import shape_flags, shape_ledger, shape_minimal, shape_status
 
@@ -77,7 +75,7 @@ def test_one_call_series_per_row_and_outcomes(spark, tmp_path):
     assert by_name["x"].outcome == "extraction_failure"
     assert by_name["x"].attempts == 0
     assert by_name["broken"].error == "bug"
-    assert by_name["refused"].error == "status 500"
+    assert by_name["refused"].error.startswith("status 500")
     assert "text" not in rows[0].__fields__
 
 
@@ -189,37 +187,3 @@ def test_repeated_replies_do_not_multiply_files(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # the join reuses the partitioning of the reduced replies
     assert plan.count("Exchange hashpartitioning") == 2
-
-
-def test_http_client(monkeypatch):
-    seen = {}
-
-    class Response:
-        status = 200
-
-        def __enter__(self):
-            return self
-
-        def __exit__(self, *problem):
-            return False
-
-        def read(self):
-            return GOOD.encode()
-
-    def urlopen(request, timeout):
-        seen.update(url=request.full_url, timeout=timeout, body=json.loads(request.data),
-                    auth=request.get_header("Authorization"))
-        if seen["body"]["text"] == "busy":
-            raise urllib.error.HTTPError(request.full_url, 429, "busy", {}, None)
-        if seen["body"]["text"] == "down":
-            raise urllib.error.URLError("down")
-        return Response()
-
-    monkeypatch.setattr(http_client.urllib.request, "urlopen", urlopen)
-    client = http_client.http_client_factory("http://model.invalid/x", 3.0, lambda: "k")()
-    assert client({"text": "t"}) == (200, GOOD)
-    assert seen == {"url": "http://model.invalid/x", "timeout": 3.0, "body": {"text": "t"},
-                    "auth": "Bearer k"}
-    assert client({"text": "busy"})[0] == 429
-    with pytest.raises(OSError):
-        client({"text": "down"})

@@ -22,11 +22,10 @@ def listed(df, root):
     return sorted(os.path.relpath(r.file_path, root) for r in df.collect())
 
 
-@pytest.mark.parametrize("use_index", [False, True])
-def test_recursive_listing(spark, tmp_path, use_index):
+def test_recursive_listing(spark, tmp_path):
     root = make(tmp_path, TREE + HIDDEN)
     expected = sorted(set(TREE) - {"us/C.PDF", "fr/n.txt"})
-    assert listed(files.list_files(spark, root, use_index=use_index), root) == expected
+    assert listed(files.list_files(spark, root), root) == expected
 
 
 def test_hidden_files_on_request(spark, tmp_path):
@@ -41,19 +40,17 @@ def test_hidden_files_on_request(spark, tmp_path):
     assert set(HIDDEN) < set(walked)
 
 
-@pytest.mark.parametrize("use_index", [False, True])
-def test_flat_listing_ignores_subfolders(spark, tmp_path, use_index):
+def test_flat_listing_ignores_subfolders(spark, tmp_path):
     root = make(tmp_path, ["a.pdf", "k=1/b.pdf", "n.txt"])
-    assert listed(files.list_files(spark, root, False, use_index=use_index), root) == ["a.pdf"]
+    assert listed(files.list_files(spark, root, False), root) == ["a.pdf"]
 
 
-@pytest.mark.parametrize("use_index", [False, True])
 @pytest.mark.parametrize("recursive", [True, False])
-def test_nothing_to_list(spark, tmp_path, use_index, recursive):
+def test_nothing_to_list(spark, tmp_path, recursive):
     (tmp_path / "empty").mkdir()
     for folder in ("empty", "missing"):
         found = files.list_files(
-            spark, str(tmp_path / folder), recursive=recursive, use_index=use_index
+            spark, str(tmp_path / folder), recursive=recursive
         )
         assert found.columns == ["file_path"]
         assert found.count() == 0
@@ -87,11 +84,6 @@ def test_uri_roots(spark, tmp_path):
 def test_bytes_of_a_folder_and_of_listed_paths(spark, tmp_path):
     root = make(tmp_path, TREE)
     by_walk = {r.file_path: bytes(r.content) for r in files.read_bytes(spark, root).collect()}
-    by_index = {
-        r.file_path: bytes(r.content)
-        for r in files.read_bytes(spark, root, use_index=True).collect()
-    }
-    assert by_walk == by_index
     assert by_walk[f"{root}/fr/x y.pdf"] == b"fr/x y.pdf"
     gone = files.paths_df(spark, [f"{root}/gone.pdf"])
     assert files.read_bytes(spark, gone).first().content is None
@@ -121,17 +113,28 @@ def test_remote_schemes_take_names_literally():
     assert list(storage.list_folder(f"{root}/none")) == []
 
 
-def test_names_that_are_no_text_do_not_break_the_listing(spark, tmp_path):
-    with open(os.path.join(os.fsencode(tmp_path), b"\xff.pdf"), "w") as handle:
-        handle.write("x")
-    (tmp_path / "a.pdf").write_text("x")
-    names = listed(files.list_files(spark, str(tmp_path)), tmp_path)
-    assert len(names) == 2 and "a.pdf" in names
+@pytest.mark.parametrize("budget", [1, None])
+def test_names_that_are_no_text_are_kept_apart_and_opened(spark, tmp_path, monkeypatch, budget):
+    if budget:
+        monkeypatch.setattr(files, "_FIRST_ROUND_ENTRIES", budget)
+        monkeypatch.setattr(files, "_ROUND_ENTRIES", budget)
+    names = [b"\xff.pdf", b"\xfe.pdf", b"a.pdf", b"\xff_dir/sub/b.pdf", b"\xff_dir/\xc3.docx"]
+    for name in names:
+        path = os.path.join(os.fsencode(tmp_path), name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as handle:
+            handle.write(name)
+    found = files.read_bytes(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.content) for r in found) == sorted(names)
+    assert len({r.file_path for r in found}) == len(names)
+
 
+def test_a_folder_that_cannot_be_read_is_an_error(monkeypatch):
+    from docenrich import storage
 
-def test_listing_reads_no_content(spark, tmp_path):
-    from conftest import plan_of
+    def refuse(path):
+        raise PermissionError(path)
 
-    root = make(tmp_path, TREE)
-    plan = plan_of(files.list_files(spark, root, use_index=True))
-    assert "ReadSchema: struct<path:string>" in plan
+    monkeypatch.setattr(storage.os, "scandir", refuse)
+    with pytest.raises(PermissionError):
+        list(storage.list_folder("/a"))

@@ -1,6 +1,7 @@
 """Expressions against plain Python."""
 
 import hashlib
+import json
 from pathlib import PurePosixPath
 
 import hypothesis.strategies as st
@@ -118,3 +119,41 @@ def test_payload_keeps_an_explicit_null(spark):
     df = spark.createDataFrame([(None,), ('a"\n',)], "t string")
     got = [r.p for r in df.select(replies.request_payload(F.col("t")).alias("p")).collect()]
     assert got == ['{"text":null}', '{"text":"a\\"\\n"}']
+
+
+def strict(body):
+    """What the standard library makes of a body, NaN and Infinity apart."""
+    def refuse(name):
+        raise ValueError(name)
+
+    try:
+        value = json.loads(body, parse_constant=refuse)
+    except ValueError:
+        return replies.MALFORMED
+    if value is None:
+        return replies.NULL
+    return replies.OBJECT if isinstance(value, dict) else replies.OTHER
+
+
+BODIES = [
+    '{"type":"A"}', ' \t\r\n{"type":"A"}\n', '{"type":"A"} junk', '{"type":"A"}{"type":"B"}',
+    "{'type':'A'}", '{"type":"A\nB"}', "\tnull\n", '{"type": NaN}', "NaN", "-Infinity", "", " ",
+    "[1]", "[1],[2]", "1,2", '{"a":1}],[{"b":2}', '{"a":1},"x":{"b":2}', "1},{2", "01", "1.", "-",
+    '"x"', '"x', "true", "tru", "nul", "null null", '{"a":1,}', "[1,]", '{"a":1,"a":2}', "{}", "[]",
+    '{"a" 1}', "{a:1}", "/* c */ {}", "\u00a0{}", "\ufeff{}", '{"a":{"b":[1,{"c":null}]}}', "1e5",
+    '{"a":"\\u00e9"}', '{"a":"\\x"}', "{", "}", "]", "[", '"', "{}}", "[]]", "0", "+1", ".5",
+]
+
+
+def test_bodies_are_judged_by_the_standard(spark):
+    rows = spark.createDataFrame([(b,) for b in BODIES], "body string")
+    got = rows.select("body", replies.reply_kind(F.col("body")).alias("kind")).collect()
+    assert {r.body: r.kind for r in got} == {b: strict(b) for b in BODIES}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet='{}[]:,"\'01-.eE \t\nantrulfs\\', max_size=12), max_size=60))
+def test_any_body_is_judged_by_the_standard(spark, bodies):
+    rows = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = rows.select("body", replies.reply_kind(F.col("body")).alias("kind")).collect()
+    assert {r.body: r.kind for r in got} == {b: strict(b) for b in bodies}

@@ -6,6 +6,7 @@ import uuid
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -94,7 +95,7 @@ def test_second_run_asks_only_about_what_failed(spark, job, waves):
     assert {r.run_seq for r in table.collect()} == {1, 2, 3}
     log = failure_log(table.where("run_seq = 1"), path_col="filepath").collect()
     assert [(r.level, r.message) for r in log] == [
-        ("WARNING", f"API call failed for file: {job}/root/fr/bad.pdf")
+        ("WARNING", f"API call failed for file: {job}/root/fr/bad.pdf: status 500: refused")
     ]
 
 
@@ -145,7 +146,7 @@ def test_flags_and_minimal_runs_write_csv_and_ask_once(spark, job):
     assert (rows["bad.pdf"].extraction_failure, rows["bad.pdf"].api_failure) == ("no", "yes")
     assert rows["bad.pdf"].type == "Unknown Type"
     assert [r.message for r in failure_log(settled).collect()] == [
-        f"API call failed for file: {job}/root/fr/bad.pdf"
+        f"API call failed for file: {job}/root/fr/bad.pdf: status 500: refused"
     ]
     assert calls(job) == 4
 
@@ -187,6 +188,9 @@ def test_ledger_folder_with_bad_files(spark, tmp_path):
         "cut.json": json.dumps(good)[:25],
         "keyless.json": '{"status": "success"}',
         "list.json": json.dumps([good]),
+        "junk.json": json.dumps(good) + " junk",
+        "half.json": json.dumps(good) + json.dumps(good)[:30],
+        "quotes.json": json.dumps(good).replace('"', "'"),
         "empty.json": "",
         "note.txt": json.dumps(good),
     }
@@ -199,7 +203,10 @@ def test_ledger_folder_with_bad_files(spark, tmp_path):
     assert [r.filepath for r in ledgers.processed_paths(entries).collect()] == ["/a.pdf"]
     corrupt = {os.path.basename(r.file) for r in read_corrupt(spark, str(folder)).collect()}
     # an empty file is no JSON either
-    assert corrupt == {"cut.json", "empty.json", "keyless.json", "list.json"}
+    assert corrupt == {
+        "cut.json", "empty.json", "keyless.json", "list.json", "junk.json", "half.json",
+        "quotes.json",
+    }
 
 
 def test_keyed_files_are_replaced_in_place(spark, tmp_path):
@@ -261,13 +268,14 @@ def test_preview_cuts_like_show(spark):
 
 
 def test_stream_takes_each_file_once(spark, job):
-    root, state = str(job / "root"), job / "state"
-    args = (spark, root, str(state / "checkpoint"), str(state / "table"))
-    assert ingest_new(*args).count() == 3
-    assert ingest_new(*args).count() == 3
+    args = (spark, str(job / "root"), str(job / "table"))
+    (job / "root" / "empty.pdf").touch()
+    assert ingest_new(*args).count() == 5
+    assert ingest_new(*args).count() == 5
     (job / "root" / "us" / "new.pdf").write_text("new US")
     table = ingest_new(*args)
-    assert table.count() == 4
+    assert table.count() == 6
+    assert {os.path.basename(r.file_path): r.length for r in table.collect()}["empty.pdf"] == 0
     assert table.columns == ["file_path", "modified", "length"]
 
 
@@ -281,22 +289,15 @@ def test_stream_settles_into_the_ledger(spark, job):
         )
         return read_ledger_table(spark, ledger_dir)
 
-    assert go().count() == 3
-    assert go().count() == 3
-    assert calls(job) == 3
+    assert go().count() == 4
+    assert go().count() == 4
+    assert calls(job) == 4
     (job / "root" / "us" / "new.pdf").write_text("new US")
     table = go()
-    assert calls(job) == 4
-    assert table.count() == 4
+    assert calls(job) == 5
+    assert table.count() == 5
     # the stream does not look back at what failed; a batch run does
-    assert status_run(spark, job) == {"fr/bad.pdf": "error", "fr/_h.pdf": "success"}
-
-
-def test_anti_join_runs_before_documents_are_read(spark, sf_dir):
-    files, ledger = inputs.doc_bytes(spark, sf_dir), inputs.ledger(spark, sf_dir)
-    plan = plan_of(runs.status_rows(files, ledger, factory_of_nothing, EXTRACTORS, RULES))
-    assert plan.index("request_text") < plan.index("parts#") < plan.index("LeftAnti")
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert status_run(spark, job) == {"fr/bad.pdf": "error"}
 
 
 def factory_of_nothing():
@@ -357,8 +358,64 @@ def test_a_repeated_batch_asks_nobody_again(spark, job, monkeypatch):
     monkeypatch.setattr(ingest, "append_ledger", breaks_after_writing)
     with pytest.raises(StreamingQueryException):
         settle_new(*args, num_partitions=2)
-    assert calls(job) == 3
+    assert calls(job) == 4
     monkeypatch.setattr(ingest, "append_ledger", append_ledger)
     settle_new(*args, num_partitions=2)
-    assert calls(job) == 3
-    assert read_ledger_table(spark, str(job / "ledger")).count() == 3
+    assert calls(job) == 4
+    assert read_ledger_table(spark, str(job / "ledger")).count() == 4
+
+
+def test_result_files_are_made_up(spark, job):
+    folder = str(job / "json")
+    status_run(spark, job)
+    status_run(spark, job, json_dir=folder)
+    assert read_ledger(spark, folder).count() == 4
+    assert calls(job) == 5
+    lost = next(r.file for r in read_corrupt_or_all(spark, folder) if "bad" not in r.value)
+    os.remove(lost)
+    os.remove(job / "calls" / "broken")
+    status_run(spark, job, json_dir=folder)
+    assert {r.status for r in read_ledger(spark, folder).collect()} == {"success"}
+    assert calls(job) == 6
+
+
+def read_corrupt_or_all(spark, folder):
+    return [
+        Row(file=os.path.join(folder, name), value=open(os.path.join(folder, name)).read())
+        for name in os.listdir(folder)
+    ]
+
+
+def test_a_file_listed_twice_is_asked_about_once(spark, job):
+    files = spark.createDataFrame(
+        [("/t/a.pdf", bytearray(b"one US"))] * 3, "file_path string, content binary"
+    )
+    none = spark.createDataFrame([], LEDGER)
+    rows = runs.status_rows(files, none, factory(job), EXTRACTORS, RULES).collect()
+    assert [r.filepath for r in rows] == ["/t/a.pdf"]
+    assert runs.run_status(
+        spark, files, str(job / "ledger"), factory(job), EXTRACTORS, RULES
+    ).count() == 1
+    assert calls(job) == 2
+
+
+def test_a_suffix_without_an_extractor_stops_the_plan(spark):
+    files = spark.createDataFrame([("/a.pdf",)], "file_path string")
+    with pytest.raises(ValueError, match="pdf"):
+        runs.settled_rows(files, factory_of_nothing)
+
+
+def test_no_shuffle_carries_documents(spark, sf_dir):
+    from checks.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(QUERIES["status_run"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftAnti" in plan
+    moved = [x for x in plan.splitlines() if "Exchange" in x or "Sort [" in x]
+    assert moved and not [x for x in moved if "content" in x or "text" in x]
+    above = plan[: plan.index("LeftAnti")]
+    assert "Exchange" not in above and "ReadSchema: struct<doc_id:bigint,text" not in plan

@@ -90,11 +90,12 @@ def test_extract_from_files(spark, tmp_path):
     ]
 
 
-def test_missing_unsupported_and_libraryless_files(spark, tmp_path):
+def test_missing_and_unsupported_files(spark, tmp_path):
     (tmp_path / "x.txt").write_text("x")
     (tmp_path / "x.pdf").write_text("x")
     paths = [(f"{tmp_path}/{n}",) for n in ("x.txt", "x.pdf", "gone.docx")]
-    rows = extract_text(spark.createDataFrame(paths, "file_path string")).collect()
+    broken = {".pdf": Extractor(lambda content: 1 / 0, PAGES)}
+    rows = extract_text(spark.createDataFrame(paths, "file_path string"), broken).collect()
     errors = {r.file_path.rsplit("/", 1)[1]: r.error for r in rows}
     assert errors["x.txt"] == "Unsupported file format"
     assert "gone.docx" in errors["gone.docx"]
@@ -160,5 +161,6 @@ def test_join_of_joined_pages_shuffles_no_further(long_pages):
     from conftest import plan_of
 
     plan = plan_of(assemble.join_pages(long_pages[1].select("*")))
-    # head once; tail by block and by file; the fixture itself once per side
-    assert plan.count("Exchange hashpartitioning") == 3
+    # by block, then by file; the input is read once
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Scan ExistingRDD") == 1
