@@ -201,13 +201,15 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     met = work.save(uses.join(lexicon, "term").select("row", "of", F.struct("term", "mask").alias("use")), "met")
     told = work.save(both.drop("terms", "edited_terms"), "told")
     work.drop(both, lexicon)
-    kept = work.save(
-        met.groupBy("row").agg(
+    # sorted below the join, so once and not for each subset
+    kept = (
+        met.groupBy("row")
+        .agg(
             F.collect_list(F.when(F.col("of") != 2, F.col("use"))).alias("own"),
             F.collect_list(F.when(F.col("of") != 1, F.col("use"))).alias("edit"),
-        ).select("row", *[F.array_sort(c).alias(c) for c in ("own", "edit")]),
-        "kept",
-    )
+        )
+        .select("row", *[F.array_sort(c).alias(c) for c in ("own", "edit")])
+    )
     none = F.array().cast("array<struct<term:long,mask:long>>")
     prints = work.save(
         told.join(kept, "row", "left")
@@ -218,7 +220,7 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         ),
         "prints",
     )
-    work.drop(met, told, kept)
+    work.drop(met, told)
     following = prints.select(F.col("key").alias("next_key"), F.col("hashes").alias("next_hashes"))
     following = following.dropDuplicates(["next_key"])
     return prints.join(following, "next_key").select(
