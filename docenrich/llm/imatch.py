@@ -32,7 +32,7 @@ _QUANTILES = 64
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, next_text)``: the next text by descending id; after the last, the first.
+    """``(doc_id, text, next_id, next_text)``: the next row by descending id; after the last, the first.
 
     Null texts are empty. Rows that repeat an id follow each other in the order
     of their texts' hashes; rows without an id come last. The rows are dealt to
@@ -79,9 +79,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return (
         bucketed.withColumn("ghost", F.lit(0))
         .unionByName(ghosts)
-        .withColumn("next_text", F.lead("text").over(line))
+        .withColumn("next", F.lead(F.struct("doc_id", "text")).over(line))
         .where("ghost = 0")
-        .select("doc_id", "text", "next_text")
+        .select("doc_id", "text", F.col("next.doc_id").alias("next_id"), F.col("next.text").alias("next_text"))
     )
 
 
@@ -164,13 +164,14 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
             "doc_id",
             F.char_length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
-            F.unhex(F.md5("text")).alias("key"),
-            F.unhex(F.md5("next_text")).alias("next_key"),
+            F.xxhash64("text").alias("key"),
+            "next_id",
+            F.xxhash64("next_text").alias("next_key"),
             term_hashes(F.col("text")).alias("all_terms"),
             term_hashes(F.col("edited")).alias("all_edited"),
         ).select(
             F.monotonically_increasing_id().alias("row"),
-            "doc_id", "n_chars", "edited_sha256", "key", "next_key",
+            "doc_id", "n_chars", "edited_sha256", "key", "next_id", "next_key",
             _sampled(F.col("all_terms")).alias("terms"),
             _sampled(F.col("all_edited")).alias("edited_terms"),
             F.xxhash64(F.array_sort("all_terms")).alias("all_terms"),
@@ -214,15 +215,18 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     prints = work.save(
         told.join(kept, "row", "left")
         .select(
-            "doc_id", "n_chars", "edited_sha256", "key", "next_key",
+            "doc_id", "n_chars", "edited_sha256", "key", "next_id", "next_key",
             subset_hashes(F.coalesce("own", none), F.col("all_terms")).alias("hashes"),
             subset_hashes(F.coalesce("edit", none), F.col("all_edited")).alias("edited_hashes"),
         ),
         "prints",
     )
     work.drop(met, told)
-    following = prints.select(F.col("key").alias("next_key"), F.col("hashes").alias("next_hashes"))
-    following = following.dropDuplicates(["next_key"])
-    return prints.join(following, "next_key").select(
+    # by id as well, for copies of one text would all meet in one task
+    following = prints.select(
+        F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), F.col("hashes").alias("next_hashes")
+    ).dropDuplicates(["its_id", "its_key"])
+    same = F.col("next_id").eqNullSafe(F.col("its_id")) & (F.col("next_key") == F.col("its_key"))
+    return prints.join(following, same).select(
         "doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", "next_hashes"
     )
