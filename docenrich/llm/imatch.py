@@ -62,16 +62,16 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 F.col("part") * within + F.least(inside, F.lit(within - 1))
             ),
         ).drop("part")
-    heads = bucketed.groupBy("bucket").agg(F.max("doc_id").alias("head"))
-    # one row for each bucket: few, so that one task can line them up
+    # one number for each bucket: few, so that one task can line them up
     order = Window.orderBy(F.desc("bucket"))
-    heads = heads.select(
-        "head",
-        F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(Window.partitionBy())).alias("to"),
-    )
-    ghosts = (
-        bucketed.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))
-        .select("doc_id", "text", F.col("to").alias("bucket"), F.lit(1).alias("ghost"))
+    after = bucketed.select("bucket").distinct().select(
+        "bucket", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(Window.partitionBy())).alias("to")
+    )
+    # the first row in the order of the line below; tasks send one of each bucket
+    place = F.struct(F.isnull("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("text"))
+    heads = bucketed.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "text"), place).alias("head"))
+    ghosts = heads.join(after, "bucket").select(
+        "head.doc_id", "head.text", F.col("to").alias("bucket"), F.lit(1).alias("ghost")
     )
     line = Window.partitionBy("bucket").orderBy(
         "ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text")
