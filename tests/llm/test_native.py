@@ -37,6 +37,15 @@ def test_next_rows_with_repeats_and_no_ids(spark):
     assert imatch.with_next(spark.createDataFrame([(1, "only")], "doc_id long, text string")).first()["next_text"] == "only"
 
 
+def test_next_rows_over_many_buckets_of_copies(spark):
+    rows = [(i * 3 - 5000, "copy" if i % 3 else f"text {i}") for i in range(4000)]
+    found = imatch.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    line = sorted(rows, reverse=True)
+    wanted = {a: b for (a, _), b in zip(line, line[1:] + line[:1])}
+    assert {r["doc_id"]: (r["next_id"], r["next_text"]) for r in found} == wanted
+    assert len(found) == len(rows)
+
+
 def test_fingerprints_by_plain_lexicon(spark):
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words[i % 50 : i % 50 + 9]) + (" Common" if i % 2 else "") for i in range(80)] + ["lonely rareword", "", None]
