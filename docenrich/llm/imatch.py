@@ -45,8 +45,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     count, low, high, cuts = rows.agg(
         F.count("*"), F.min("doc_id"), F.max("doc_id"), F.percentile_approx("doc_id", steps, 10_000)
     ).first()
+    # rows without id: 1024 buckets by their order, that of the hashes
+    unnamed = -513 - F.shiftright(F.xxhash64("text"), 54)
     if low is None:
-        bucketed = rows.withColumn("bucket", F.lit(0).cast("long"))
+        bucketed = rows.withColumn("bucket", unnamed)
     else:
         edges = sorted({low, *(cuts or []), high + 1})
         within = max(1, -(-count // (_QUANTILES * _ROWS_PER_BUCKET)))
@@ -58,7 +60,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         inside = F.floor((F.col("doc_id") - span["a"]) / (span["b"] - span["a"]) * within)
         bucketed = rows.withColumn(
             "bucket",
-            F.when(F.col("doc_id").isNull(), -1).otherwise(
+            F.when(F.col("doc_id").isNull(), unnamed).otherwise(
                 F.col("part") * within + F.least(inside, F.lit(within - 1))
             ),
         ).drop("part")

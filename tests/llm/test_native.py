@@ -33,6 +33,11 @@ def test_next_rows_with_repeats_and_no_ids(spark):
     found = imatch.with_next(df).collect()
     assert len(found) == len(rows) and all(r["next_text"] is not None for r in found)
     assert {r["next_text"] for r in found if r["doc_id"] == 9} <= {"a", "b"}
+    unnamed = [(None, f"n{i % 90}") for i in range(100)]
+    for all_rows in (rows + unnamed, unnamed):
+        found = imatch.with_next(spark.createDataFrame(all_rows, "doc_id long, text string")).collect()
+        assert sorted(r["next_text"] for r in found) == sorted(t or "" for _, t in all_rows)
+        assert sorted(r["text"] for r in found) == sorted(t or "" for _, t in all_rows)
     assert imatch.fingerprint_with_edits(df.limit(0)).collect() == []
     assert imatch.with_next(spark.createDataFrame([(1, "only")], "doc_id long, text string")).first()["next_text"] == "only"
 
