@@ -4,10 +4,10 @@ Pages are put in order of host and dealt out in blocks of a host's pages. The
 words of a block's pages form one stream, over which a suffix array is built:
 runs of words that distinct pages of the host share lie next to each other in
 it. A run that enough of the pages share is boilerplate and is removed; what is
-unique to the pages stays. Markup that names menus, headers, footers, sidebars,
+unique to the pages stays. Pages that are equal or nearly so are one witness. Markup that names menus, headers, footers, sidebars,
 notices, adverts, forms and comments is dropped before; where a page marks its
-article, only what nearly every page of the host repeats is removed from it, as
-articles may well be copies of each other.
+article, only what nearly every page of the host repeats is removed from it, and
+never the whole of it.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from docenrich.cluster import ship_package
 from docenrich.llm.common import clean_text
-from docenrich.llm.textbytes import slices, word_bounds, word_hashes
+from docenrich.llm.textbytes import run_hashes, slices, word_bounds, word_hashes
 
 #: Words of the shortest run that counts as repeated (a power of two).
 RUN_WORDS = 8
@@ -34,6 +34,8 @@ BLOCK_PAGES, BLOCK_WORDS = 256, 400_000
 LOOSE_PAGES, LOOSE_SHARE = 3, 0.3
 #: ... and inside.
 MARKED_PAGES, MARKED_SHARE = 10, 0.8
+#: Pages that have this share of their runs in common are copies; looked for by their first runs in order of hash.
+COPY_SHARE, COPY_RUNS = 0.8, 8
 
 # Names of the format, and words by which pages name their parts.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -164,9 +166,42 @@ def page_blocks(html: str) -> list[Block]:
     return blocks
 
 
-def repeated_runs(words: np.ndarray, page: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def copy_groups(words: np.ndarray, page: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` pages the number of the first page that it is a copy of, its own if none.
+
+    ``page`` is the page of each word, in order.
+    """
+    first = np.searchsorted(page, np.arange(count + 1))
+    groups = np.arange(count)
+    held: dict[int, np.ndarray] = {}
+    by_run: dict[int, list[int]] = {}
+    by_words: dict[bytes, int] = {}
+    for k in range(count):
+        own = words[first[k] : first[k + 1]]
+        groups[k] = by_words.setdefault(own.tobytes(), k)
+        if groups[k] != k or len(own) < RUN_WORDS:
+            continue
+        runs = np.unique(run_hashes(own, RUN_WORDS))
+        sketch = runs[:COPY_RUNS].tolist()
+        for other in dict.fromkeys(j for run in sketch for j in by_run.get(run, ())):
+            both = len(np.intersect1d(runs, held[other], assume_unique=True))
+            if both >= COPY_SHARE * (len(runs) + len(held[other]) - both):
+                groups[k] = by_words[own.tobytes()] = other
+                break
+        else:
+            held[k] = runs
+            for run in sketch:
+                by_run.setdefault(run, []).append(k)
+    return groups
+
+
+def repeated_runs(
+    words: np.ndarray, page: np.ndarray, length: int, group: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """For each place, how many pages share the run of ``length`` words that starts there.
 
+    With ``group``, the group of each word's page, pages of one group count once.
+
     Suffixes are sorted by doubling up to ``length`` words; equal runs are then
     neighbours in the suffix array. Runs do not cross pages. Also returns the
     places in suffix order.
@@ -185,14 +220,15 @@ def repeated_runs(words: np.ndarray, page: np.ndarray, length: int) -> tuple[np.
         _, rank = np.unique(rank * (n + 2) + following, return_inverse=True)
         rank = rank.astype(np.int64) + 1
         have *= 2
-    order = np.lexsort((page, rank))
-    sorted_rank, sorted_page = rank[order], page[order]
+    witness = page if group is None else group
+    order = np.lexsort((witness, rank))
+    sorted_rank, sorted_page = rank[order], witness[order]
     fresh = np.r_[True, sorted_rank[1:] != sorted_rank[:-1]]
     new_page = fresh | np.r_[True, sorted_page[1:] != sorted_page[:-1]]
-    group = np.cumsum(fresh) - 1
-    pages = np.bincount(group, weights=new_page).astype(np.int64)
+    run = np.cumsum(fresh) - 1
+    pages = np.bincount(run, weights=new_page).astype(np.int64)
     shared = np.empty(n, dtype=np.int64)
-    shared[order] = pages[group]
+    shared[order] = pages[run]
     shared[left < length - 1] = 1
     return shared, order
 
@@ -214,8 +250,10 @@ def main_texts(pages: list[list[Block]]) -> list[str]:
     stream, block_of = np.concatenate(words), np.concatenate(owner)
     texts = [[b.text for b in blocks] for blocks in chosen]
     if len(pages) >= LOOSE_PAGES and len(stream) >= RUN_WORDS and len(page_of):
-        shared, _ = repeated_runs(stream, page_of[block_of], RUN_WORDS)
-        count = len(pages)
+        page = page_of[block_of]
+        groups = copy_groups(stream, page, len(pages))
+        count = len(np.unique(groups))
+        shared, _ = repeated_runs(stream, page, RUN_WORDS, groups[page])
         loose = shared >= max(LOOSE_PAGES, LOOSE_SHARE * count)
         strict = shared >= max(MARKED_PAGES, MARKED_SHARE * count)
         run = np.where(marked[block_of], strict, loose)
@@ -223,6 +261,9 @@ def main_texts(pages: list[list[Block]]) -> list[str]:
         edge[np.flatnonzero(run)] += 1
         edge[np.flatnonzero(run) + RUN_WORDS] -= 1
         covered = np.cumsum(edge)[: len(stream)] > 0
+        # what is repeated to the last word is an article all the same
+        stays = np.bincount(page, weights=~covered, minlength=len(pages)) > 0
+        covered &= ~marked[block_of] | stays[page]
         first_word = np.searchsorted(block_of, np.arange(len(flat) + 1))
         first_block = np.cumsum([0, *[len(b) for b in chosen]])
         for block in np.unique(block_of[covered]).tolist():

@@ -81,6 +81,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(np.add.reduceat(terms, before) + sizes.astype(np.uint64))
 
 
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words, from the hashes of the words."""
+    runs = max(0, len(words) - n + 1)
+    whole = np.full(runs, n, dtype=np.uint64)
+    for k in range(n):
+        whole += words[k : k + runs] * _OF_SHINGLE[k]
+    return mix64(whole)
+
+
 def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of ``n`` words.
 
@@ -89,11 +98,7 @@ def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
     for _, data, offsets in slices(column):
         starts, ends, first = word_bounds(data, offsets)
         words = word_hashes(data, starts, ends)
-        runs = max(0, len(words) - n + 1)
-        whole = np.full(runs, n, dtype=np.uint64)
-        for k in range(n):
-            whole += words[k : k + runs] * _OF_SHINGLE[k]
-        whole = mix64(whole)
+        whole = run_hashes(words, n)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             if b - a >= n:
                 yield np.unique(whole[a : b - n + 1])

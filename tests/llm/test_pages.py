@@ -35,6 +35,24 @@ def test_copies_of_marked_articles_stay():
     assert htmltext.main_texts([htmltext.page_blocks(pages[0])] * 5)[0].startswith("the very same")
 
 
+def test_copies_are_one_witness():
+    def of(pages):
+        return htmltext.main_texts([htmltext.page_blocks(p) for p in pages])
+
+    words = [f"word{k}" for k in range(150)]
+    article = " ".join(words)
+    others = [f"<p>{' '.join(f'other{i}x{k}' for k in range(60))}</p>" for i in range(2)]
+    assert of([f"<article><p>{article}</p></article>"] * 10 + others)[:10] == [article] * 10
+    assert of([f"<div>{article}</div>"] * 3 + others)[:3] == [article] * 3
+    # near copies: a word of its own in each
+    near = [" ".join([*words[: 10 * i + 5], f"own{i}", *words[10 * i + 6 :]]) for i in range(12)]
+    assert of([f"<article><p>{t}</p></article>" for t in near] + others)[:12] == near
+    assert of([f"<div>{t}</div>" for t in near[:3]] + others)[:3] == near[:3]
+    # an article that pages with other parts around it have in common
+    whole = [f"<body><article><p>{article}</p></article><p>{i}</p></body>" for i in range(12)]
+    assert of(whole) == [article] * 12
+
+
 def test_repeated_runs_by_plain_search():
     import numpy as np
 
