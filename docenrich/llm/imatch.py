@@ -22,8 +22,8 @@ from docenrich.llm.common import Workspace, clean_text
 MIN_DF = 2
 #: ... and in at most this share of them.
 MAX_DF_SHARE = 0.1
-#: The lexicon holds one term of so many, chosen by hash (a power of two).
-LEXICON_ONE_IN = 4
+#: The lexicon holds one term of so many: all that lie in the band.
+LEXICON_ONE_IN = 1
 #: Subset j keeps one lexicon term of 2 ** (1 + j mod LEVELS).
 LEVELS = 8
 SUBSETS = 48
@@ -100,10 +100,6 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def _sampled(terms: Column) -> Column:
-    return F.filter(terms, lambda t: t.bitwiseAND(F.lit(LEXICON_ONE_IN - 1)) == 0)
-
-
 def subset_mask(term: Column) -> Column:
     """A bit for each subset of the lexicon, set where the subset keeps the term."""
     bits = [
@@ -174,8 +170,8 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         ).select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id", "n_chars", "edited_sha256", "key", "next_id", "next_key",
-            _sampled(F.col("all_terms")).alias("terms"),
-            _sampled(F.col("all_edited")).alias("edited_terms"),
+            F.col("all_terms").alias("terms"),
+            F.col("all_edited").alias("edited_terms"),
             F.xxhash64(F.array_sort("all_terms")).alias("all_terms"),
             F.xxhash64(F.array_sort("all_edited")).alias("all_edited"),
         ),

@@ -69,6 +69,15 @@ def test_fingerprints_by_plain_lexicon(spark):
     assert all(len(x) == 1 for x in by_terms.values()) and all(len(x) == 1 for x in by_hashes.values())
 
 
+def test_every_term_of_the_band_counts(spark):
+    texts = [f"left{i} right{i} own{i}x{k}" for i in range(40) for k in (0, 1)]
+    texts += [f"left{i} own{i}x2" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r["hashes"]) for r in imatch.fingerprint_with_edits(df).collect()}
+    for i in range(40):
+        assert found[2 * i] == found[2 * i + 1] != found[80 + i]
+
+
 def test_likeness(spark):
     row = spark.sql("select array(1,0,3,0) a, array(1,2,0,0) b, array(0,0,0,0) z")
     got = row.select(imatch.likeness(F.col("a"), F.col("b")), imatch.likeness(F.col("a"), F.col("a")), imatch.likeness(F.col("z"), F.col("z"))).first()
