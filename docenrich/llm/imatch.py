@@ -7,6 +7,10 @@ that the lexicon keeps are sorted, and hashed once for each of several
 randomised subsets of the lexicon. The subsets get sparser from level to level:
 dense ones tell near copies apart, sparse ones still agree on texts that share
 a part.
+
+Copies push their own terms out of the band. So it is enough for a term to be
+in few of the distinct term sets, and a text that has little of the lexicon, as
+all of a large group of near copies, is hashed by the same subsets of all its terms.
 """
 
 from __future__ import annotations
@@ -20,13 +24,17 @@ from docenrich.llm.common import Workspace, clean_text
 
 #: A lexicon term is in at least so many documents ...
 MIN_DF = 2
-#: ... and in at most this share of them.
+#: ... and in at most this share of them, or of their distinct term sets.
 MAX_DF_SHARE = 0.1
+#: A text with fewer lexicon terms than one of so many is fingerprinted by all its terms.
+FEW_ONE_IN = 4
 #: The lexicon holds one term of so many: all that lie in the band.
 LEXICON_ONE_IN = 1
 #: Subset j keeps one lexicon term of 2 ** (1 + j mod LEVELS).
 LEVELS = 8
 SUBSETS = 48
+#: Set in a term's mask, above the bits of the subsets, if the term is in the lexicon.
+_IN_BAND = 1 << SUBSETS
 _ROWS_PER_BUCKET = 2048
 _QUANTILES = 64
 
@@ -112,17 +120,18 @@ def subset_mask(term: Column) -> Column:
 
 
 def subset_hashes(terms: Column, otherwise: Column) -> Column:
-    """One 32-bit hash for each subset of the lexicon; 0 where the text has no term of it.
+    """One 32-bit hash for each subset; 0 where it keeps none of the terms.
 
-    ``terms`` are the text's sorted lexicon terms with their masks. A text with none is
-    hashed by ``otherwise``, the hash of all its terms.
+    ``terms`` are the text's sorted terms with their masks. If no subset keeps any, the
+    text is hashed by ``otherwise``, the hash of all its terms.
     """
 
     def one(j: int) -> Column:
         kept = F.filter(terms, lambda t: t["mask"].bitwiseAND(F.lit(1 << j)) != 0)["term"]
         return F.when(F.size(kept) == 0, F.lit(0).cast("long")).otherwise(_short(F.xxhash64(kept, F.lit(j))))
 
-    return F.when(F.size(terms) > 0, F.array(*[one(j) for j in range(SUBSETS)])).otherwise(
+    kept = F.exists(terms, lambda t: t["mask"].bitwiseAND(F.lit(_IN_BAND - 1)) != 0)
+    return F.when(kept, F.array(*[one(j) for j in range(SUBSETS)])).otherwise(
         F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda j: _short(F.xxhash64(otherwise, j)))
     )
 
@@ -148,8 +157,9 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """Fingerprints of every text and of its edited text, and how alike they are.
 
     Returns ``doc_id, n_chars, edited_sha256, hashes, edited_hashes,
-    next_hashes``. Null text: empty. A text without lexicon terms (empty ones
-    too) is fingerprinted by all its terms. Equal texts have equal hashes.
+    next_hashes``. Null text: empty. A text that has few lexicon terms (empty
+    ones too) is fingerprinted by all its terms, and so is its edited text then,
+    or an edited text that has no lexicon term. Equal texts have equal hashes.
     Repeated rows stay; an empty table gives an empty one; other columns are
     not looked at.
     """
@@ -177,14 +187,26 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         ),
         "texts",
     )
+    # a row is fresh if it is the first of those that have its terms
+    repeated = work.save(
+        both.groupBy("all_terms").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1"), "repeated"
+    )
     n = both.count()
-    lexicon = (
-        both.select(F.explode("terms").alias("term"))
+    distinct = n - (repeated.agg(F.sum(F.col("rows") - 1)).first()[0] or 0)
+    fresh = F.coalesce(F.col("row") == F.col("first"), F.lit(True)).cast("long")
+    most = lambda rows: max(MIN_DF, rows * MAX_DF_SHARE)
+    in_band = (F.col("df") >= MIN_DF) & ((F.col("df") <= most(n)) | (F.col("fresh_df") <= most(distinct)))
+    vocabulary = (
+        both.select("row", "all_terms", "terms")
+        .join(repeated.select("all_terms", "first"), "all_terms", "left")
+        .select(fresh.alias("fresh"), F.explode("terms").alias("term"))
         .groupBy("term")
-        .agg(F.count("*").alias("df"))
-        .where((F.col("df") >= MIN_DF) & (F.col("df") <= max(MIN_DF, n * MAX_DF_SHARE)))
+        .agg(F.count("*").alias("df"), F.sum("fresh").alias("fresh_df"))
+        .select("term", F.when(in_band, _IN_BAND).otherwise(0).cast("long").alias("band"))
+    )
+    vocabulary = work.save(
+        vocabulary.select("term", subset_mask(F.col("term")).bitwiseOR(F.col("band")).alias("mask")), "vocabulary"
     )
-    lexicon = work.save(lexicon.select("term", subset_mask(F.col("term")).alias("mask")), "lexicon")
     # a term that both texts have travels once: 1 the text, 2 the edited one, 3 both
     of = lambda terms, who: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(who).cast("byte").alias("of")))
     uses = both.select(
@@ -197,17 +219,28 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
             )
         ),
     )
-    met = work.save(uses.join(lexicon, "term").select("row", "of", F.struct("term", "mask").alias("use")), "met")
+    # words that only the edit has made are in no text: they have no mask yet
+    mask = F.coalesce(F.col("mask"), subset_mask(F.col("term")))
+    met = uses.join(vocabulary, "term", "left").select("row", "of", F.struct("term", mask.alias("mask")).alias("use"))
+    met = work.save(met, "met")
     told = work.save(both.drop("terms", "edited_terms"), "told")
-    work.drop(both, lexicon)
-    # sorted below the join, so once and not for each subset
+    work.drop(both, repeated, vocabulary)
+    of_band = {c: F.filter(c, lambda t: t["mask"] >= _IN_BAND) for c in ("own", "edit")}
+    few = F.size(of_band["own"]) * FEW_ONE_IN < F.size("own")
+    # chosen and sorted below the join, so once and not for each subset
     kept = (
         met.groupBy("row")
         .agg(
             F.collect_list(F.when(F.col("of") != 2, F.col("use"))).alias("own"),
             F.collect_list(F.when(F.col("of") != 1, F.col("use"))).alias("edit"),
         )
-        .select("row", *[F.array_sort(c).alias(c) for c in ("own", "edit")])
+        .select(
+            "row",
+            F.array_sort(F.when(few, F.col("own")).otherwise(of_band["own"])).alias("own"),
+            F.array_sort(
+                F.when(few | (F.size(of_band["edit"]) == 0), F.col("edit")).otherwise(of_band["edit"])
+            ).alias("edit"),
+        )
     )
     none = F.array().cast("array<struct<term:long,mask:long>>")
     prints = work.save(

@@ -78,6 +78,25 @@ def test_every_term_of_the_band_counts(spark):
         assert found[2 * i] == found[2 * i + 1] != found[80 + i]
 
 
+def test_near_copies_are_alike_however_many(spark):
+    base = [f"base{k}" for k in range(60)]
+    near = [" ".join([*base[: i % 60], f"changed{i // 2}", *base[i % 60 + 1 :]]) for i in range(40)]
+    copies = [" ".join(f"copied{k}" for k in range(30))] * 20
+    other = [" ".join(f"other{i // 2}x{k}" for k in range(60)) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(near + copies + other)), "doc_id long, text string")
+    prints = imatch.fingerprint_with_edits(df).select(
+        "doc_id",
+        imatch.likeness(F.col("hashes"), F.col("edited_hashes")).alias("edited"),
+        imatch.likeness(F.col("hashes"), F.col("next_hashes")).alias("next"),
+    )
+    found = {r["doc_id"]: r for r in prints.collect()}
+    # ids descend: the next row of 1 is 0
+    assert all(0.4 < found[i]["next"] < 1 for i in range(2, 40, 2))
+    # half of an edited text is new, so a few of the subsets at most agree
+    assert sum(found[i]["edited"] for i in range(1, 40)) / 39 > 0.1
+    assert all(found[i]["next"] == 1 for i in range(41, 60))
+
+
 def test_likeness(spark):
     row = spark.sql("select array(1,0,3,0) a, array(1,2,0,0) b, array(0,0,0,0) z")
     got = row.select(imatch.likeness(F.col("a"), F.col("b")), imatch.likeness(F.col("a"), F.col("a")), imatch.likeness(F.col("z"), F.col("z"))).first()
