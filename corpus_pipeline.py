@@ -31,10 +31,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that with the smallest id, of each group of near copies."""
-    groups = jaccard.near_duplicates(docs)
-    kept = groups.where("component_id = doc_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Keep one document of each group of near copies, and every one that is in no group.
+
+    That with the smallest id (nulls last), of rows with equal ids that with the smallest
+    hash of its text. Rows without words are near copies of none; all stay.
+    """
+    work = Workspace(spark, "one_of_a_kind")
+    # written, so that a row keeps its number
+    rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    first = F.struct(F.isnull("doc_id"), "doc_id", F.xxhash64("text"), "_row")
+    kept = (
+        rows.select("_row", first.alias("first"))
+        .join(groups.select(F.col("doc_id").alias("_row"), F.coalesce("component_id", "doc_id").alias("group")), "_row")
+        .groupBy("group")
+        .agg(F.min("first").alias("first"))
+    )
+    return rows.join(kept.select("first._row"), "_row", "left_semi").select(docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,3 +39,15 @@ def test_only_what_is_rejected_goes(spark, sf_dir):
     clean = docs.join(labels, "doc_id", "left_semi")
     kept = cp.good_quality(spark, docs, sf_dir).join(labels, "doc_id", "left_semi")
     assert kept.count() >= 0.97 * clean.count()
+
+
+def test_one_of_a_kind_without_ids_and_with_repeated_ones(spark, sf_dir):
+    def text(name):
+        return " ".join(f"{name}{k}" for k in range(30))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (5, text("b")), (1, text("c")), (1, text("c")), (1, text("d")),
+            (2, text("d")), (2, text("e")), (3, ""), (3, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r["doc_id"], r["text"]) for r in cp.one_of_a_kind(spark, docs, sf_dir).collect()), key=repr)
+    wanted = [(None, text("a")), (5, text("b")), (1, text("c")), (1, text("d")), (2, text("e")), (3, ""), (3, None), (None, None)]
+    assert kept == sorted(wanted, key=repr)
