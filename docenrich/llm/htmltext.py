@@ -3,8 +3,10 @@
 Pages are put in order of host and dealt out in blocks of a host's pages. The
 words of a block's pages form one stream, over which a suffix array is built:
 runs of words that distinct pages of the host share lie next to each other in
-it. A run that enough of the pages share is boilerplate and is removed; what is
-unique to the pages stays. Pages that are equal or nearly so are one witness. Markup that names menus, headers, footers, sidebars,
+it. What is frequent on a host is so in one of its blocks at least, so the runs
+frequent in a block are counted once more over all pages of the host. A run that
+enough of them share is boilerplate and is removed; what is unique to the pages
+stays. Pages that are equal, or nearly so in a block, are one witness. Markup that names menus, headers, footers, sidebars,
 notices, adverts, forms and comments is dropped before; where a page marks its
 article, only what nearly every page of the host repeats is removed from it, and
 never the whole of it.
@@ -12,6 +14,7 @@ never the whole of it.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -22,15 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docenrich.cluster import ship_package
-from docenrich.llm.common import clean_text
+from docenrich.llm.common import Workspace, clean_text
 from docenrich.llm.textbytes import run_hashes, slices, word_bounds, word_hashes
 
 #: Words of the shortest run that counts as repeated (a power of two).
 RUN_WORDS = 8
-#: Pages of one host that are compared, and their words (a longer page is a block of its own).
+#: Pages of one host that are looked at together, and their words (a longer page is a block of its own).
 BLOCK_PAGES, BLOCK_WORDS = 256, 400_000
-#: Outside of marked articles a run on so many pages, and this share of the block's, is boilerplate ...
+#: Outside of marked articles a run on so many pages, and this share of the host's, is boilerplate ...
 LOOSE_PAGES, LOOSE_SHARE = 3, 0.3
 #: ... and inside.
 MARKED_PAGES, MARKED_SHARE = 10, 0.8
@@ -233,45 +235,76 @@ def repeated_runs(
     return shared, order
 
 
-def main_texts(pages: list[list[Block]]) -> list[str]:
-    """The main texts of pages of one host."""
-    chosen: list[list[Block]] = []
-    for blocks in pages:
-        best = max((b.marked for b in blocks if not b.dropped), default=0)
-        chosen.append([b for b in blocks if not b.dropped and b.marked >= best])
-    flat = pa.array([b.text for blocks in chosen for b in blocks] or [""], pa.string())
-    page_of = np.repeat(np.arange(len(chosen)), [len(b) for b in chosen])
-    marked = np.array([b.marked > 0 for blocks in chosen for b in blocks], dtype=bool)
-    words, owner = [], []
-    for first, data, offsets in slices(flat):
+def chosen_blocks(blocks: list[Block]) -> tuple[list[str], bool]:
+    """The texts that a page's markup leaves, and whether the page marks them."""
+    best = max((b.marked for b in blocks if not b.dropped), default=0)
+    return [b.text for b in blocks if not b.dropped and b.marked >= best], best > 0
+
+
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts, and the text of each."""
+    words, owner = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for first, data, offsets in slices(pa.array(texts or [""], pa.string())):
         starts, ends, at = word_bounds(data, offsets)
         words.append(word_hashes(data, starts, ends))
         owner.append(first + np.repeat(np.arange(len(offsets) - 1), np.diff(at)))
-    stream, block_of = np.concatenate(words), np.concatenate(owner)
-    texts = [[b.text for b in blocks] for blocks in chosen]
-    if len(pages) >= LOOSE_PAGES and len(stream) >= RUN_WORDS and len(page_of):
-        page = page_of[block_of]
-        groups = copy_groups(stream, page, len(pages))
-        count = len(np.unique(groups))
-        shared, _ = repeated_runs(stream, page, RUN_WORDS, groups[page])
-        loose = shared >= max(LOOSE_PAGES, LOOSE_SHARE * count)
-        strict = shared >= max(MARKED_PAGES, MARKED_SHARE * count)
-        run = np.where(marked[block_of], strict, loose)
-        edge = np.zeros(len(stream) + RUN_WORDS + 1, dtype=np.int64)
-        edge[np.flatnonzero(run)] += 1
-        edge[np.flatnonzero(run) + RUN_WORDS] -= 1
-        covered = np.cumsum(edge)[: len(stream)] > 0
+    return np.concatenate(words), np.concatenate(owner)
+
+
+def stream_of(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of pages, and the page of each."""
+    page_of = np.repeat(np.arange(len(pages)), [len(texts) for texts in pages])
+    words, block_of = words_of([t for texts in pages for t in texts])
+    return words, page_of[block_of] if len(words) else block_of
+
+
+def frequent_runs(pages: list[list[str]]) -> np.ndarray:
+    """Hashes of the runs that may be boilerplate by the pages of one block."""
+    words, page = stream_of(pages)
+    if len(words) < RUN_WORDS:
+        return np.zeros(0, dtype=np.uint64)
+    shared, _ = repeated_runs(words, page, RUN_WORDS)
+    whole = page[RUN_WORDS - 1 :] == page[: len(page) - RUN_WORDS + 1]
+    often = shared[: len(whole)] >= min(LOOSE_SHARE, MARKED_SHARE) * len(pages)
+    return np.unique(run_hashes(words, RUN_WORDS)[whole & often])
+
+
+def own_text(texts: list[str], marked: bool, boilerplate: np.ndarray) -> str:
+    """A page's text without the runs that are boilerplate."""
+    words, block_of = words_of(texts)
+    run = np.flatnonzero(np.isin(run_hashes(words, RUN_WORDS), boilerplate))
+    if len(run):
+        edge = np.zeros(len(words) + 1, dtype=np.int64)
+        np.add.at(edge, run, 1)
+        np.add.at(edge, run + RUN_WORDS, -1)
+        covered = np.cumsum(edge)[: len(words)] > 0
         # what is repeated to the last word is an article all the same
-        stays = np.bincount(page, weights=~covered, minlength=len(pages)) > 0
-        covered &= ~marked[block_of] | stays[page]
-        first_word = np.searchsorted(block_of, np.arange(len(flat) + 1))
-        first_block = np.cumsum([0, *[len(b) for b in chosen]])
-        for block in np.unique(block_of[covered]).tolist():
-            own = covered[first_word[block] : first_word[block + 1]]
-            page = int(page_of[block])
-            split = flat[block].as_py().split(" ")
-            texts[page][block - first_block[page]] = " ".join(w for w, gone in zip(split, own) if not gone)
-    return ["\n".join(t for t in blocks if t) for blocks in texts]
+        if not (marked and covered.all()):
+            first_word = np.searchsorted(block_of, np.arange(len(texts) + 1))
+            texts = [
+                " ".join(w for w, gone in zip(text.split(" "), covered[a:b]) if not gone)
+                for text, a, b in zip(texts, first_word, first_word[1:])
+            ]
+    return "\n".join(t for t in texts if t)
+
+
+def page_counts(pages: list[list[str]], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of runs (of those ``among``), and the number of pages that have them."""
+    found = [np.unique(run_hashes(words_of(texts)[0], RUN_WORDS)) for texts in pages]
+    if among is not None:
+        found = [runs[np.isin(runs, among)] for runs in found]
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]), return_counts=True)
+
+
+def main_texts(pages: list[list[Block]]) -> list[str]:
+    """The main texts of pages, all of one host."""
+    chosen = [chosen_blocks(blocks) for blocks in pages]
+    groups = copy_groups(*stream_of([texts for texts, _ in chosen]), len(pages))
+    witnesses = [chosen[k][0] for k in np.unique(groups).tolist()]
+    runs, counts = page_counts(witnesses, frequent_runs(witnesses))
+    loose = runs[counts >= max(LOOSE_PAGES, LOOSE_SHARE * len(witnesses))]
+    strict = runs[counts >= max(MARKED_PAGES, MARKED_SHARE * len(witnesses))]
+    return [own_text(texts, marked, strict if marked else loose) for texts, marked in chosen]
 
 
 def host_of(url: Column) -> Column:
@@ -287,8 +320,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     becomes single spaces, character references are decoded, blocks are joined
     by line ends. Empty in, empty out; other columns are not looked at.
     """
-    ship_package(pages.sparkSession)
+    work = Workspace(pages.sparkSession, "htmltext")
     rows = pages.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         clean_text(html_col).alias("html"),
@@ -297,28 +331,136 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     # ranges of (host, hash) split a host of any size, and keep a small one together
     place = F.xxhash64("page_id", "url")
     rows = rows.withColumn("place", place).repartitionByRange("host", "place").sortWithinPartitions("host", "place")
+    parsed = work.save(
+        rows.select("row", "page_id", "url", "html", "host").mapInArrow(
+            _parsed, "row long, page_id long, url string, host string, texts array<string>, marked boolean, content long, witness boolean"
+        ),
+        "parsed",
+    )
+    # equal pages of different blocks are one witness too
+    witnesses = parsed.where("witness")
+    copies = work.save(
+        witnesses.groupBy("host", "content").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1"),
+        "copies",
+    )
+    witnesses = (
+        witnesses.select("row", "host", "texts", "content")
+        .join(copies.select("host", "content", "first"), ["host", "content"], "left")
+        .where("first is null or row = first")
+        .select("host", "texts")
+    )
+    hosts = work.save(witnesses.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LOOSE_PAGES), "hosts")
+    of_blocks = witnesses.mapInArrow(_candidates, "host string, run long")
+    candidates = work.save(
+        of_blocks.join(hosts, "host", "left_semi").distinct().groupBy("host").agg(F.collect_list("run").alias("runs")), "candidates"
+    )
+    counted = work.save(
+        witnesses.join(candidates, "host").mapInArrow(_counts, "host string, run long, pages long")
+        .groupBy("host", "run").agg(F.sum("pages").alias("shared")),
+        "counted",
+    )
+    enough = lambda least, share: F.col("shared") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("pages"))
+    boilerplate = work.save(
+        counted.join(hosts, "host")
+        .where(enough(LOOSE_PAGES, LOOSE_SHARE))
+        .groupBy("host")
+        .agg(
+            F.collect_list("run").alias("loose"),
+            F.collect_list(F.when(enough(MARKED_PAGES, MARKED_SHARE), F.col("run"))).alias("strict"),
+        ),
+        "boilerplate",
+    )
+    runs = F.when(F.col("marked"), F.col("strict")).otherwise(F.col("loose")).alias("runs")
+    return (
+        parsed.join(boilerplate, "host", "left")
+        .select("page_id", "url", "texts", "marked", runs)
+        .mapInArrow(_texts, "page_id long, url string, text string")
+    )
+
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int | None, str | None, list[Block]]] = []
-        host, words = None, 0
-
-        def settle() -> pa.RecordBatch:
-            texts = main_texts([h[2] for h in held])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.string()), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"],
-            )
-
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "html", "host"))
-            for page_id, url, html, own in zip(*columns):
-                if held and (own != host or len(held) >= BLOCK_PAGES or words >= BLOCK_WORDS):
-                    yield settle()
-                    held, words = [], 0
-                host = own
-                held.append((page_id, url, page_blocks(html)))
-                words += len(html) // 6
-        if held:
-            yield settle()
-
-    return rows.mapInArrow(task, "page_id long, url string, text string")
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What markup leaves of pages in order of host, and which of a block's pages are witnesses."""
+    held: list[tuple] = []
+    host, words = None, 0
+
+    def settle() -> pa.RecordBatch:
+        chosen = [chosen_blocks(page_blocks(h[2])) for h in held]
+        stream, page = stream_of([texts for texts, _ in chosen])
+        first = np.searchsorted(page, np.arange(len(held) + 1))
+        content = [hashlib.blake2b(stream[a:b].tobytes(), digest_size=8).digest() for a, b in zip(first, first[1:])]
+        witness = copy_groups(stream, page, len(held)) == np.arange(len(held))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([h[0] for h in held], pa.int64()),
+                pa.array([h[1] for h in held], pa.int64()),
+                pa.array([h[3] for h in held], pa.string()),
+                pa.array([h[4] for h in held], pa.string()),
+                pa.array([texts for texts, _ in chosen], pa.list_(pa.string())),
+                pa.array([marked for _, marked in chosen], pa.bool_()),
+                pa.array([int.from_bytes(c, "little", signed=True) for c in content], pa.int64()),
+                pa.array(witness),
+            ],
+            names=["row", "page_id", "url", "host", "texts", "marked", "content", "witness"],
+        )
+
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("row", "page_id", "html", "url", "host"))
+        for page in zip(*columns):
+            if held and (page[4] != host or len(held) >= BLOCK_PAGES or words >= BLOCK_WORDS):
+                yield settle()
+                held, words = [], 0
+            host = page[4]
+            held.append(page)
+            words += len(page[2]) // 6
+    if held:
+        yield settle()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[list[str]], np.ndarray | None]]:
+    """Neighbouring pages of a host, with the runs that come with the first of them."""
+    host, held, runs, size = None, [], None, 0
+    for batch in batches:
+        given = batch.column("runs") if "runs" in batch.schema.names else None
+        hosts, pages = batch.column("host").to_pylist(), batch.column("texts").to_pylist()
+        for k, (own, texts) in enumerate(zip(hosts, pages)):
+            if held and (own != host or len(held) >= BLOCK_PAGES or size >= 6 * BLOCK_WORDS):
+                yield host, held, runs
+                held, size = [], 0
+            if not held and given is not None and (own != host or runs is None):
+                runs = _numbers(given, k)
+            host = own
+            held.append(texts)
+            size += sum(map(len, texts))
+    if held:
+        yield host, held, runs
+
+
+def _numbers(column: pa.Array, k: int) -> np.ndarray:
+    return np.asarray(column[k].values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for host, pages, _ in _blocks(batches):
+        runs = frequent_runs(pages).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([host] * len(runs), pa.string()), pa.array(runs)], names=["host", "run"])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for host, pages, among in _blocks(batches):
+        runs, counts = page_counts(pages, among)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([host] * len(runs), pa.string()), pa.array(runs.view(np.int64)), pa.array(counts.astype(np.int64))],
+            names=["host", "run", "pages"],
+        )
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    none = np.zeros(0, dtype=np.uint64)
+    for batch in batches:
+        pages, marked, runs = batch.column("texts").to_pylist(), batch.column("marked").to_pylist(), batch.column("runs")
+        texts = [
+            own_text(p, m, _numbers(runs, k) if runs[k].is_valid else none) for k, (p, m) in enumerate(zip(pages, marked))
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
+        )

@@ -53,6 +53,24 @@ def test_copies_are_one_witness():
     assert of(whole) == [article] * 12
 
 
+def test_evidence_is_the_host_s_however_it_is_dealt(spark):
+    note = "all rights reserved by the publisher of this fine site since long ago"
+    third = "some pages only say this line that has more than eight words"
+    html = [
+        f"<body><div>{' '.join(f'word{i}x{k}' for k in range(30))}</div><p>{note if i % 20 else third}</p></body>" for i in range(227)
+    ]
+    html += [html[5]] * 30
+    rows = [(i, f"http://big.example/{i}", h) for i, h in enumerate(html)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    wanted = htmltext.main_texts([htmltext.page_blocks(h) for h in html])
+    assert note not in "".join(wanted) and "".join(wanted).count(third) == 12
+    for parts in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        found = {r["page_id"]: r["text"] for r in htmltext.extract_main_text(df.repartition(parts)).collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert [found[i] for i in range(len(html))] == wanted
+
+
 def test_repeated_runs_by_plain_search():
     import numpy as np
 
