@@ -140,10 +140,92 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN firsts ON digest = payload_digest
 """
 
+OP12 = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+), marks AS (
+  SELECT run, k, xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+      string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc_table
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+              ELSE run END AS word FROM marks)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), gaps AS (
+  SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.a || g.b = w.word
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.a || g.b = w.word
+), best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, n AS other_n,
+         row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS r FROM near
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND r = 1
+), chain(word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms e ON e.word = c.root WHERE e.form IS NULL
+"""
+
+OP13 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), uses AS (
+  SELECT d, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS c FROM uses GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), langs AS (
+  SELECT lang, sum(c)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS c FROM uses SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1)) // (g.n + l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.c + 1)) // (l.n + l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p)::BIGINT AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), told AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN pairs z ON z.lang = x.lang AND z.source = x.source AND z.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q
+)
+SELECT * FROM (
+  SELECT lang, source, part, item, value,
+         (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM told)
+WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE = {
     "op2_jaccard": OP2,
     "op4_mixing": OP4,
     "op6_vectors": OP6,
     "op9_license_scan": OP9,
     "op10_warc": OP10,
+    "op12_spelling": OP12,
+    "op13_divergence": OP13,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.llm import (
+    divergence,
     htmltext,
     imatch,
     jaccard,
@@ -14,6 +15,7 @@ from docenrich.llm import (
     mixing,
     packing,
     quality,
+    spelling,
     vectors,
     warc,
 )
@@ -103,6 +105,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.frequent_words(table(spark, sf_dir, "documents"), slip_one_in=199)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard": op2_jaccard,
@@ -114,4 +125,6 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_license_scan": op9_license_scan,
     "op10_warc": op10_warc,
+    "op12_spelling": op12_spelling,
+    "op13_divergence": op13_divergence,
 }
