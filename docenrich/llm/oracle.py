@@ -140,6 +140,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN firsts ON digest = payload_digest
 """
 
+OP11 = """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split)
+), firsts AS (
+  SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), starts AS (
+  SELECT DISTINCT doc_id, i FROM windows JOIN firsts USING (h) WHERE doc_id > first
+), words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM split
+), judged AS (
+  SELECT doc_id, i, word, coalesce(max(CASE WHEN s.i IS NOT NULL THEN 1 ELSE 0 END)
+           OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM words LEFT JOIN starts s USING (doc_id, i)
+), left_over AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM judged GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN left_over USING (doc_id)
+"""
+
 OP12 = """
 WITH RECURSIVE crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
@@ -226,6 +250,7 @@ ORACLE = {
     "op6_vectors": OP6,
     "op9_license_scan": OP9,
     "op10_warc": OP10,
+    "op11_substrings": OP11,
     "op12_spelling": OP12,
     "op13_divergence": OP13,
 }

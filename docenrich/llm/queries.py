@@ -16,6 +16,7 @@ from docenrich.llm import (
     packing,
     quality,
     spelling,
+    substrings,
     vectors,
     warc,
 )
@@ -105,6 +106,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.frequent_words(table(spark, sf_dir, "documents"), slip_one_in=199)
     return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -125,6 +131,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_license_scan": op9_license_scan,
     "op10_warc": op10_warc,
+    "op11_substrings": op11_substrings,
     "op12_spelling": op12_spelling,
     "op13_divergence": op13_divergence,
 }

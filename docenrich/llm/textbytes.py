@@ -69,15 +69,15 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words, with A-Z as a-z."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of words, with A-Z as a-z or, without ``fold``, as they are."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     sizes = ends - starts
     before = np.cumsum(sizes) - sizes
     place = np.arange(int(sizes.sum())) - np.repeat(before, sizes)
     at = place + np.repeat(starts, sizes)
-    terms = _OF_BYTE[_lower[data[at]]] * _places(int(sizes.max()))[place]
+    terms = _OF_BYTE[_lower[data[at]] if fold else data[at]] * _places(int(sizes.max()))[place]
     return mix64(np.add.reduceat(terms, before) + sizes.astype(np.uint64))
 
 
