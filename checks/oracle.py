@@ -427,6 +427,14 @@ FROM (SELECT call_key, call_day, max(attempt_no) AS seen,
         ),
         "model_lines",
     ),
+    "compacted_run": _with(_ledger("model_lines", ", outcome"), "model_lines"),
+    "skip_processed_compacted": _with("SELECT file_path FROM left_over", "left_over"),
+    "restarted_run": _with(_status("model_lines"), "model_lines"),
+    "raw_folder_run": _with(
+        "SELECT '/' || md5(file_path) || '.' || regexp_extract(file_path, '[^.]*$') AS file_path, body "
+        f"FROM ({_RAW_RUN.replace('model_texts', 'model_lines')})",
+        "model_lines",
+    ),
     "resumed_files_run": _with(_ledger("model_lines"), "model_lines"),
     "minimal_folder_run": _with(_minimal("model_lines"), "model_lines"),
     "flags_folder_run": _with(_flags("model_lines"), "model_lines"),

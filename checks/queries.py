@@ -12,7 +12,7 @@ from checks import inputs
 from checks.clients import OneShotClient, RuleClient, no_wait
 from docenrich import storage
 from docenrich.cluster import scratch_path, ship_package
-from docenrich.constants import DOCX_SUFFIX, PDF_SUFFIX
+from docenrich.constants import DOCX_SUFFIX, LEDGER_TABLE_SCHEMA, PDF_SUFFIX
 from docenrich.functions import paths, replies, retry, text
 from docenrich.operators import assemble, attempts, filters, ledger, shape
 from docenrich.operators.enrich import CallRules, enrich, enrich_from_replies
@@ -20,6 +20,13 @@ from docenrich.operators.extract import explode_pages, extract_parts, extract_te
 from docenrich.operators.partitions import map_partitions, repartitioned, spread_scan
 from docenrich.operators.replies import parse_reply
 from docenrich.plans import runs
+from docenrich.sinks.compaction import (
+    compact_ledger,
+    latest_entries,
+    open_compacted,
+    to_do_compacted,
+)
+from docenrich.sinks.journal import journal_folder
 from docenrich.sinks.keyed_json import write_keyed_json
 from docenrich.sinks.tables import append_ledger, preview, read_csv, write_csv
 from docenrich.sources.files import list_files, paths_df, read_bytes
@@ -423,7 +430,7 @@ def ledger_round_trip(spark, sf_dir):
         files, ledger.currently_processed(read_ledger_table(spark, folder))
     )
     append_ledger(enrich(failed, RuleClient, rules=RULES), folder, 2)
-    return ledger.latest_by_key(read_ledger_table(spark, folder)).drop("error")
+    return ledger.latest_by_key(read_ledger_table(spark, folder)).drop("error", "run_id")
 
 
 # --- partitions and streams ------------------------------------------------
@@ -500,7 +507,7 @@ def resumed_run(spark, sf_dir):
         runs.run_status(
             spark, root, folder, RuleClient, inputs.LINE_EXTRACTORS, RULES, _few_tasks(spark)
         )
-    latest = ledger.latest_by_key(read_ledger_table(spark, folder)).drop("error")
+    latest = ledger.latest_by_key(read_ledger_table(spark, folder)).drop("error", "run_id")
     return latest.withColumn("filepath", inputs.below(root, F.col("filepath")))
 
 
@@ -518,6 +525,60 @@ def resumed_files_run(spark, sf_dir):
     return entries.withColumn("filepath", inputs.below(root, F.col("filepath")))
 
 
+@query
+def compacted_run(spark, sf_dir):
+    """Runs with a compaction after each of the first two; the third finds nothing new."""
+    root, folder = inputs.file_tree(spark, sf_dir), scratch_path(spark, "ledger")
+    for last in (False, False, True):
+        runs.run_status(
+            spark, root, folder, RuleClient, inputs.LINE_EXTRACTORS, RULES, _few_tasks(spark)
+        )
+        if not last:
+            compact_ledger(spark, folder)
+    # failed documents are asked about once more by the last run; they fail again
+    latest = latest_entries(spark, folder).drop("error", "run_id", "run_seq")
+    return latest.withColumn("filepath", inputs.below(root, F.col("filepath")))
+
+
+@query
+def skip_processed_compacted(spark, sf_dir):
+    """The first run of the ledger is compacted, the second is its tail."""
+    folder = scratch_path(spark, "ledger")
+    for number, part in enumerate(inputs.ledger_runs(spark, sf_dir)):
+        blank = [n for n in LEDGER_TABLE_SCHEMA.names if n not in part.columns]
+        rows = part.withColumns({n: F.lit(None).cast("string") for n in blank})
+        rows.select(LEDGER_TABLE_SCHEMA.names).write.parquet(f"{folder}/run-{number}/all")
+        if number == 0:
+            compact_ledger(spark, folder)
+    listed = filters.filter_supported(_paths(spark, sf_dir))
+    return to_do_compacted(listed, open_compacted(spark, folder), unique=True)
+
+
+@query
+def restarted_run(spark, sf_dir):
+    """A run that broke off with all replies journalled, and the one after it."""
+    root, folder = inputs.file_tree(spark, sf_dir), scratch_path(spark, "ledger")
+    files = repartitioned(list_files(spark, root), _few_tasks(spark))
+    broken_off = runs.settled_rows(
+        files, RuleClient, inputs.LINE_EXTRACTORS, RULES, journal=journal_folder(folder, "lost", "wave")
+    )
+    broken_off.write.format("noop").mode("append").save()
+    status = runs.run_status(
+        spark, root, folder, RuleClient, inputs.LINE_EXTRACTORS, RULES, _few_tasks(spark)
+    )
+    return status.withColumn("filepath", inputs.below(root, F.col("filepath")))
+
+
+@query
+def raw_folder_run(spark, sf_dir):
+    """From a flat listing, spread over tasks, to raw replies."""
+    root = inputs.file_tree(spark, sf_dir, flat=True)
+    replied = runs.run_raw(
+        spark, root, OneShotClient, inputs.LINE_EXTRACTORS, RAW_RULES, _few_tasks(spark)
+    )
+    return replied.select(inputs.below(root, F.col("file_path")).alias("file_path"), "body")
+
+
 def _written_and_read(spark, sf_dir, run, shape_rows):
     root, path = inputs.file_tree(spark, sf_dir), scratch_path(spark, "csv")
     settled = run(

@@ -6,8 +6,11 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from docenrich import storage
+
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
 
@@ -46,6 +49,70 @@ def written_once(
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _path_of(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop has them."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def create_once(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Create a small file from the driver, whole; False if it is there already.
+
+    Of callers that try at once, one gets True. A plain path is linked into place;
+    other stores must create a file only if it is absent, as HDFS does.
+    """
+    local = storage.local_path(path)
+    if local is not None:
+        with storage.new_file(f"{path}.{uuid.uuid4().hex}.part") as partial:
+            partial.write(data)
+        try:
+            os.link(partial.name, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(partial.name)
+        return True
+    filesystem, where = _path_of(spark, path)
+    if filesystem.exists(where):
+        return False
+    try:
+        out = filesystem.create(where, False)
+    except Py4JJavaError as problem:
+        if "AlreadyExists" not in str(problem.java_exception.getClass().getName()):
+            raise
+        return False
+    out.write(bytearray(data))
+    out.close()
+    return True
+
+
+def modified_entries(spark: SparkSession, folder: str) -> list[tuple[str, float]]:
+    """Names in a folder and when they changed, in seconds since 1970; for folders with few entries."""
+    filesystem, where = _path_of(spark, folder)
+    if not filesystem.exists(where):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in filesystem.listStatus(where)]
+
+
+def read_small(spark: SparkSession, path: str) -> bytes:
+    """A small file, read by the driver."""
+    local = storage.local_path(path)
+    if local is not None:
+        with open(local, "rb") as handle:
+            return handle.read()
+    filesystem, where = _path_of(spark, path)
+    stream = filesystem.open(where)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    filesystem, where = _path_of(spark, folder)
+    filesystem.delete(where, True)
+
+
 def ship_package(spark: SparkSession, *package_dirs: str) -> None:
     """Send this package (and others) to the Python workers, once per session."""
     for package_dir in (_PACKAGE_DIR, *package_dirs):

@@ -60,5 +60,6 @@ LEDGER_TABLE_SCHEMA = T.StructType(
         T.StructField("outcome", T.StringType(), True),
         T.StructField("error", T.StringType(), True),
         T.StructField("run_seq", T.LongType(), True),
+        T.StructField("run_id", T.StringType(), True),
     ]
 )

@@ -15,6 +15,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +30,11 @@ from docenrich.constants import (
     WORKERS_PER_PARTITION,
 )
 from docenrich.functions import replies
+from docenrich.sinks.journal import REPLY_TYPES, Journal
 from docenrich.storage import describe, valid_text
 
 Client = Callable[[dict], tuple[int, str]]
 
-_REPLY_TYPES = (
-    "http_status int, body string, attempts int, waited_s double, "
-    "crashed boolean, call_error string"
-)
 _REPLY_FIELDS = [
     ("http_status", pa.int32()),
     ("body", pa.string()),
@@ -63,6 +61,7 @@ def enrich(
     text_col: str = "text",
     max_workers: int = WORKERS_PER_PARTITION,
     rules: CallRules = CallRules(),
+    journal: str | None = None,
 ) -> DataFrame:
     """One request per row, ``max_workers`` at a time in each partition.
 
@@ -72,6 +71,9 @@ def enrich(
 
     Calls are made at least once: a lost task makes its calls again, so write
     the result before using it twice, and leave speculation off for that job.
+    With ``journal``, a folder all executors share that is used for this one job,
+    each reply is kept as soon as it is settled, by ``file_path``; a task that
+    takes the place of a lost one repeats only what was in flight.
     Requests in flight are at most running tasks times ``max_workers``.
     """
     spark = df.sparkSession
@@ -89,17 +91,24 @@ def enrich(
     out_fields = [f for f in carried.schema.fields if f.name != "request_text"]
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
     answered = carried.mapInArrow(
-        lambda batches: _call_batches(batches, client_factory, max_workers, rules),
-        f"{out_schema}, {_REPLY_TYPES}",
+        lambda batches: _call_batches(batches, client_factory, max_workers, rules, journal),
+        f"{out_schema}, {REPLY_TYPES}",
     )
+    return settled_replies(answered, rules.any_status)
+
+
+def settled_replies(answered: DataFrame, any_status: bool = False) -> DataFrame:
+    """Settle ``outcome`` and ``error`` of rows with the columns of a reply."""
+    reply = [name for name, _ in _REPLY_FIELDS]
+    kept = [c for c in answered.columns if c not in (*reply, "outcome", "error")]
     return answered.select(
         *kept,
         "http_status",
         "body",
         "attempts",
         "waited_s",
-        F.coalesce("outcome", _outcome(rules.any_status)).alias("outcome"),
-        F.coalesce("error", "call_error").alias("error"),
+        F.coalesce(_column_or_null(answered, "outcome"), _outcome(any_status)).alias("outcome"),
+        F.coalesce(_column_or_null(answered, "error"), F.col("call_error")).alias("error"),
     )
 
 
@@ -197,16 +206,29 @@ def ask(client: Client, text: str | None, rules: CallRules) -> dict:
     return reply
 
 
+def _ask_once(client: Client, path: str, text: str | None, rules: CallRules, kept: Journal) -> dict:
+    """``ask``, unless an earlier attempt of the task has settled the path."""
+    if text is None:
+        return ask(client, text, rules)
+    if path in kept.known:
+        return kept.known[path]
+    reply = ask(client, text, rules)
+    kept.add(path, reply)
+    return reply
+
+
 def _call_batches(
     batches: Iterator[pa.RecordBatch],
     client_factory: Callable[[], Client],
     max_workers: int,
     rules: CallRules,
+    journal: str | None,
 ) -> Iterator[pa.RecordBatch]:
     # A few slices are in flight at once, so a text that backs off for long
     # holds up neither the pool nor more than these slices in memory.
     slice_rows, slices_ahead = max_workers * 4, 8
     client = client_factory()
+    kept = Journal(journal, TaskContext.get().partitionId()) if journal else None
     waiting: deque[tuple[pa.RecordBatch, list[Future]]] = deque()
     try:
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
@@ -216,13 +238,22 @@ def _call_batches(
                 for start in range(0, batch.num_rows, slice_rows):
                     part = batch.slice(start, slice_rows)
                     texts = part.column(texts_at).to_pylist()
-                    calls = [pool.submit(ask, client, text, rules) for text in texts]
+                    if kept is None:
+                        calls = [pool.submit(ask, client, text, rules) for text in texts]
+                    else:
+                        paths = part.column(part.schema.get_field_index("file_path")).to_pylist()
+                        calls = [
+                            pool.submit(_ask_once, client, path, text, rules, kept)
+                            for path, text in zip(paths, texts)
+                        ]
                     waiting.append((part.select(rest), calls))
                     if len(waiting) >= slices_ahead:
                         yield _finish(*waiting.popleft())
             while waiting:
                 yield _finish(*waiting.popleft())
     finally:
+        if kept is not None:
+            kept.close()
         close = getattr(client, "close", None)
         if close is not None:
             close()

@@ -1,6 +1,6 @@
 """What earlier runs have settled, and what is left to do."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docenrich.constants import SUCCESS
@@ -30,17 +30,22 @@ def processed_paths(ledger: DataFrame) -> DataFrame:
     return successful(ledger).select("filepath").where(F.col("filepath").isNotNull()).distinct()
 
 
+def verdict(order_col: str = "run_seq") -> Column:
+    """The number of an entry's run and whether it is a success, in one long: odd if it is."""
+    success = F.when(F.col("status") == SUCCESS, 1).otherwise(0)
+    return (F.col(order_col) * 2 + success).cast("long")
+
+
 def currently_processed(ledger: DataFrame, order_col: str = "run_seq") -> DataFrame:
     """Distinct paths whose entry of the latest run is a success.
 
     Needs only the last run's number and its verdict: one long per path, which
     keeps the aggregation hashed and its shuffle to path and long.
     """
-    verdict = F.col(order_col) * 2 + F.when(F.col("status") == SUCCESS, 1).otherwise(0)
     return (
         ledger.where(F.col("filepath").isNotNull())
         .groupBy("filepath")
-        .agg(F.max(verdict.cast("long")).alias("last"))
+        .agg(F.max(verdict(order_col)).alias("last"))
         .where(F.col("last") % 2 == 1)
         .select("filepath")
     )

@@ -75,13 +75,14 @@ def shape_ledger(df: DataFrame) -> DataFrame:
     return df.select(*shape_ledger_columns())
 
 
-def shape_ledger_table(df: DataFrame, run_seq: int) -> DataFrame:
-    """The persisted layout with outcome, error and run number."""
+def shape_ledger_table(df: DataFrame, run_seq: int, run_id: str | None = None) -> DataFrame:
+    """The persisted layout with outcome, error and the run."""
     return df.select(
         *shape_ledger_columns(),
         "outcome",
         F.col("error") if "error" in df.columns else F.lit(None).cast("string").alias("error"),
         F.lit(run_seq).cast("long").alias("run_seq"),
+        F.lit(run_id).cast("string").alias("run_id"),
     )
 
 

@@ -13,27 +13,28 @@ from pyspark.sql import functions as F
 
 from docenrich.cluster import written_once
 from docenrich.constants import FILES_PER_TASK, LEDGER_SCHEMA, SUCCESS, WORKERS_PER_PARTITION
-from docenrich.operators.enrich import CallRules, Client, enrich
+from docenrich.operators.enrich import CallRules, Client, enrich, settled_replies
 from docenrich.operators.extract import Extractor, extract_text
 from docenrich.operators.filters import filter_supported
 from docenrich.operators.ledger import (
     currently_processed,
     latest_by_key,
-    next_run,
     processed_paths,
     skip_processed,
-    union_results,
+    to_do,
 )
 from docenrich.operators.partitions import spread_files
 from docenrich.operators.shape import (
     shape_flags,
-    shape_ledger,
     shape_minimal,
     shape_raw,
     shape_status,
     status_of_ledger,
 )
+from docenrich.sinks.compaction import open_compacted, to_do_compacted
+from docenrich.sinks.journal import drop_journal, journal_folder, journalled_replies
 from docenrich.sinks.keyed_json import write_keyed_json
+from docenrich.sinks.runs_log import Run, claim_run
 from docenrich.sinks.tables import append_ledger, write_csv
 from docenrich.sources.files import list_files
 from docenrich.sources.ledger import read_ledger, read_ledger_table
@@ -53,13 +54,31 @@ def settled_rows(
     extractors: Extractors | None = None,
     rules: CallRules = CallRules(),
     max_workers: int = WORKERS_PER_PARTITION,
+    journal: str | None = None,
 ) -> DataFrame:
     """Extract and ask: ``file_path, http_status, body, attempts, waited_s, outcome, error``.
 
     ``files`` has ``file_path`` and may have ``content``. A document stays in
     the task that read it: there is no shuffle between reading and asking.
     """
-    return enrich(extract_text(files, extractors), client_factory, "text", max_workers, rules)
+    texts = extract_text(files, extractors)
+    return enrich(texts, client_factory, "text", max_workers, rules, journal)
+
+
+def reuse_replies(paths: DataFrame, ledger_dir: str, run: Run, rules: CallRules) -> DataFrame:
+    """The paths to ask about, once those are in the ledger that a run had replies for
+    when it broke off.
+
+    Their documents are neither read nor asked about again.
+    """
+    replies = journalled_replies(paths.sparkSession, ledger_dir)
+    if replies is None:
+        return paths
+    replies = written_once(replies.join(paths, "file_path", "left_semi"), "replies")
+    if replies.isEmpty():
+        return paths
+    append_ledger(settled_replies(replies, rules.any_status), ledger_dir, run)
+    return written_once(paths.join(replies, "file_path", "left_anti"), "left")
 
 
 def raw_rows(
@@ -178,6 +197,7 @@ def run_status(
     json_dir: str | None = None,
     waves: int | None = None,
     reader: Reader | None = None,
+    max_workers: int = WORKERS_PER_PARTITION,
 ) -> DataFrame:
     """Ask about the files no earlier run has finished; add them to the ledger.
 
@@ -187,24 +207,32 @@ def run_status(
     files too, and the new results written there as well; files that an earlier
     run settled but did not write are made up first.
     The files are settled in ``waves``, each committed to the ledger before the
-    next: a run that breaks off and is started again repeats one wave's calls.
-    By default a wave has at most ``FILES_PER_TASK`` files per core, however
-    many files there are.
+    next, and within a wave each reply is kept in a journal until then: neither a
+    lost task nor a run that breaks off and is started again repeats calls that
+    were settled. By default a wave has at most ``FILES_PER_TASK`` files per core,
+    however many files there are.
+    Runs may go on at once: each claims a number and an id of its own.
+    A ledger that has been compacted (``compact_ledger``) is looked up there.
     Returns ``filepath, type, jurisdiction, status`` of this run's files.
     """
     ledger = read_ledger_table(spark, ledger_dir)
-    run_seq = next_run(ledger)
-    done = currently_processed(ledger)
-    if json_dir is not None:
-        earlier = written_once(read_ledger(spark, json_dir), "result-files")
-        write_keyed_json(_not_in_files(ledger, earlier), json_dir)
-        done = union_results(done, processed_paths(earlier))
-
+    compacted = open_compacted(spark, ledger_dir)
+    run = claim_run(spark, ledger_dir)
     if isinstance(root, DataFrame):
         files = filter_supported(root)
     else:
         files = list_files(spark, root, include_hidden=True)
-    left = written_once(skip_processed(files.select("file_path").distinct(), done), "left")
+    if compacted is None:
+        left = to_do(files, ledger)
+    else:
+        # a walk lists no path twice
+        left = to_do_compacted(files, compacted, unique=not isinstance(root, DataFrame))
+    if json_dir is not None:
+        earlier = written_once(read_ledger(spark, json_dir), "result-files")
+        write_keyed_json(_not_in_files(ledger, earlier), json_dir)
+        left = skip_processed(left, processed_paths(earlier))
+    left = written_once(left, "left")
+    left = reuse_replies(left, ledger_dir, run, rules)
     if waves is None:
         wave_files = FILES_PER_TASK * spark.sparkContext.defaultParallelism
         waves = max(1, math.ceil(left.count() / wave_files))
@@ -214,13 +242,13 @@ def run_status(
     for wave in range(waves):
         paths = left.where(F.col("wave") == wave).drop("wave") if waves > 1 else left
         documents = _documents(files, spread_files(paths, num_partitions), reader)
-        settled = settled_rows(documents, client_factory, extractors, rules)
-        if json_dir is not None:
-            settled = written_once(settled)
-        append_ledger(settled, ledger_dir, run_seq)
-        if json_dir is not None:
-            write_keyed_json(shape_ledger(settled), json_dir)
-    written = read_ledger_table(spark, ledger_dir).where(F.col("run_seq") == run_seq)
+        journal = journal_folder(ledger_dir, run.id, f"wave-{wave:06d}")
+        settled = settled_rows(documents, client_factory, extractors, rules, max_workers, journal)
+        append_ledger(settled, ledger_dir, run)
+        drop_journal(spark, journal)
+    written = read_ledger_table(spark, ledger_dir).where(F.col("run_id") == run.id)
+    if json_dir is not None:
+        write_keyed_json(written.select(*LEDGER_SCHEMA.names), json_dir)
     return status_of_ledger(written)
 
 

@@ -1,11 +1,14 @@
 """CSV, the ledger table and previews."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docenrich.constants import PREVIEW_ROWS, PREVIEW_WIDTH
 from docenrich.operators.shape import shape_ledger_table
+from docenrich.sinks.runs_log import Run
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -21,13 +24,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").option("multiLine", "true").csv(path)
 
 
-def append_ledger(df: DataFrame, folder: str, run_seq: int) -> None:
+def append_ledger(df: DataFrame, folder: str, run: int | Run) -> None:
     """Add one run's settled files to the ledger table, in the order they finish.
 
     A single job: the rows, and the calls behind them, are made once and read
-    back from the table for everything that follows.
+    back from the table for everything that follows. A claimed run writes to a
+    folder of its own below the table's, so other runs may write meanwhile. With
+    a bare number the caller sees to it that nobody else does.
     """
-    shape_ledger_table(df, run_seq).write.mode("append").parquet(folder)
+    if isinstance(run, Run):
+        rows = shape_ledger_table(df, run.seq, run.id)
+        rows.write.parquet(f"{folder.rstrip('/')}/run-{run.seq:09d}-{run.id}/{uuid.uuid4().hex}")
+    else:
+        shape_ledger_table(df, run).write.mode("append").parquet(folder)
 
 
 def preview(

@@ -28,9 +28,10 @@ def read_corrupt(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_ledger_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The append-only ledger table; a missing one is empty."""
+    """The append-only ledger table, with the folders of its runs; a missing one is empty."""
+    reader = spark.read.schema(LEDGER_TABLE_SCHEMA).option("recursiveFileLookup", "true")
     try:
-        return spark.read.schema(LEDGER_TABLE_SCHEMA).parquet(folder)
+        return reader.parquet(folder)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -11,6 +11,7 @@ import uuid
 from collections import deque
 from collections.abc import Iterable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
@@ -104,6 +105,16 @@ def read_ahead(paths: Iterable[str]) -> Iterator[tuple[str, Future]]:
             yield waiting.popleft()
 
 
+def new_file(path: str) -> BinaryIO:
+    """A new file on a mounted file system, with the folders above it."""
+    local = local_path(path)
+    try:
+        return open(local, "xb")
+    except FileNotFoundError:
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        return open(local, "xb")
+
+
 def replace_file(path: str, data: bytes) -> None:
     """Write a whole file so that readers see the old one or the new one."""
     local = local_path(path)

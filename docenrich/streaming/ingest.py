@@ -18,9 +18,11 @@ from docenrich import storage
 from docenrich.cluster import ship_package, written_once
 from docenrich.constants import PATH_SCHEMA
 from docenrich.operators.enrich import CallRules
-from docenrich.operators.ledger import next_run, skip_processed, to_do
+from docenrich.operators.ledger import skip_processed, to_do
 from docenrich.operators.partitions import spread_files
-from docenrich.plans.runs import ClientFactory, Extractors, settled_rows
+from docenrich.plans.runs import ClientFactory, Extractors, reuse_replies, settled_rows
+from docenrich.sinks.journal import drop_journal, journal_folder
+from docenrich.sinks.runs_log import claim_run
 from docenrich.sinks.tables import append_ledger
 from docenrich.sources.files import list_files
 from docenrich.sources.ledger import read_ledger_table
@@ -117,9 +119,14 @@ def _settle_batch(
 ) -> Callable[[DataFrame, int], None]:
     def settle(batch: DataFrame, batch_id: int) -> None:
         ledger = read_ledger_table(batch.sparkSession, ledger_dir)
+        spark = batch.sparkSession
+        run = claim_run(spark, ledger_dir)
+        left = reuse_replies(written_once(to_do(batch, ledger), "left"), ledger_dir, run, rules)
+        journal = journal_folder(ledger_dir, run.id, f"batch-{batch_id:06d}")
         settled = settled_rows(
-            spread_files(to_do(batch, ledger), num_partitions), client_factory, extractors, rules
+            spread_files(left, num_partitions), client_factory, extractors, rules, journal=journal
         )
-        append_ledger(settled, ledger_dir, next_run(ledger))
+        append_ledger(settled, ledger_dir, run)
+        drop_journal(spark, journal)
 
     return settle
