@@ -188,19 +188,21 @@ def repeated_windows(docs: DataFrame, work: Workspace) -> DataFrame:
         "seeds",
     )
     # seeds that several documents have; several extents, if these differ
-    met = (
+    # what is joined back is written first: large groups of rows can then be split
+    met = work.save(
         seeds.groupBy("seed")
         .agg(
             F.min("owner").alias("least"), F.max("owner").alias("most"),
             (F.min("extent") != F.max("extent")).alias("several"),
         )
         .where("least < most")
-        .select("seed", "least", "several")
+        .select("seed", "least", "several"),
+        "met",
     )
     shared = work.save(seeds.join(met, "seed"), "shared")
     work.drop(seeds)
     parted = shared.where("several")
-    least = parted.groupBy("seed", "extent").agg(F.min("owner").alias("its_least"))
+    least = work.save(parted.groupBy("seed", "extent").agg(F.min("owner").alias("its_least")), "least")
     parted = work.save(
         parted.join(least, ["seed", "extent"]).select("owner", "key", "at", "windows", "its_least"), "parted"
     )
@@ -218,11 +220,12 @@ def repeated_windows(docs: DataFrame, work: Workspace) -> DataFrame:
         .mapInArrow(_windows, "owner long, key long, at int, one long, two long"),
         "windows",
     )
-    met = (
+    met = work.save(
         windows.groupBy("one", "two")
         .agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
         .where("least < most")
-        .select("one", "two", "least")
+        .select("one", "two", "least"),
+        "met",
     )
     single = windows.join(met, ["one", "two"]).where("owner > least")
     return whole.union(single.select("owner", "key", "at", F.lit(1).alias("windows")))
