@@ -12,9 +12,9 @@ of the language; it is split by inclusion and exclusion into
   for each node and each of its ancestors, times the rows through the node, and
   not for each row.
 
-The tree is never held: distinct rows are range-partitioned and sorted, so that
-rows with a common path come together, and a task builds the part of the tree
-that a batch of them makes. Sums over parts of the tree are added up, so where
+The tree is never held: distinct rows are dealt to tasks by how they begin, and
+sorted there, so that rows with a common path come together; a task builds the
+part of the tree that a batch of them makes. Sums over parts of the tree are added up, so where
 it is cut makes no difference. All numbers are integers.
 """
 
@@ -302,7 +302,7 @@ def _pairs(groups: DataFrame, shares: DataFrame, work: Workspace) -> DataFrame:
         .agg(F.count("*").alias("rows"))
     )
     together = (
-        paths.repartitionByRange("lang", "path")
+        paths.repartition("lang", F.slice("path", 1, 3))
         .sortWithinPartitions("lang", "path")
         .mapInArrow(_both, "lang string, source string, item string, high long, low long")
         .select(
