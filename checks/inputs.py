@@ -61,7 +61,9 @@ def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = guard_unsupported(
         doc_files(spark, sf_dir).select("file_path", "n_chars"), text_col="n_chars"
     ).drop("n_chars")
-    return enrich_from_replies(files, replies(spark, sf_dir)).withColumn(
+    # every document has a path of its own here
+    settled = enrich_from_replies(files, replies(spark, sf_dir), spread_hot=False)
+    return settled.withColumn(
         "error", F.lit(None).cast("string")
     )
 

@@ -222,6 +222,8 @@ SELECT file_path, body FROM model_texts
 WHERE outcome <> 'extraction_failure' AND body IS NOT NULL AND attempts = 1
   AND body NOT IN ('{}', 'null')"""
 
+_HOT_PATH = "CASE WHEN doc_id % 3 = 0 THEN '/corpus/hot.pdf' ELSE file_path END"
+
 ORACLE: dict[str, str] = {
     "list_files": _LISTED,
     "list_files_index": _LISTED,
@@ -230,6 +232,11 @@ ORACLE: dict[str, str] = {
         "FROM supported",
         "supported",
     ),
+    "list_files_paged": _with(
+        "SELECT '/' || md5(file_path) || '.' || regexp_extract(file_path, '[^.]*$') AS file_path "
+        "FROM supported",
+        "supported",
+    ),
     "paths_df": _with("SELECT file_path FROM doc_files", "doc_files"),
     "read_bytes": _BYTES,
     "read_bytes_index": _BYTES,
@@ -296,6 +303,13 @@ ORACLE: dict[str, str] = {
         "WHEN json_type(body) = 'OBJECT' THEN 'success' ELSE 'error' END AS outcome FROM replies",
         "replies",
     ),
+    "enrich_hot_path": _with(
+        "SELECT doc_id, file_path, body, CASE WHEN body IS NULL OR body = 'null' THEN 'api_failure' "
+        "WHEN json_type(body) = 'OBJECT' THEN 'success' ELSE 'error' END AS outcome "
+        f"FROM (SELECT doc_id, {_HOT_PATH} AS file_path FROM doc_files) "
+        f"JOIN (SELECT {_HOT_PATH} AS file_path, max(body) AS body FROM replies GROUP BY 1) USING (file_path)",
+        "replies",
+    ),
     "request_payload": _with(
         "SELECT file_path, CAST(to_json({'text': text}) AS VARCHAR) AS payload, "
         "CAST(to_json({'input': text}) AS VARCHAR) AS raw_payload FROM doc_files",

@@ -1,5 +1,6 @@
 """One registered query per operator, each over whole tables."""
 
+import bisect
 import os
 from collections.abc import Callable
 
@@ -30,6 +31,7 @@ from docenrich.sinks.journal import journal_folder
 from docenrich.sinks.keyed_json import write_keyed_json
 from docenrich.sinks.tables import append_ledger, preview, read_csv, write_csv
 from docenrich.sources.files import list_files, paths_df, read_bytes
+from docenrich.sources.paged import list_paged
 from docenrich.sources.ledger import read_corrupt, read_ledger, read_ledger_table
 from docenrich.streaming.ingest import ingest_new, settle_new
 
@@ -79,6 +81,25 @@ def list_files_flat(spark, sf_dir):
     return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
 
 
+def _pages(folder):
+    """Stands in for a store that lists in pages."""
+
+    def pages(after, limit):
+        names = sorted(os.listdir(folder))
+        first = bisect.bisect_right(names, after)
+        return names[first : first + limit]
+
+    return pages
+
+
+@query
+def list_files_paged(spark, sf_dir):
+    root = storage.local_path(inputs.file_tree(spark, sf_dir, flat=True))
+    listed = list_paged(spark, root, _pages(root), page_names=100)
+    listed = filters.filter_supported(listed)
+    return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
+
+
 @query
 def paths_df_(spark, sf_dir):
     return paths_df(spark, inputs.doc_files(spark, sf_dir))
@@ -229,6 +250,17 @@ def enrich_from_replies_(spark, sf_dir):
     return enrich_from_replies(_paths(spark, sf_dir), inputs.replies(spark, sf_dir))
 
 
+@query
+def enrich_hot_path(spark, sf_dir):
+    """A third of all files, and of all stored replies, are of one path."""
+    hot = F.when(F.col("doc_id") % 3 == 0, F.lit("/corpus/hot.pdf")).otherwise(F.col("file_path"))
+    files = inputs.doc_files(spark, sf_dir).select("doc_id", hot.alias("file_path"))
+    stored = inputs.replies(spark, sf_dir).select("body", "file_path").join(
+        inputs.doc_files(spark, sf_dir).select("file_path", hot.alias("hot_path")), "file_path"
+    )
+    return enrich_from_replies(files, stored.select(F.col("hot_path").alias("file_path"), "body"))
+
+
 @query
 def request_payload(spark, sf_dir):
     return inputs.doc_files(spark, sf_dir).select(

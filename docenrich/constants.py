@@ -3,7 +3,8 @@
 from pyspark.sql import types as T
 
 # Result texts and tuning constants that callers rely on.
-# (FILES_PER_TASK is ours: the most files a lost task can cost.)
+# (Two are ours: FILES_PER_TASK, the most files a lost task can cost, and
+# READ_AHEAD_BYTES, what a task holds of files it has yet to work on.)
 DEFAULT_TYPE = "Unknown Type"
 DEFAULT_JURISDICTION = "Unknown Jurisdiction"
 PDF_SUFFIX = ".pdf"
@@ -23,6 +24,7 @@ BACKOFF_BASE = 1.5
 WORKERS_PER_PARTITION = 10
 NUM_PARTITIONS = 200
 FILES_PER_TASK = 2000
+READ_AHEAD_BYTES = 64 << 20
 PREVIEW_ROWS = 20
 PREVIEW_WIDTH = 20
 

@@ -29,7 +29,8 @@ from docenrich.constants import (
     SUCCESS,
     WORKERS_PER_PARTITION,
 )
-from docenrich.functions import replies
+from docenrich.functions.replies import OBJECT, OTHER, reply_kind
+from docenrich.operators.skew import salted_left_join
 from docenrich.sinks.journal import REPLY_TYPES, Journal
 from docenrich.storage import describe, valid_text
 
@@ -113,18 +114,24 @@ def settled_replies(answered: DataFrame, any_status: bool = False) -> DataFrame:
 
 
 def enrich_from_replies(
-    files: DataFrame, stored: DataFrame, order_col: str | None = None
+    files: DataFrame, stored: DataFrame, order_col: str | None = None, spread_hot: bool = True
 ) -> DataFrame:
     """Answer from a table ``file_path, body`` of replies instead of a model.
 
     A file without a stored reply has failed like one the model never answered.
     Of several replies to a path the last by ``order_col`` counts, or else the
     greatest: each task reduces its own, so neither a path stored over and over
-    nor a file listed over and over multiplies rows.
+    nor a file listed over and over multiplies rows. Rows of a path that has many
+    of them are spread over tasks (``salted_left_join``), at the price of a look at
+    all paths first; ``spread_hot`` says whether there may be such paths.
     """
     latest = F.max(F.struct(order_col, "body"))["body"] if order_col else F.max("body")
     by_path = stored.where(F.col("file_path").isNotNull()).groupBy("file_path")
-    joined = files.join(by_path.agg(latest.alias("body")), "file_path", "left")
+    replies = by_path.agg(latest.alias("body"))
+    if spread_hot:
+        joined = salted_left_join(files, replies, "file_path")
+    else:
+        joined = files.join(replies, "file_path", "left")
     settled = F.when(F.col("body").isNull(), F.lit(API_FAILURE)).otherwise(
         _outcome_of_body(F.col("body"))
     )
@@ -139,10 +146,10 @@ def _column_or_null(df: DataFrame, name: str) -> Column:
 
 
 def _outcome_of_body(body: Column) -> Column:
-    kind = replies.reply_kind(body)
+    kind = reply_kind(body)
     return (
-        F.when(kind == replies.OBJECT, F.lit(SUCCESS))
-        .when(kind == replies.OTHER, F.lit(ERROR))
+        F.when(kind == OBJECT, F.lit(SUCCESS))
+        .when(kind == OTHER, F.lit(ERROR))
         .otherwise(F.lit(API_FAILURE))
     )
 

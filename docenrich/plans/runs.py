@@ -33,11 +33,11 @@ from docenrich.operators.shape import (
 )
 from docenrich.sinks.compaction import open_compacted, to_do_compacted
 from docenrich.sinks.journal import drop_journal, journal_folder, journalled_replies
-from docenrich.sinks.keyed_json import write_keyed_json
+from docenrich.sinks.keyed_json import read_logged_json, write_logged_json
 from docenrich.sinks.runs_log import Run, claim_run
 from docenrich.sinks.tables import append_ledger, write_csv
 from docenrich.sources.files import list_files
-from docenrich.sources.ledger import read_ledger, read_ledger_table
+from docenrich.sources.ledger import read_ledger_table
 
 ClientFactory = Callable[[], Client]
 Extractors = Mapping[str, Extractor]
@@ -205,7 +205,8 @@ def run_status(
     ``content``); ``reader`` and ``content`` work as in ``status_rows``.
     With ``json_dir`` earlier successes are looked up in that folder of result
     files too, and the new results written there as well; files that an earlier
-    run settled but did not write are made up first.
+    run settled but did not write are made up first. A log in that folder saves
+    opening the files that have not changed since.
     The files are settled in ``waves``, each committed to the ledger before the
     next, and within a wave each reply is kept in a journal until then: neither a
     lost task nor a run that breaks off and is started again repeats calls that
@@ -228,8 +229,8 @@ def run_status(
         # a walk lists no path twice
         left = to_do_compacted(files, compacted, unique=not isinstance(root, DataFrame))
     if json_dir is not None:
-        earlier = written_once(read_ledger(spark, json_dir), "result-files")
-        write_keyed_json(_not_in_files(ledger, earlier), json_dir)
+        earlier = written_once(read_logged_json(spark, json_dir), "result-files")
+        write_logged_json(_not_in_files(ledger, earlier), json_dir)
         left = skip_processed(left, processed_paths(earlier))
     left = written_once(left, "left")
     left = reuse_replies(left, ledger_dir, run, rules)
@@ -248,7 +249,7 @@ def run_status(
         drop_journal(spark, journal)
     written = read_ledger_table(spark, ledger_dir).where(F.col("run_id") == run.id)
     if json_dir is not None:
-        write_keyed_json(written.select(*LEDGER_SCHEMA.names), json_dir)
+        write_logged_json(written.select(*LEDGER_SCHEMA.names), json_dir, run.id)
     return status_of_ledger(written)
 
 

@@ -1,7 +1,7 @@
 """Results of earlier runs."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.constants import LEDGER_SCHEMA, LEDGER_TABLE_SCHEMA
@@ -17,8 +17,12 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     left out (see ``read_corrupt``). A missing folder is an empty ledger.
     """
     files = _json_files(spark, folder)
-    entry = F.from_json("value", LEDGER_SCHEMA).alias("entry")
-    return files.where(_is_entry()).select(entry).select("entry.*")
+    return files.where(_is_entry()).select(F.from_json("value", LEDGER_SCHEMA).alias("entry")).select("entry.*")
+
+
+def entries_of(text: Column) -> Column:
+    """The entry that a result file's text holds, or null."""
+    return F.when(_is_entry(text), F.from_json(text, LEDGER_SCHEMA))
 
 
 def read_corrupt(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,17 +42,22 @@ def read_ledger_table(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER_TABLE_SCHEMA)
 
 
-def _is_entry():
-    named = F.array_contains(F.json_object_keys("value"), "filepath")
-    return F.coalesce((reply_kind(F.col("value")) == OBJECT) & named, F.lit(False))
+def _is_entry(text: Column | None = None) -> Column:
+    text = F.col("value") if text is None else text
+    named = F.array_contains(F.json_object_keys(text), "filepath")
+    return F.coalesce((reply_kind(text) == OBJECT) & named, F.lit(False))
 
 
 def _json_files(spark: SparkSession, folder: str) -> DataFrame:
     """``file, value``: the text of each file. One file is one row, so there can
     be very many; the executors list and read them."""
     listed = walk_files(spark, folder, recursive=False, include_hidden=True)
-    names = spread_files(listed.where(F.col("file_path").endswith(".json")))
+    return read_texts(spark, spread_files(listed.where(F.col("file_path").endswith(".json"))))
+
+
+def read_texts(spark: SparkSession, paths: DataFrame) -> DataFrame:
+    """``file, value``: the text of each listed file, null where it is none."""
     text = F.try_validate_utf8(F.col("content").cast("string"))
-    return read_bytes(spark, names).select(
+    return read_bytes(spark, paths).select(
         F.col("file_path").alias("file"), text.alias("value")
     )

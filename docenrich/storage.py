@@ -16,7 +16,7 @@ from typing import BinaryIO
 import pyarrow as pa
 from pyarrow import fs
 
-from docenrich.constants import WORKERS_PER_PARTITION
+from docenrich.constants import READ_AHEAD_BYTES, WORKERS_PER_PARTITION
 
 # Hadoop's names for a scheme that pyarrow knows by another one.
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -92,17 +92,52 @@ def file_facts(path: str) -> tuple[float, int] | None:
     return None if info.size is None else (info.mtime_ns / 1e9, info.size)
 
 
-def read_ahead(paths: Iterable[str]) -> Iterator[tuple[str, Future]]:
+def file_length(path: str) -> int:
+    """Bytes of a file; 0 if that cannot be told."""
+    try:
+        facts = file_facts(path)
+    except OSError:
+        return 0
+    return facts[1] if facts else 0
+
+
+def read_ahead(
+    paths: Iterable[str], budget: int = READ_AHEAD_BYTES
+) -> Iterator[tuple[str, Future]]:
     """Paths in order, each with its bytes to come: the next few files are read
-    while one is being worked on."""
-    waiting: deque[tuple[str, Future]] = deque()
+    while one is being worked on.
+
+    Files are admitted in order, by their lengths: those read ahead have ``budget``
+    bytes together at most, and a file that is longer by itself is read alone.
+    """
+    waiting: deque[tuple[str, Future, int]] = deque()
+    held = 0
     with ThreadPoolExecutor(WORKERS_PER_PARTITION) as pool:
-        for path in paths:
-            waiting.append((path, pool.submit(read_file, path)))
-            if len(waiting) >= WORKERS_PER_PARTITION:
-                yield waiting.popleft()
+        for path, length in _measured(paths, pool):
+            while waiting and (len(waiting) >= WORKERS_PER_PARTITION or held + length > budget):
+                first, coming, size = waiting.popleft()
+                yield first, coming
+                # whoever took it is done with it now
+                del coming
+                held -= size
+            waiting.append((path, pool.submit(read_file, path), length))
+            held += length
         while waiting:
-            yield waiting.popleft()
+            first, coming, _ = waiting.popleft()
+            yield first, coming
+            del coming
+
+
+def _measured(paths: Iterable[str], pool: ThreadPoolExecutor) -> Iterator[tuple[str, int]]:
+    """Paths in order with their lengths, which are looked up a few at a time."""
+    coming: deque[tuple[str, Future]] = deque()
+    for path in paths:
+        coming.append((path, pool.submit(file_length, path)))
+        if len(coming) >= WORKERS_PER_PARTITION:
+            first, length = coming.popleft()
+            yield first, length.result()
+    for first, length in coming:
+        yield first, length.result()
 
 
 def new_file(path: str) -> BinaryIO:
