@@ -3,20 +3,22 @@
 A text's terms (runs of letters and digits, lower-cased) are looked up in a
 lexicon: those whose document frequency lies in a band, so that neither words
 of every text nor words of a single one count. The distinct terms of the text
-that the lexicon keeps are sorted, and hashed once for each of several
-randomised subsets of the lexicon. The subsets get sparser from level to level:
-dense ones tell near copies apart, sparse ones still agree on texts that share
-a part.
+that the lexicon keeps are sorted, and hashed once for the whole lexicon and once
+for each of several randomised subsets of it. Dense subsets tell near copies
+apart, sparse ones still agree on texts that share a part.
 
 Copies push their own terms out of the band. So it is enough for a term to be
-in few of the distinct term sets, and a text that has little of the lexicon, as
+in few of the distinct texts, and a text that has little of the lexicon, as
 all of a large group of near copies, is hashed by the same subsets of all its terms.
+
+Terms are not joined with the lexicon one by one. What the band leaves out is
+little: a bounded number of frequent terms, which every task knows, and terms of
+a single text, which travel to that text. An edited text consists of words of two
+texts, but for the two words at its seams; these are looked up.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,19 +26,21 @@ from docenrich.llm.common import Workspace, clean_text
 
 #: A lexicon term is in at least so many documents ...
 MIN_DF = 2
-#: ... and in at most this share of them, or of their distinct term sets.
+#: ... and in at most this share of them, or of their distinct texts.
 MAX_DF_SHARE = 0.1
 #: A text with fewer lexicon terms than one of so many is fingerprinted by all its terms.
 FEW_ONE_IN = 4
-#: The lexicon holds one term of so many: all that lie in the band.
-LEXICON_ONE_IN = 1
-#: Subset j keeps one lexicon term of 2 ** (1 + j mod LEVELS).
-LEVELS = 8
-SUBSETS = 48
-#: Set in a term's mask, above the bits of the subsets, if the term is in the lexicon.
-_IN_BAND = 1 << SUBSETS
+#: Subset j of the lexicon keeps one term of 2 ** LEVELS[j]; these are bits of the
+#: term's hash that no other subset looks at.
+LEVELS = (1, 1, 2, 2, 3, 3, 4, 4, 4, 4, 5, 5, 6, 6, 7, 7)
+#: The levels are used twice, with two hashes of each term; and there is the whole lexicon.
+SUBSETS = 2 * len(LEVELS)
 _ROWS_PER_BUCKET = 2048
 _QUANTILES = 64
+#: Buckets that one task lines up at a time.
+_LINE = 1024
+_LETTERS = r"[\p{L}\p{N}]"
+_GAPS = r"[^\p{L}\p{N}]+"
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -48,97 +52,149 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     also gets the head of the one that follows it, so that no task sees more
     than a bucket.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
+    rows = _rows(docs, id_col, text_col)
+    lined = _line_up(rows, rows, "text")
+    return lined.select("doc_id", "text", F.col("next.doc_id").alias("next_id"), F.col("next.text").alias("next_text"))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text")).withColumn(
+        "key", F.xxhash64("text")
+    )
+
+
+def _line_up(rows: DataFrame, names: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with ``next``, the ``doc_id``, ``key`` and ``columns`` of the row that follows.
+
+    ``names`` has the ``doc_id`` and ``key`` of all rows, and is cheaper to look at.
+    """
+    names = names.select("doc_id", "key")
+    bucket = _bucket(names)
+    # the first row of each bucket goes to the end of the bucket before it, too
+    place = F.struct(F.isnull("doc_id"), F.bitwise_not("doc_id").alias("down"), "key")
+    heads = names.groupBy(bucket.alias("bucket")).agg(F.min(place).alias("head"))
+    heads = heads.join(_bucket_after(heads.select("bucket")), "bucket").select(
+        F.bitwise_not("head.down").alias("head_id"), F.col("head.key").alias("head_key"), "to"
+    )
+    head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
+    once = lambda to, ghost: F.struct(to.alias("bucket"), F.lit(ghost).alias("ghost"))
+    place = F.when(F.col("to").isNull(), F.array(once(bucket, 0))).otherwise(F.array(once(bucket, 0), once(F.col("to"), 1)))
+    dealt = rows.join(heads, head, "left").select("doc_id", "key", *columns, F.inline(place))
+    line = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "key")
+    return dealt.withColumn("next", F.lead(F.struct("doc_id", "key", *columns)).over(line)).where("ghost = 0")
+
+
+def _bucket(names: DataFrame) -> Column:
+    """Number of the bucket a row goes to: higher ids, higher numbers."""
     steps = [i / _QUANTILES for i in range(1, _QUANTILES)]
-    count, low, high, cuts = rows.agg(
+    count, low, high, cuts = names.agg(
         F.count("*"), F.min("doc_id"), F.max("doc_id"), F.percentile_approx("doc_id", steps, 10_000)
     ).first()
     # rows without id: 1024 buckets by their order, that of the hashes
-    unnamed = -513 - F.shiftright(F.xxhash64("text"), 54)
+    unnamed = -513 - F.shiftright("key", 54)
     if low is None:
-        bucketed = rows.withColumn("bucket", unnamed)
-    else:
-        edges = sorted({low, *(cuts or []), high + 1})
-        within = max(1, -(-count // (_QUANTILES * _ROWS_PER_BUCKET)))
-        spans = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-                          for a, b in zip(edges, edges[1:])])
-        part = F.size(F.filter(spans, lambda s: s["a"] <= F.col("doc_id"))) - 1
-        rows = rows.withColumn("part", part.cast("long"))
-        span = F.get(spans, F.col("part").cast("int"))
-        inside = F.floor((F.col("doc_id") - span["a"]) / (span["b"] - span["a"]) * within)
-        bucketed = rows.withColumn(
-            "bucket",
-            F.when(F.col("doc_id").isNull(), unnamed).otherwise(
-                F.col("part") * within + F.least(inside, F.lit(within - 1))
-            ),
-        ).drop("part")
-    # one number for each bucket: few, so that one task can line them up
-    order = Window.orderBy(F.desc("bucket"))
-    after = bucketed.select("bucket").distinct().select(
-        "bucket", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(Window.partitionBy())).alias("to")
+        return unnamed
+    edges = sorted({low, *(cuts or []), high + 1})
+    within = max(1, -(-count // (_QUANTILES * _ROWS_PER_BUCKET)))
+    spans = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
+                      for a, b in zip(edges, edges[1:])])
+    part = F.size(F.filter(spans, lambda s: s["a"] <= F.col("doc_id"))) - 1
+    span = F.get(spans, part)
+    inside = F.floor((F.col("doc_id") - span["a"]) / (span["b"] - span["a"]) * within)
+    named = part.cast("long") * within + F.least(inside, F.lit(within - 1))
+    return F.when(F.col("doc_id").isNull(), unnamed).otherwise(named)
+
+
+def _bucket_after(buckets: DataFrame) -> DataFrame:
+    """``(bucket, to)``: the bucket before it in the line, whose last row it follows.
+
+    Buckets are lined up ``_LINE`` numbers at a time; only the greatest of each
+    stretch meet in one task.
+    """
+    stretch = F.floor(F.col("bucket") / _LINE)
+    rows = buckets.withColumn("stretch", stretch)
+    # descending ids: the bucket before is the next greater one, and the last follows round
+    inside = Window.partitionBy("stretch").orderBy(F.desc("bucket"))
+    over = Window.orderBy(F.desc("stretch"))
+    ends = rows.groupBy("stretch").agg(F.min("bucket").alias("least")).select(
+        "stretch", F.coalesce(F.lag("least").over(over), F.min("least").over(Window.partitionBy())).alias("round")
     )
-    # the first row in the order of the line below; tasks send one of each bucket
-    place = F.struct(F.isnull("doc_id"), F.bitwise_not("doc_id"), F.xxhash64("text"))
-    heads = bucketed.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "text"), place).alias("head"))
-    ghosts = heads.join(after, "bucket").select(
-        "head.doc_id", "head.text", F.col("to").alias("bucket"), F.lit(1).alias("ghost")
-    )
-    line = Window.partitionBy("bucket").orderBy(
-        "ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text")
-    )
-    return (
-        bucketed.withColumn("ghost", F.lit(0))
-        .unionByName(ghosts)
-        .withColumn("next", F.lead(F.struct("doc_id", "text")).over(line))
-        .where("ghost = 0")
-        .select("doc_id", "text", F.col("next.doc_id").alias("next_id"), F.col("next.text").alias("next_text"))
-    )
+    return rows.join(ends, "stretch").select("bucket", F.coalesce(F.lag("bucket").over(inside), F.col("round")).alias("to"))
 
 
 def edited_text(text: Column, following: Column) -> Column:
     """The last floor(n / 2) code points replaced by as many (or all) of the next text's first."""
+    first, second = _halves(text, following)
+    return F.concat(first, second)
+
+
+def _halves(text: Column, following: Column) -> tuple[Column, Column]:
     half = F.floor(F.char_length(text) / 2).cast("int")
-    return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half),
-                    F.substring(following, F.lit(1), half))
+    return F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(following, F.lit(1), half)
 
 
 def term_hashes(text: Column) -> Column:
-    """Hashes of the distinct terms of a text."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Hashes of the distinct terms of a text. Words are lower-cased one by one, so
+    that a word is the same term whatever stands beside it."""
+    words = F.filter(F.split(text, _GAPS), lambda w: w != "")
+    return F.array_distinct(F.transform(words, _term))
 
 
-def subset_mask(term: Column) -> Column:
-    """A bit for each subset of the lexicon, set where the subset keeps the term."""
-    bits = [
-        F.when(
-            F.xxhash64(term, F.lit(j)).bitwiseAND(F.lit((2 << j % LEVELS) - 1)) == 0, F.lit(1 << j)
-        ).otherwise(F.lit(0)).cast("long")
-        for j in range(SUBSETS)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
 
 
-def subset_hashes(terms: Column, otherwise: Column) -> Column:
-    """One 32-bit hash for each subset; 0 where it keeps none of the terms.
+def seam_terms(text: Column, following: Column) -> Column:
+    """The terms of an edited text that need not be terms of the texts it is made of."""
+    first, second = _halves(text, following)
+    # from the beginning of a word only, so that long words are not tried from every letter
+    last = rf"((?<!{_LETTERS}){_LETTERS}++)$"
+    joined = F.concat(F.regexp_extract(first, last, 1), F.regexp_extract(second, rf"^{_LETTERS}++", 0))
+    words = F.array(joined, F.regexp_extract(second, last, 1))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), _term))
 
-    ``terms`` are the text's sorted terms with their masks. If no subset keeps any, the
-    text is hashed by ``otherwise``, the hash of all its terms.
-    """
 
-    def one(j: int) -> Column:
-        kept = F.filter(terms, lambda t: t["mask"].bitwiseAND(F.lit(1 << j)) != 0)["term"]
-        return F.when(F.size(kept) == 0, F.lit(0).cast("long")).otherwise(_short(F.xxhash64(kept, F.lit(j))))
+def subset_hashes(terms: Column) -> Column:
+    """Hashes of sorted terms: of all of them, then of what each subset keeps."""
+
+    def keeps(low: int, level: int):
+        return lambda t: F.shiftright(t, low).bitwiseAND(F.lit((1 << level) - 1)) == 0
 
-    kept = F.exists(terms, lambda t: t["mask"].bitwiseAND(F.lit(_IN_BAND - 1)) != 0)
-    return F.when(kept, F.array(*[one(j) for j in range(SUBSETS)])).otherwise(
-        F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda j: _short(F.xxhash64(otherwise, j)))
+    again = F.transform(terms, lambda t: F.xxhash64(t))
+    hashes = [F.xxhash64(terms, F.lit(0))]
+    for j, level in enumerate(LEVELS * 2):
+        low = sum(LEVELS[: j % len(LEVELS)])
+        kept = F.filter(terms if j < len(LEVELS) else again, keeps(low, level))
+        hashes.append(F.xxhash64(kept, F.lit(j + 1)))
+    return F.array(*hashes)
+
+
+def shortened(hashes: Column) -> Column:
+    """32-bit hashes from 1 on; 0 for a subset that keeps none of the terms."""
+    none = F.array(*[F.xxhash64(F.lit(j)) for j in range(SUBSETS + 1)])
+    return F.transform(
+        hashes,
+        lambda h, j: F.when((j > 0) & (h == F.get(none, j)), F.lit(0).cast("long")).otherwise(
+            F.pmod(h, F.lit((1 << 32) - 1)) + 1
+        ),
     )
 
 
-def _short(value: Column) -> Column:
-    """From 1 to 2 ** 32 - 1."""
-    return F.pmod(value, F.lit((1 << 32) - 1)) + 1
+def _fingerprints(rows: DataFrame, terms: Column, left_out: Column, frequent: list[int], name: str) -> DataFrame:
+    """``rows`` with the hashes of ``terms``, ``left_out`` and the frequent ones aside."""
+    # one constant, not an expression for each term
+    known = F.split(F.lit(",".join(map(str, frequent))), ",").cast("array<bigint>") if frequent else None
+    outside = F.concat(left_out, known) if known is not None else left_out
+    own, band = f"{name}_own", f"{name}_band"
+    chosen = F.when(F.size(band) * FEW_ONE_IN < F.size(own), F.col(own)).otherwise(F.col(band))
+    rest = [c for c in rows.columns if c != name]
+    return (
+        rows.withColumn(own, terms)
+        .withColumn(band, F.array_except(own, outside))
+        .select(*rest, F.sort_array(chosen).alias(own))
+        .select(*rest, subset_hashes(F.col(own)).alias(own))
+        .select(*rest, shortened(F.col(own)).alias(name))
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -153,111 +209,81 @@ def as_text(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
 
 
+def frequent_terms(rows: DataFrame, vocabulary: DataFrame, work: Workspace) -> list[int]:
+    """Terms above the band: in more than the share of all rows, and of the distinct texts.
+
+    No more than ``1 / MAX_DF_SHARE`` times the mean number of terms of a text.
+    """
+    most = lambda n: max(MIN_DF, n * MAX_DF_SHARE)
+    copies = work.save(
+        rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first_id")).where("rows > 1"), "copies"
+    )
+    n = rows.count()
+    surplus = copies.agg(F.sum(F.col("rows") - 1)).first()[0] or 0
+    df = {r["term"]: r["df"] for r in vocabulary.where(F.col("df") > most(n)).select("term", "df").collect()}
+    if df and surplus:
+        # one of each group of copies, and what its copies add
+        one = rows.join(copies, "key").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+        known = F.split(F.lit(",".join(map(str, df))), ",").cast("array<bigint>")
+        mine = one.select("key", "rows", F.array_intersect(term_hashes(F.col("text")), known).alias("terms"))
+        more = (
+            mine.dropDuplicates(["key"])
+            .select("rows", F.explode("terms").alias("term"))
+            .groupBy("term")
+            .agg(F.sum(F.col("rows") - 1).alias("more"))
+        )
+        for r in more.collect():
+            df[r["term"]] -= r["more"]
+    work.drop(copies)
+    return sorted(term for term, fresh in df.items() if fresh > most(n - surplus))
+
+
 def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, and how alike they are.
+    """Fingerprints of every text and of its edited text, and of the next text.
 
     Returns ``doc_id, n_chars, edited_sha256, hashes, edited_hashes,
     next_hashes``. Null text: empty. A text that has few lexicon terms (empty
-    ones too) is fingerprinted by all its terms, and so is its edited text then,
-    or an edited text that has no lexicon term. Equal texts have equal hashes.
-    Repeated rows stay; an empty table gives an empty one; other columns are
-    not looked at.
+    ones too) is fingerprinted by all its terms; each text, edited or not, by itself,
+    so equal texts have equal hashes. Repeated rows stay; an empty table gives an
+    empty one; other columns are not looked at.
     """
     work = Workspace(docs.sparkSession, "imatch")
-    texts = with_next(docs, id_col, text_col).withColumn(
-        "edited", edited_text(F.col("text"), F.col("next_text"))
-    )
-    both = work.save(
-        texts.select(
-            "doc_id",
-            F.char_length("text").cast("long").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"),
-            F.xxhash64("text").alias("key"),
-            "next_id",
-            F.xxhash64("next_text").alias("next_key"),
-            term_hashes(F.col("text")).alias("all_terms"),
-            term_hashes(F.col("edited")).alias("all_edited"),
-        ).select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id", "n_chars", "edited_sha256", "key", "next_id", "next_key",
-            F.col("all_terms").alias("terms"),
-            F.col("all_edited").alias("edited_terms"),
-            F.xxhash64(F.array_sort("all_terms")).alias("all_terms"),
-            F.xxhash64(F.array_sort("all_edited")).alias("all_edited"),
-        ),
-        "texts",
-    )
-    # a row is fresh if it is the first of those that have its terms
-    repeated = work.save(
-        both.groupBy("all_terms").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1"), "repeated"
-    )
-    n = both.count()
-    distinct = n - (repeated.agg(F.sum(F.col("rows") - 1)).first()[0] or 0)
-    fresh = F.coalesce(F.col("row") == F.col("first"), F.lit(True)).cast("long")
-    most = lambda rows: max(MIN_DF, rows * MAX_DF_SHARE)
-    in_band = (F.col("df") >= MIN_DF) & ((F.col("df") <= most(n)) | (F.col("fresh_df") <= most(distinct)))
-    vocabulary = (
-        both.select("row", "all_terms", "terms")
-        .join(repeated.select("all_terms", "first"), "all_terms", "left")
-        .select(fresh.alias("fresh"), F.explode("terms").alias("term"))
+    rows = _rows(docs, id_col, text_col)
+    vocabulary = work.save(
+        rows.select("doc_id", "key", F.explode(term_hashes(F.col("text"))).alias("term"))
         .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("fresh").alias("fresh_df"))
-        .select("term", F.when(in_band, _IN_BAND).otherwise(0).cast("long").alias("band"))
+        # of a term in one row: that row
+        .agg(F.count("*").alias("df"), F.min("doc_id").alias("doc_id"), F.min("key").alias("key")),
+        "vocabulary",
     )
-    vocabulary = work.save(
-        vocabulary.select("term", subset_mask(F.col("term")).bitwiseOR(F.col("band")).alias("mask")), "vocabulary"
+    frequent = frequent_terms(rows, vocabulary, work)
+    lined = _line_up(rows, rows, "text")
+    seams = work.save(
+        lined.select("doc_id", "key", F.explode(seam_terms(F.col("text"), F.col("next.text"))).alias("term")), "seams"
     )
-    # a term that both texts have travels once: 1 the text, 2 the edited one, 3 both
-    of = lambda terms, who: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(who).cast("byte").alias("of")))
-    uses = both.select(
-        "row",
-        F.inline(
-            F.concat(
-                of(F.array_except("terms", "edited_terms"), 1),
-                of(F.array_except("edited_terms", "terms"), 2),
-                of(F.array_intersect("terms", "edited_terms"), 3),
-            )
-        ),
+    below = seams.join(vocabulary.select("term", "df"), "term", "left").where(F.coalesce("df", F.lit(0)) < MIN_DF)
+    left_out = work.save(
+        vocabulary.where(F.col("df") < MIN_DF)
+        .select("doc_id", "key", "term")
+        .union(below.select("doc_id", "key", "term"))
+        .groupBy("doc_id", "key")
+        .agg(F.collect_set("term").alias("out")),
+        "left_out",
     )
-    # words that only the edit has made are in no text: they have no mask yet
-    mask = F.coalesce(F.col("mask"), subset_mask(F.col("term")))
-    met = uses.join(vocabulary, "term", "left").select("row", "of", F.struct("term", mask.alias("mask")).alias("use"))
-    met = work.save(met, "met")
-    told = work.save(both.drop("terms", "edited_terms"), "told")
-    work.drop(both, repeated, vocabulary)
-    of_band = {c: F.filter(c, lambda t: t["mask"] >= _IN_BAND) for c in ("own", "edit")}
-    few = F.size(of_band["own"]) * FEW_ONE_IN < F.size("own")
-    # chosen and sorted below the join, so once and not for each subset
-    kept = (
-        met.groupBy("row")
-        .agg(
-            F.collect_list(F.when(F.col("of") != 2, F.col("use"))).alias("own"),
-            F.collect_list(F.when(F.col("of") != 1, F.col("use"))).alias("edit"),
-        )
-        .select(
-            "row",
-            F.array_sort(F.when(few, F.col("own")).otherwise(of_band["own"])).alias("own"),
-            F.array_sort(
-                F.when(few | (F.size(of_band["edit"]) == 0), F.col("edit")).otherwise(of_band["edit"])
-            ).alias("edit"),
-        )
-    )
-    none = F.array().cast("array<struct<term:long,mask:long>>")
-    prints = work.save(
-        told.join(kept, "row", "left")
-        .select(
-            "doc_id", "n_chars", "edited_sha256", "key", "next_id", "next_key",
-            subset_hashes(F.coalesce("own", none), F.col("all_terms")).alias("hashes"),
-            subset_hashes(F.coalesce("edit", none), F.col("all_edited")).alias("edited_hashes"),
-        ),
-        "prints",
-    )
-    work.drop(met, told)
-    # by id as well, for copies of one text would all meet in one task
-    following = prints.select(
-        F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), F.col("hashes").alias("next_hashes")
-    ).dropDuplicates(["its_id", "its_key"])
-    same = F.col("next_id").eqNullSafe(F.col("its_id")) & (F.col("next_key") == F.col("its_key"))
-    return prints.join(following, same).select(
-        "doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", "next_hashes"
+    work.drop(vocabulary, seams)
+    theirs = left_out.select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), "out")
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key"))
+    none = F.array().cast("array<bigint>")
+    known = rows.join(theirs, same, "left").select("doc_id", "key", "text", F.coalesce("out", none).alias("out"))
+    known = _fingerprints(known, term_hashes(F.col("text")), F.col("out"), frequent, "hashes")
+    lined = _line_up(known, rows, "text", "out", "hashes").select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        edited_text(F.col("text"), F.col("next.text")).alias("edited"),
+        F.concat("out", "next.out").alias("out"),
+        "hashes",
+        F.col("next.hashes").alias("next_hashes"),
     )
+    lined = lined.withColumn("edited_sha256", F.sha2("edited", 256))
+    edited = _fingerprints(lined, term_hashes(F.col("edited")), F.col("out"), frequent, "edited_hashes")
+    return edited.select("doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", "next_hashes")

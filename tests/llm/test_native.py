@@ -58,9 +58,8 @@ def test_fingerprints_by_plain_lexicon(spark):
     found = {r["doc_id"]: r for r in imatch.fingerprint_with_edits(df).collect()}
     terms = [set(re.findall(r"[^\W_]+", (t or "").lower())) for t in texts]
     df_of = {w: sum(w in t for t in terms) for w in set().union(*terms)}
-    hashed = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in df_of], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
     limit = max(imatch.MIN_DF, len(texts) * imatch.MAX_DF_SHARE)
-    kept = [frozenset(w for w in t if imatch.MIN_DF <= df_of[w] <= limit and hashed[w] & (imatch.LEXICON_ONE_IN - 1) == 0) or frozenset(t) for t in terms]
+    kept = [frozenset(w for w in t if imatch.MIN_DF <= df_of[w] <= limit) or frozenset(t) for t in terms]
     # equal lexicon terms, equal hashes; and the other way round
     by_terms, by_hashes = {}, {}
     for i, t in enumerate(kept):
@@ -97,6 +96,45 @@ def test_near_copies_are_alike_however_many(spark):
     assert all(found[i]["next"] == 1 for i in range(41, 60))
 
 
+def test_equal_texts_have_equal_fingerprints_edited_or_not(spark):
+    # the edited text of row 5 is the text of row 2
+    rows = [(9, "one two three four"), (5, "one two t--------"), (4, "hree fou and more"), (2, "one two three fou"), (1, "ΟΔΟΣ ΟΔΟΣ'Α"), (0, "zz")]
+    rows += [(100 + i, f"one two many{i % 3} words{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {}
+    found = imatch.fingerprint_with_edits(df).collect()
+    texts = dict(rows)
+    for r in found:
+        prints.setdefault(hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest(), set()).add(tuple(r["hashes"]))
+        prints.setdefault(r["edited_sha256"], set()).add(tuple(r["edited_hashes"]))
+    assert all(len(x) == 1 for x in prints.values())
+    edited = {r["doc_id"]: r["edited_sha256"] for r in found}
+    assert edited[5] == hashlib.sha256(b"one two three fou").hexdigest()
+
+
+def test_equal_texts_have_equal_fingerprints_on_all_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = imatch.fingerprint_with_edits(docs).join(docs.select("doc_id", F.sha2("text", 256).alias("sha256")), "doc_id")
+    both = found.select("sha256", "hashes").union(found.select("edited_sha256", "edited_hashes"))
+    per_text = both.distinct().groupBy("sha256").count()
+    assert per_text.where("count > 1").isEmpty() and per_text.count() > docs.count()
+    # texts with different terms are told apart by the whole lexicon
+    assert both.distinct().count() > 0.95 * per_text.count()
+
+
+def test_seams_of_an_edit_are_looked_up(spark):
+    text, following = "Straße und weiter", "gehend oder nicht"
+    df = spark.createDataFrame([(text, following), ("", ""), ("a", "b"), ("x" * 5000, "y" * 5000)], "a string, b string")
+    terms = lambda c: imatch.term_hashes(c)
+    edited = imatch.edited_text(F.col("a"), F.col("b"))
+    rows = df.select(
+        F.array_except(terms(edited), F.array_union(terms(F.col("a")), terms(F.col("b")))).alias("new"),
+        imatch.seam_terms(F.col("a"), F.col("b")).alias("seams"),
+    ).collect()
+    assert all(set(r.new) <= set(r.seams) and len(r.seams) <= 2 for r in rows)
+    assert len(rows[0].new) >= 1 and rows[1].seams == []
+
+
 def test_likeness(spark):
     row = spark.sql("select array(1,0,3,0) a, array(1,2,0,0) b, array(0,0,0,0) z")
     got = row.select(imatch.likeness(F.col("a"), F.col("b")), imatch.likeness(F.col("a"), F.col("a")), imatch.likeness(F.col("z"), F.col("z"))).first()
