@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +25,18 @@ class Workspace:
         self.spark = spark
         self.root = scratch_path(spark, label)
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+    def let_go(self, write: Callable[[], None]) -> None:
+        """Write something, and let go of the shuffle files it took."""
         before = self.spark.conf.get(_CLEANUP)
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            write()
         finally:
             self.spark.conf.set(_CLEANUP, before)
+
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+        self.let_go(lambda: df.write.parquet(path, compression=compression))
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:

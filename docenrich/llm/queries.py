@@ -96,7 +96,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    records = warc.archive_and_read(table(spark, sf_dir, "pages"), settled=True, with_payload=False)
     return records.select(
         warc.page_of(F.col("record_id")).alias("page_id"),
         "payload_bytes",

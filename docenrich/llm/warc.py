@@ -23,8 +23,9 @@ from docenrich.llm.common import Workspace, clean_text
 
 #: Payloads below this many bytes are never written as revisits.
 MIN_REVISIT_BYTES = 100
-SEGMENT_CHARS = 64 * 1024
+SEGMENT_CHARS = 16 * 1024
 CHUNK_CHARS = 8 * 1024
+#: With segments of at most 64 KiB of UTF-8, no archive is larger than 256 MiB, unzipped.
 RECORDS_PER_FILE = 4_000
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,34 +46,44 @@ def chunked(text: Column, size: int = CHUNK_CHARS) -> Column:
     return F.concat(F.array_join(chunks, ""), F.lit("0\r\n\r\n"))
 
 
-def decide_records(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``page_id, url, payload, payload_digest, payload_bytes, record_id, refers_id, refers_to``.
-
-    Of equal payloads of enough bytes the row with the smallest id is written
-    whole, the others refer to it. Rows that repeat an id are told apart by
-    their place in the input.
-    """
-    rows = pages.select(
+def placed_rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """``page_id, url, payload, place``, the place being the row's number in the input."""
+    return pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         clean_text(html_col).alias("payload"),
         F.monotonically_increasing_id().alias("place"),
     )
+
+
+def decide_records(rows: DataFrame, work: Workspace) -> DataFrame:
+    """``page_id, url, payload, payload_digest, payload_bytes, record_id, refers_id``.
+
+    Of equal payloads of enough bytes the row with the smallest id is written
+    whole, the others refer to it. Rows that repeat an id are told apart by
+    their place, so ``rows`` must have the same places whenever they are looked at.
+    """
     digest, size = F.sha2(F.col("payload"), 256), F.octet_length("payload").cast("long")
     rows = rows.withColumn("payload_digest", digest).withColumn("payload_bytes", size)
     first = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "place")
-    firsts = (
+    # decided without the payloads, and written, so that a hot one can be split when it is joined
+    firsts = work.save(
         rows.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
         .groupBy("payload_digest")
         .agg(F.min(first).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("payload_digest", "first")
+        .select(F.col("payload_digest").alias("digest"), "first"),
+        "firsts",
+    )
+    # payloads of too few bytes have nothing to look up, and are dealt evenly
+    digest = F.when(F.col("payload_bytes") >= MIN_REVISIT_BYTES, F.col("payload_digest")).otherwise(
+        F.hex("place")
     )
     name = lambda page, place: F.concat(
         F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(":"), place.cast("string"), F.lit(">")
     )
     again = F.col("first").isNotNull() & (F.col("first.place") != F.col("place"))
-    return rows.join(firsts, "payload_digest", "left").select(
+    return rows.withColumn("digest", digest).join(firsts, "digest", "left").select(
         "page_id", "url", "payload", "payload_digest", "payload_bytes",
         name(F.col("page_id"), F.col("place")).alias("record_id"),
         F.when(again, name(F.col("first.page_id"), F.col("first.place"))).alias("refers_id"),
@@ -93,13 +104,27 @@ def write_archives(
     url_col: str = "url",
     html_col: str = "html",
     segment_chars: int = SEGMENT_CHARS,
+    settled: bool = False,
 ) -> None:
     """Write a record for every page, as gzipped archives below ``path``.
 
     Null html: an empty payload. Line ends in a url are taken out; a null url
-    leaves the field out.
+    leaves the field out. Repeated rows are records of their own; very long pages
+    are cut into segments; an empty table gives no record; other columns are not
+    looked at. ``settled`` says that the pages come straight from files; others
+    are written once first, for a row must keep its number if an executor is lost.
     """
-    rows = decide_records(pages, id_col, url_col, html_col)
+    work = Workspace(pages.sparkSession, "warc")
+    rows = placed_rows(pages, id_col, url_col, html_col)
+    if not settled:
+        rows = work.save(rows, "rows")
+    decided = decide_records(rows, work)
+    work.let_go(lambda: _write(decided, path, segment_chars))
+    if not settled:
+        work.drop(rows)
+
+
+def _write(rows: DataFrame, path: str, segment_chars: int) -> None:
     revisit = F.col("refers_id").isNotNull()
     url = F.regexp_replace("url", r"[\r\n]", "")
     framing = F.when(
@@ -236,41 +261,45 @@ _RECORDS = pa.schema(
 _RECORD_DDL = "record_id string, url string, record_type string, refers_id string, payload binary, payload_bytes long, payload_digest string"
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, held = [], 0
-        for row in batch.to_pylist():
-            numbers = [s["number"] for s in row["segments"]]
-            if numbers != list(range(1, len(numbers) + 1)):
-                raise ValueError(f"{row['record_id']} has the segments {numbers}")
-            block = b"".join(s["block"] for s in row["segments"])
-            if row["total"] != len(block):
-                raise ValueError(f"{row['record_id']}: {len(block)} bytes instead of {row['total']}")
-            payload, size = _payload(block, row["record_type"])
-            told = (row["digest"] or "").removeprefix("sha256:") or None
-            if payload is not None:
-                digest = hashlib.sha256(payload).hexdigest()
-                if told and told != digest:
-                    raise ValueError(f"{row['record_id']}: the payload does not match its digest")
-                told = digest
-            rows.append({"record_id": row["record_id"], "url": row["url"], "record_type": row["record_type"],
-                         "refers_id": row["refers_id"], "payload": payload, "payload_bytes": size,
-                         "payload_digest": told})
-            held += len(block)
-            if held > _BATCH_BYTES:
+def _assemble(with_payload: bool):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for row in batch.to_pylist():
+                numbers = [s["number"] for s in row["segments"]]
+                if numbers != list(range(1, len(numbers) + 1)):
+                    raise ValueError(f"{row['record_id']} has the segments {numbers}")
+                block = b"".join(s["block"] for s in row["segments"])
+                if row["total"] != len(block):
+                    raise ValueError(f"{row['record_id']}: {len(block)} bytes instead of {row['total']}")
+                payload, size = _payload(block, row["record_type"])
+                told = (row["digest"] or "").removeprefix("sha256:") or None
+                if payload is not None:
+                    digest = hashlib.sha256(payload).hexdigest()
+                    if told and told != digest:
+                        raise ValueError(f"{row['record_id']}: the payload does not match its digest")
+                    told = digest
+                rows.append({"record_id": row["record_id"], "url": row["url"], "record_type": row["record_type"],
+                             "refers_id": row["refers_id"], "payload": payload if with_payload else None, "payload_bytes": size,
+                             "payload_digest": told})
+                held += len(block)
+                if held > _BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
+                    rows, held = [], 0
+            if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
+
+    return task
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """The records below ``path``, reassembled: id, url, type, reference, payload, its size and digest.
 
     Fails on a record that is cut off, a missing or repeated segment, a total
     length that does not hold, broken framing, or a payload that does not match
     its digest. A revisit has no payload; size and digest are those of the
-    payload it stands for.
+    payload it stands for. The segments of a record come together in one row, so a
+    record has 2 GB at most. Without ``with_payload`` payloads are checked, not returned.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
     segments = files.mapInArrow(_segments, _SEGMENT_DDL)
@@ -279,7 +308,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("segments"),
         one("url"), F.max("kind").alias("record_type"), one("digest"), one("refers_id"), one("total"),
     )
-    return whole.mapInArrow(_assemble, _RECORD_DDL)
+    return whole.mapInArrow(_assemble(with_payload), _RECORD_DDL)
 
 
 def page_of(record_id: Column) -> Column:
@@ -287,9 +316,20 @@ def page_of(record_id: Column) -> Column:
     return F.regexp_extract(record_id, r"^<urn:page:(-?\d+):", 1).try_cast("long")
 
 
-def archive_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write the pages as archives in the shared folder and read these back."""
+def archive_and_read(
+    pages: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    settled: bool = False,
+    with_payload: bool = True,
+) -> DataFrame:
+    """Write the pages as archives in the shared folder and read these back.
+
+    One row for each input row; nulls, empty tables and the rest as in
+    ``write_archives`` and ``read_archives``.
+    """
     work = Workspace(pages.sparkSession, "warc")
     path = f"{work.root}/archives"
-    write_archives(pages, path, id_col, url_col, html_col)
-    return read_archives(pages.sparkSession, path)
+    write_archives(pages, path, id_col, url_col, html_col, settled=settled)
+    return read_archives(pages.sparkSession, path, with_payload)

@@ -71,6 +71,16 @@ def test_evidence_is_the_host_s_however_it_is_dealt(spark):
         assert [found[i] for i in range(len(html))] == wanted
 
 
+@pytest.mark.parametrize("count, words, parts", [(8, 400, 1), (40, 150, 7), (200, 400, 7), (1200, 400, 1), (1200, 150, 7), (5000, 150, 7)])
+def test_near_copies_keep_their_texts_however_many(spark, count, words, parts):
+    base = [f"word{k}" for k in range(words)]
+    texts = [" ".join([*base[: i % words], f"own{i}", *base[i % words + 1 :]]) for i in range(count)]
+    rows = [(i, "http://copies.example/x", f"<body><div>{t}</div></body>") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    found = {r["page_id"]: r["text"] for r in htmltext.extract_main_text(df).collect()}
+    assert [found[i] for i in range(count)] == texts
+
+
 def test_repeated_runs_by_plain_search():
     import numpy as np
 
@@ -122,6 +132,24 @@ def test_archives_round_trip(spark, pages, tmp_path):
     assert warc.archive_and_read(pages.limit(0)).collect() == []
 
 
+def test_many_copies_and_empty_pages_over_shuffled_input(spark):
+    rows = [(i, "u", BODY if i % 3 == 0 else "" if i % 3 == 1 else f"{BODY}{i}") for i in range(600)] + [(0, "u", BODY)] * 2
+    df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, digest int")
+    for parts in (1, 9):
+        found = warc.archive_and_read(df.repartition(parts)).withColumn("page", warc.page_of(F.col("record_id"))).collect()
+        assert len(found) == len(rows)
+        by_id = {r["record_id"]: r for r in found}
+        for r in found:
+            whole = r["page"] % 3 or r["refers_id"] is None
+            assert r["record_type"] == ("response" if whole else "revisit")
+            if not whole:
+                target = by_id[r["refers_id"]]
+                assert target["page"] == 0 and target["record_type"] == "response" and target["payload_digest"] == r["payload_digest"]
+        assert sum(r["record_type"] == "response" for r in found if r["page"] % 3 == 0) == 1
+    told = warc.archive_and_read(df, with_payload=False).collect()
+    assert {r["payload"] for r in told} == {None} and {r["payload_bytes"] for r in told} == {r["payload_bytes"] for r in found}
+
+
 def warc_page(record_id):
     return int(record_id.split(":")[2])
 
