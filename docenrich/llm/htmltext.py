@@ -1,15 +1,17 @@
 """Main text of web pages: markup first, then a host's suffix array.
 
-Pages are put in order of host and dealt out in blocks of a host's pages. The
-words of a block's pages form one stream, over which a suffix array is built:
+Pages are dealt out in blocks of a host's pages, of equal size whatever the number
+of tasks. The words of a block's pages form one stream, over which a suffix array is built:
 runs of words that distinct pages of the host share lie next to each other in
 it. What is frequent on a host is so in one of its blocks at least, so the runs
 frequent in a block are counted once more over all pages of the host. A run that
 enough of them share is boilerplate and is removed; what is unique to the pages
-stays. Pages that are equal, or nearly so in a block, are one witness. Markup that names menus, headers, footers, sidebars,
-notices, adverts, forms and comments is dropped before; where a page marks its
-article, only what nearly every page of the host repeats is removed from it, and
-never the whole of it.
+stays. Pages that are equal, or nearly so in a block, are one witness. Pages that
+share most of their words are copies of a text, not texts in a common frame:
+nothing is removed from a page of which more than half would go. Markup that names
+menus, headers, footers, sidebars, notices, adverts, forms and comments is dropped
+before; where a page marks its article, only what nearly every page of the host
+repeats is removed from it.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ from docenrich.llm.textbytes import run_hashes, slices, word_bounds, word_hashes
 
 #: Words of the shortest run that counts as repeated (a power of two).
 RUN_WORDS = 8
-#: Pages of one host that are looked at together, and their words (a longer page is a block of its own).
+#: Pages of one host that are looked at together, on average at most, and their words (blocks of long pages are cut).
 BLOCK_PAGES, BLOCK_WORDS = 256, 400_000
 #: Outside of marked articles a run on so many pages, and this share of the host's, is boilerplate ...
 LOOSE_PAGES, LOOSE_SHARE = 3, 0.3
 #: ... and inside.
 MARKED_PAGES, MARKED_SHARE = 10, 0.8
+#: Of a page of which more than this share is repeated, nothing is: its host has copies of it.
+MOST_REPEATED = 0.5
 #: Pages that have this share of their runs in common are copies; looked for by their first runs in order of hash.
 COPY_SHARE, COPY_RUNS = 0.8, 8
 
@@ -269,8 +273,8 @@ def frequent_runs(pages: list[list[str]]) -> np.ndarray:
     return np.unique(run_hashes(words, RUN_WORDS)[whole & often])
 
 
-def own_text(texts: list[str], marked: bool, boilerplate: np.ndarray) -> str:
-    """A page's text without the runs that are boilerplate."""
+def own_text(texts: list[str], boilerplate: np.ndarray) -> str:
+    """A page's text without the runs that are boilerplate, unless these are most of it."""
     words, block_of = words_of(texts)
     run = np.flatnonzero(np.isin(run_hashes(words, RUN_WORDS), boilerplate))
     if len(run):
@@ -278,8 +282,7 @@ def own_text(texts: list[str], marked: bool, boilerplate: np.ndarray) -> str:
         np.add.at(edge, run, 1)
         np.add.at(edge, run + RUN_WORDS, -1)
         covered = np.cumsum(edge)[: len(words)] > 0
-        # what is repeated to the last word is an article all the same
-        if not (marked and covered.all()):
+        if covered.mean() <= MOST_REPEATED:
             first_word = np.searchsorted(block_of, np.arange(len(texts) + 1))
             texts = [
                 " ".join(w for w, gone in zip(text.split(" "), covered[a:b]) if not gone)
@@ -304,7 +307,7 @@ def main_texts(pages: list[list[Block]]) -> list[str]:
     runs, counts = page_counts(witnesses, frequent_runs(witnesses))
     loose = runs[counts >= max(LOOSE_PAGES, LOOSE_SHARE * len(witnesses))]
     strict = runs[counts >= max(MARKED_PAGES, MARKED_SHARE * len(witnesses))]
-    return [own_text(texts, marked, strict if marked else loose) for texts, marked in chosen]
+    return [own_text(texts, strict if marked else loose) for texts, marked in chosen]
 
 
 def host_of(url: Column) -> Column:
@@ -322,20 +325,27 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """
     work = Workspace(pages.sparkSession, "htmltext")
     rows = pages.select(
-        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         clean_text(html_col).alias("html"),
         host_of(F.col(url_col)).alias("host"),
     )
-    # ranges of (host, hash) split a host of any size, and keep a small one together
-    place = F.xxhash64("page_id", "url")
-    rows = rows.withColumn("place", place).repartitionByRange("host", "place").sortWithinPartitions("host", "place")
+    # a host of many pages has several blocks, which its pages are dealt to by hash
+    large = work.save(
+        rows.groupBy("host").agg(F.ceil(F.count("*") / BLOCK_PAGES).alias("blocks")).where("blocks > 1"), "large"
+    )
+    block = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("blocks", F.lit(1)))
+    # what markup leaves is less than what it was, so that is moved
+    chosen = rows.join(large, "host", "left").select("page_id", "url", "html", "host", block.alias("block")).mapInArrow(
+        _chosen, _PAGE_DDL
+    )
+    dealt = chosen.repartition("host", "block").sortWithinPartitions("host", "block", "page_id", "url")
     parsed = work.save(
-        rows.select("row", "page_id", "url", "html", "host").mapInArrow(
-            _parsed, "row long, page_id long, url string, host string, texts array<string>, marked boolean, content long, witness boolean"
+        dealt.mapInArrow(_witnesses, f"{_PAGE_DDL}, content long, witness boolean").withColumn(
+            "row", F.monotonically_increasing_id()
         ),
         "parsed",
+        compression="zstd",
     )
     # equal pages of different blocks are one witness too
     witnesses = parsed.where("witness")
@@ -344,10 +354,10 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         "copies",
     )
     witnesses = (
-        witnesses.select("row", "host", "texts", "content")
+        witnesses.select("row", "host", "block", "texts", "content")
         .join(copies.select("host", "content", "first"), ["host", "content"], "left")
         .where("first is null or row = first")
-        .select("host", "texts")
+        .select("host", "block", "texts")
     )
     hosts = work.save(witnesses.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LOOSE_PAGES), "hosts")
     of_blocks = witnesses.mapInArrow(_candidates, "host string, run long")
@@ -373,62 +383,76 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     runs = F.when(F.col("marked"), F.col("strict")).otherwise(F.col("loose")).alias("runs")
     return (
         parsed.join(boilerplate, "host", "left")
-        .select("page_id", "url", "texts", "marked", runs)
+        .select("page_id", "url", "texts", runs)
         .mapInArrow(_texts, "page_id long, url string, text string")
     )
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What markup leaves of pages in order of host, and which of a block's pages are witnesses."""
-    held: list[tuple] = []
-    host, words = None, 0
+_PAGE_DDL = "page_id long, url string, host string, block long, texts array<string>, marked boolean"
+
+
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What markup leaves of pages."""
+    for batch in batches:
+        chosen = [chosen_blocks(page_blocks(html.as_py())) for html in batch.column("html")]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("page_id"),
+                batch.column("url"),
+                batch.column("host"),
+                batch.column("block"),
+                pa.array([texts for texts, _ in chosen], pa.list_(pa.string())),
+                pa.array([marked for _, marked in chosen], pa.bool_()),
+            ],
+            names=["page_id", "url", "host", "block", "texts", "marked"],
+        )
+
+
+def _witnesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of a block's pages, or of a part of it if they are long, are no copies of others."""
+    held: list[pa.RecordBatch] = []
+    last, size = None, 0
 
     def settle() -> pa.RecordBatch:
-        chosen = [chosen_blocks(page_blocks(h[2])) for h in held]
-        stream, page = stream_of([texts for texts, _ in chosen])
-        first = np.searchsorted(page, np.arange(len(held) + 1))
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        pages = rows.column("texts").to_pylist()
+        stream, page = stream_of(pages)
+        first = np.searchsorted(page, np.arange(len(pages) + 1))
         content = [hashlib.blake2b(stream[a:b].tobytes(), digest_size=8).digest() for a, b in zip(first, first[1:])]
-        witness = copy_groups(stream, page, len(held)) == np.arange(len(held))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([h[0] for h in held], pa.int64()),
-                pa.array([h[1] for h in held], pa.int64()),
-                pa.array([h[3] for h in held], pa.string()),
-                pa.array([h[4] for h in held], pa.string()),
-                pa.array([texts for texts, _ in chosen], pa.list_(pa.string())),
-                pa.array([marked for _, marked in chosen], pa.bool_()),
+                *rows.columns,
                 pa.array([int.from_bytes(c, "little", signed=True) for c in content], pa.int64()),
-                pa.array(witness),
+                pa.array(copy_groups(stream, page, len(pages)) == np.arange(len(pages))),
             ],
-            names=["row", "page_id", "url", "host", "texts", "marked", "content", "witness"],
+            names=[*rows.schema.names, "content", "witness"],
         )
 
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("row", "page_id", "html", "url", "host"))
-        for page in zip(*columns):
-            if held and (page[4] != host or len(held) >= BLOCK_PAGES or words >= BLOCK_WORDS):
+        places = zip(batch.column("host").to_pylist(), batch.column("block").to_pylist())
+        for k, (place, texts) in enumerate(zip(places, batch.column("texts"))):
+            if held and (place != last or size >= 6 * BLOCK_WORDS):
                 yield settle()
-                held, words = [], 0
-            host = page[4]
-            held.append(page)
-            words += len(page[2]) // 6
+                held, size = [], 0
+            held.append(batch.slice(k, 1))
+            last, size = place, size + sum(len(t.as_py()) for t in texts.values)
     if held:
         yield settle()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[list[str]], np.ndarray | None]]:
-    """Neighbouring pages of a host, with the runs that come with the first of them."""
-    host, held, runs, size = None, [], None, 0
+    """Neighbouring pages of a host's block, with the runs that come with the first of them."""
+    host, last, held, runs, size = None, None, [], None, 0
     for batch in batches:
         given = batch.column("runs") if "runs" in batch.schema.names else None
         hosts, pages = batch.column("host").to_pylist(), batch.column("texts").to_pylist()
-        for k, (own, texts) in enumerate(zip(hosts, pages)):
-            if held and (own != host or len(held) >= BLOCK_PAGES or size >= 6 * BLOCK_WORDS):
+        for k, (own, block, texts) in enumerate(zip(hosts, batch.column("block").to_pylist(), pages)):
+            if held and ((own, block) != last or size >= 6 * BLOCK_WORDS):
                 yield host, held, runs
                 held, size = [], 0
             if not held and given is not None and (own != host or runs is None):
                 runs = _numbers(given, k)
-            host = own
+            host, last = own, (own, block)
             held.append(texts)
             size += sum(map(len, texts))
     if held:
@@ -457,9 +481,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = np.zeros(0, dtype=np.uint64)
     for batch in batches:
-        pages, marked, runs = batch.column("texts").to_pylist(), batch.column("marked").to_pylist(), batch.column("runs")
+        pages, runs = batch.column("texts").to_pylist(), batch.column("runs")
         texts = [
-            own_text(p, m, _numbers(runs, k) if runs[k].is_valid else none) for k, (p, m) in enumerate(zip(pages, marked))
+            own_text(p, _numbers(runs, k) if runs[k].is_valid else none) for k, p in enumerate(pages)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
