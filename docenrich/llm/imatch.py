@@ -19,6 +19,8 @@ texts, but for the two words at its seams; these are looked up.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     than a bucket.
     """
     rows = _rows(docs, id_col, text_col)
-    lined = _line_up(rows, rows, "text")
+    lined = _follow(_dealer(rows)(rows), "text")
     return lined.select("doc_id", "text", F.col("next.doc_id").alias("next_id"), F.col("next.text").alias("next_text"))
 
 
@@ -63,14 +65,14 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _line_up(rows: DataFrame, names: DataFrame, *columns: str) -> DataFrame:
-    """``rows`` with ``next``, the ``doc_id``, ``key`` and ``columns`` of the row that follows.
+def _dealer(names: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Deals rows to their ``bucket``, and those of the first row of each bucket once more,
+    as its ``ghost``, to the bucket before it.
 
-    ``names`` has the ``doc_id`` and ``key`` of all rows, and is cheaper to look at.
+    ``names`` has the ``doc_id`` and ``key`` of all rows.
     """
     names = names.select("doc_id", "key")
     bucket = _bucket(names)
-    # the first row of each bucket goes to the end of the bucket before it, too
     place = F.struct(F.isnull("doc_id"), F.bitwise_not("doc_id").alias("down"), "key")
     heads = names.groupBy(bucket.alias("bucket")).agg(F.min(place).alias("head"))
     heads = heads.join(_bucket_after(heads.select("bucket")), "bucket").select(
@@ -79,9 +81,13 @@ def _line_up(rows: DataFrame, names: DataFrame, *columns: str) -> DataFrame:
     head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
     once = lambda to, ghost: F.struct(to.alias("bucket"), F.lit(ghost).alias("ghost"))
     place = F.when(F.col("to").isNull(), F.array(once(bucket, 0))).otherwise(F.array(once(bucket, 0), once(F.col("to"), 1)))
-    dealt = rows.join(heads, head, "left").select("doc_id", "key", *columns, F.inline(place))
+    return lambda rows: rows.join(heads, head, "left").select(*rows.columns, F.inline(place)).repartition("bucket")
+
+
+def _follow(dealt: DataFrame, *columns: str) -> DataFrame:
+    """Dealt rows with ``next``, the ``doc_id`` and ``columns`` of the row that follows."""
     line = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "key")
-    return dealt.withColumn("next", F.lead(F.struct("doc_id", "key", *columns)).over(line)).where("ghost = 0")
+    return dealt.withColumn("next", F.lead(F.struct("doc_id", *columns)).over(line)).where("ghost = 0")
 
 
 def _bucket(names: DataFrame) -> Column:
@@ -209,16 +215,16 @@ def as_text(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
 
 
-def frequent_terms(rows: DataFrame, vocabulary: DataFrame, work: Workspace) -> list[int]:
+def frequent_terms(rows: DataFrame, names: DataFrame, vocabulary: DataFrame, work: Workspace) -> list[int]:
     """Terms above the band: in more than the share of all rows, and of the distinct texts.
 
     No more than ``1 / MAX_DF_SHARE`` times the mean number of terms of a text.
     """
     most = lambda n: max(MIN_DF, n * MAX_DF_SHARE)
     copies = work.save(
-        rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first_id")).where("rows > 1"), "copies"
+        names.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first_id")).where("rows > 1"), "copies"
     )
-    n = rows.count()
+    n = names.count()
     surplus = copies.agg(F.sum(F.col("rows") - 1)).first()[0] or 0
     df = {r["term"]: r["df"] for r in vocabulary.where(F.col("df") > most(n)).select("term", "df").collect()}
     if df and surplus:
@@ -256,8 +262,10 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         .agg(F.count("*").alias("df"), F.min("doc_id").alias("doc_id"), F.min("key").alias("key")),
         "vocabulary",
     )
-    frequent = frequent_terms(rows, vocabulary, work)
-    lined = _line_up(rows, rows, "text")
+    names = work.save(rows.select("doc_id", "key"), "names")
+    frequent = frequent_terms(rows, names, vocabulary, work)
+    deal = _dealer(names)
+    lined = _follow(deal(rows), "text")
     seams = work.save(
         lined.select("doc_id", "key", F.explode(seam_terms(F.col("text"), F.col("next.text"))).alias("term")), "seams"
     )
@@ -271,12 +279,21 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         "left_out",
     )
     work.drop(vocabulary, seams)
-    theirs = left_out.select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), "out")
-    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key"))
+    # what is left out travels to its text's bucket as a row of its own, just before the text
+    nothing = lambda kind: F.lit(None).cast(kind)
+    both = rows.select("doc_id", "key", F.lit(1).alias("is_text"), "text", nothing("array<bigint>").alias("out")).union(
+        left_out.select("doc_id", "key", F.lit(0), nothing("string"), "out")
+    )
+    its = Window.partitionBy("bucket", "ghost", "doc_id", "key").orderBy("is_text")
     none = F.array().cast("array<bigint>")
-    known = rows.join(theirs, same, "left").select("doc_id", "key", "text", F.coalesce("out", none).alias("out"))
+    known = (
+        deal(both)
+        .withColumn("out", F.coalesce(F.first("out").over(its), none))
+        .where("is_text = 1")
+        .select("doc_id", "key", "text", "out", "bucket", "ghost")
+    )
     known = _fingerprints(known, term_hashes(F.col("text")), F.col("out"), frequent, "hashes")
-    lined = _line_up(known, rows, "text", "out", "hashes").select(
+    lined = _follow(known, "text", "out", "hashes").select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         edited_text(F.col("text"), F.col("next.text")).alias("edited"),
