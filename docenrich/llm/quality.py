@@ -186,7 +186,8 @@ def learn(
     label_col: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
 ) -> Model:
-    """Fit on about ``sample_rows`` of ``docs``, chosen by the hash of the id.
+    """Fit on about ``sample_rows`` of ``docs``, chosen by the hash of the id: half of
+    them labelled, half not, as far as there are so many of either.
 
     Rows labelled 1 are the trusted positives, rows without label the unlabelled
     ones. Rows labelled 0 serve the class prior alone: the share of 1 among the
@@ -195,18 +196,31 @@ def learn(
     rows there is nothing to fit, and every text with a word scores 0.5.
     """
     ship_package(docs.sparkSession)
-    rate = min(1.0, sample_rows / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(rate * (1 << 20))
+
+    def chosen(rows: int) -> Column:
+        share = min(1.0, sample_rows / 2 / max(1, rows))
+        return F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)) < int(share * (1 << 40))
+
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marks = (
         labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-        .where(chosen & F.col("label").isNotNull())
+        .where(F.col("label").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("label").alias("least"), F.max("label").alias("label"))
         .where("least = label")
+        .select("doc_id", "label")
+    )
+    # about half of sample_rows ids, whatever the number of labels
+    trusted = F.broadcast(marks.where(chosen(marks.count())))
+    rows = rows.join(trusted, "doc_id", "left").where(F.col("label").isNotNull() | chosen(docs.count()))
+    sample = _features_of(rows, [F.col("doc_id"), F.col("label")]).withColumnsRenamed({"k0": "doc_id", "k1": "label"})
+    any_mark = marks.select("doc_id", F.lit(True).alias("marked"))
+    found = (
+        sample.join(any_mark, "doc_id", "left")
+        .where("label IS NOT NULL OR marked IS NULL")
+        .select("doc_id", "label", "features")
+        .toPandas()
     )
-    sample = _features_of(rows.where(chosen), [F.col("doc_id")]).withColumnRenamed("k0", "doc_id")
-    found = sample.join(marks.select("doc_id", "label"), "doc_id", "left").select("doc_id", "label", "features").toPandas()
     found = found.sort_values("doc_id", kind="stable")
     features = np.array(found["features"].tolist(), dtype=np.float64).reshape(-1, N_FEATURES)
     label = found["label"].to_numpy(dtype=np.float64, na_value=np.nan)

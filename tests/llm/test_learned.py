@@ -53,6 +53,20 @@ def test_quality_of_held_out_documents(spark, sf_dir):
     assert (held.predicted == held.quality).mean() > 0.85 and found.score.between(0, 1).all()
 
 
+def test_few_labels_are_all_used(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels").select("doc_id", "quality")
+    # twenty times as many documents, of which one in some hundreds has a label
+    many = docs.select("text", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("k"), "doc_id")
+    many = many.select((F.col("doc_id") * 20 + F.col("k")).alias("doc_id"), "text")
+    few = labels.where("doc_id % 7 = 0").withColumn("doc_id", F.col("doc_id") * 20)
+    assert 20 < few.count() < 150
+    model = quality.learn(many, few, sample_rows=1000)
+    assert model.hidden.any()
+    found = quality.score(docs, model).join(labels, "doc_id").toPandas()
+    assert ((found.score >= quality.GOOD) == found.quality).mean() > 0.85
+
+
 def test_held_out_labels_do_not_matter(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     learned = ~quality.held_out(F.col("doc_id"))
