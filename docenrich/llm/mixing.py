@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docenrich.llm.common import clean_text
+from docenrich.llm.common import Workspace, clean_text
 
 #: Targets are in proportion to a source's characters to this power.
 FLATTEN = 0.7
@@ -84,13 +84,15 @@ def mix(
     repeat an id are drawn alike. All columns stay; ``copy`` (from 0) and
     ``shuffle_key`` are added, with underscores where these names are taken.
     """
-    rates = repetition_rates(docs, source_col, text_col, weights, flatten, epochs)
+    # written, so that its size is known: a few sources are sent to the documents, many are joined
+    rates = Workspace(docs.sparkSession, "mixing").save(
+        repetition_rates(docs, source_col, text_col, weights, flatten, epochs), "rates"
+    )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
         F.col(source_col).cast("string").alias("source"),
     )
-    # the size of a table with a row for each source is the planner's to judge
     rated = rows.alias("r").join(rates.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
     parts = F.greatest(F.ceil(F.col("rate") / _PART_MEAN), F.lit(1)).cast("int")
     drawn = F.aggregate(
