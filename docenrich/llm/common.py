@@ -34,9 +34,9 @@ class Workspace:
         finally:
             self.spark.conf.set(_CLEANUP, before)
 
-    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        self.let_go(lambda: df.write.parquet(path, compression=compression))
+        self.let_go(lambda: df.write.parquet(path))
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:

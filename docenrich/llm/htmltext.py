@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -345,7 +346,6 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             "row", F.monotonically_increasing_id()
         ),
         "parsed",
-        compression="zstd",
     )
     # equal pages of different blocks are one witness too
     witnesses = parsed.where("witness")
@@ -388,7 +388,17 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     )
 
 
-_PAGE_DDL = "page_id long, url string, host string, block long, texts array<string>, marked boolean"
+_PAGE_DDL = "page_id long, url string, host string, block long, texts binary, marked boolean"
+
+
+def _packed(texts: list[str]) -> bytes:
+    """The texts of a page's blocks, none of which has a line end, in few bytes."""
+    return zstandard.ZstdCompressor(level=3).compress("\n".join(texts).encode("utf-8", "surrogatepass"))
+
+
+def _unpacked(packed: bytes) -> list[str]:
+    text = zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass")
+    return text.split("\n") if text else []
 
 
 def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +411,7 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("url"),
                 batch.column("host"),
                 batch.column("block"),
-                pa.array([texts for texts, _ in chosen], pa.list_(pa.string())),
+                pa.array([_packed(texts) for texts, _ in chosen], pa.binary()),
                 pa.array([marked for _, marked in chosen], pa.bool_()),
             ],
             names=["page_id", "url", "host", "block", "texts", "marked"],
@@ -415,7 +425,7 @@ def _witnesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def settle() -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        pages = rows.column("texts").to_pylist()
+        pages = [_unpacked(p) for p in rows.column("texts").to_pylist()]
         stream, page = stream_of(pages)
         first = np.searchsorted(page, np.arange(len(pages) + 1))
         content = [hashlib.blake2b(stream[a:b].tobytes(), digest_size=8).digest() for a, b in zip(first, first[1:])]
@@ -430,12 +440,12 @@ def _witnesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         places = zip(batch.column("host").to_pylist(), batch.column("block").to_pylist())
-        for k, (place, texts) in enumerate(zip(places, batch.column("texts"))):
+        for k, (place, packed) in enumerate(zip(places, batch.column("texts"))):
             if held and (place != last or size >= 6 * BLOCK_WORDS):
                 yield settle()
                 held, size = [], 0
             held.append(batch.slice(k, 1))
-            last, size = place, size + sum(len(t.as_py()) for t in texts.values)
+            last, size = place, size + zstandard.frame_content_size(packed.as_py())
     if held:
         yield settle()
 
@@ -445,7 +455,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[list[
     host, last, held, runs, size = None, None, [], None, 0
     for batch in batches:
         given = batch.column("runs") if "runs" in batch.schema.names else None
-        hosts, pages = batch.column("host").to_pylist(), batch.column("texts").to_pylist()
+        hosts, pages = batch.column("host").to_pylist(), map(_unpacked, batch.column("texts").to_pylist())
         for k, (own, block, texts) in enumerate(zip(hosts, batch.column("block").to_pylist(), pages)):
             if held and ((own, block) != last or size >= 6 * BLOCK_WORDS):
                 yield host, held, runs
@@ -481,7 +491,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = np.zeros(0, dtype=np.uint64)
     for batch in batches:
-        pages, runs = batch.column("texts").to_pylist(), batch.column("runs")
+        pages, runs = map(_unpacked, batch.column("texts").to_pylist()), batch.column("runs")
         texts = [
             own_text(p, _numbers(runs, k) if runs[k].is_valid else none) for k, p in enumerate(pages)
         ]
