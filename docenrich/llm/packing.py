@@ -29,7 +29,7 @@ SLACK = 16
 END_ID = 1
 #: Tokens that a task holds at once; the tail of the round before comes on top.
 ROUND_TOKENS = 4_000_000
-_TEXTS = 256
+_TEXTS = 512
 
 
 class CapacityTree:
@@ -214,7 +214,7 @@ def pack(
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
-                encoded = encode(part.column("text").to_pylist())
+                encoded = encode(part.column("text"))
                 for doc_id, data in zip(part.column("doc_id").to_pylist(), encoded):
                     data += end
                     if data:

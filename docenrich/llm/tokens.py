@@ -8,14 +8,19 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 400_000
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Words that are kept; as many of those known before are kept until these are full again.
+CACHED_WORDS = 500_000
+#: Parts words for some, not for others.
+_ODD_SPACE = "[\\x1c-\\x1f]"
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 #: Characters that composition leaves alone and that have one lower-case form.
 _PLAIN = re.compile("[!-~À-įı-ňŊ-ž]+")
+_MARKS = frozenset(".,;:!?")
 _NONE = np.iinfo(np.int64).max
 _ENCODERS: dict[tuple, "Encoder"] = {}
 
@@ -52,6 +57,7 @@ class Encoder:
         self.by_word = by_word
         self.merges = Merges.of(json.loads(definition)) if by_word else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _tokenize(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -64,18 +70,45 @@ class Encoder:
             words = [w for w in words if w not in self.known]
         self.known.update(zip(words, self._tokenize(words)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.known.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if missing:
+            if len(self.known) > CACHED_WORDS:
+                self.older, self.known = self.known, {}
+            older, known = self.older, self.known
+            new = [w for w in missing if w not in older]
+            if len(new) < len(missing):
+                known.update((w, older[w]) for w in missing if w in older)
+            if new:
+                self._learn(new)
+            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+        return found
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text. The words of all of them are numbered, looked up once
+        each, and their ids gathered in the order of the texts."""
         if not self.by_word:
-            return self._tokenize(texts)
-        split = [_SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        needed = set(chain.from_iterable(split))
-        new = list(needed - self.known.keys())
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in needed & self.known.keys()}
-        if new:
-            self._learn(new)
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+            return self._tokenize(texts if isinstance(texts, list) else texts.to_pylist())
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+        if pc.any(pc.match_substring_regex(column, _ODD_SPACE)).as_py():
+            split = [_SPACE.split(t) for t in column.to_pylist()]
+            words = pa.array(split, pa.list_(pa.large_string()))
+        else:
+            words = pc.utf8_split_whitespace(column)
+        numbered = words.flatten().dictionary_encode()
+        place = numbered.indices.to_numpy(zero_copy_only=False)
+        ids = self._ids(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        n = sizes[place]
+        ends = np.r_[0, np.cumsum(n)]
+        at = np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], n)
+        whole = np.frombuffer(b"".join(ids), dtype="<u4")[at].tobytes()
+        bounds = words.offsets.to_numpy().astype(np.int64)
+        bounds = (4 * ends[bounds - bounds[0]]).tolist()
+        return [whole[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 class Merges:
@@ -138,13 +171,18 @@ class Merges:
         if not texts:
             return []
         lower = [t.lower() for t in texts]
-        runs = {t: self.find(t) for t in lower if not t.isalpha()}
+        runs = {t: self._runs(t) for t in lower if not t.isalpha()}
         distinct = list({t for t in lower if t.isalpha()}.union(chain.from_iterable(runs.values())))
         ids = dict(zip(distinct, self._words([w.encode() for w in distinct])))
         for text, words in runs.items():
             ids[text] = b"".join([ids[w] for w in words])
         return [ids[t] for t in lower]
 
+    def _runs(self, text: str) -> list[str]:
+        # most are a word and the mark behind it
+        word, mark = text[:-1], text[-1:]
+        return [word, mark] if mark in _MARKS and word.isalpha() else self.find(text)
+
     def _words(self, words: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         sizes = np.array([len(w) for w in words], dtype=np.int64)
