@@ -240,6 +240,54 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with the node of each, the sets that may have partners, and their token groups."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
+    rows = work.save(
+        texts.mapInArrow(_prefixes(percent, words), "doc_id long, n long, node long, need long, first array<long>"), "rows"
+    )
+    whole = _sets_of(_survivors(rows, work), rows, texts, words, work)
+    sets = _ordered(whole, percent, work)
+    work.drop(whole)
+    return rows, sets, _groups(sets, work)
+
+
+def similar_sets(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    percent: int = PERCENT,
+) -> tuple[DataFrame, DataFrame]:
+    """The join itself: ``(doc_id, n_shingles, node)`` of every row, and the links ``(node, other)``.
+
+    Rows of equal sets have one ``node``, rows without words none. Every two
+    different sets at the similarity are one link, ``node`` the smaller of both, also
+    within a component: a group of many near copies has as many links as its texts
+    have pairs. Texts, sets and odd rows are as in ``near_duplicates``.
+    """
+    work = Workspace(docs.sparkSession, "jaccard")
+    rows, sets, groups = _prepared(docs, id_col, text_col, words, percent, work)
+    others = groups.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "met", "place")])
+    pairs = groups.join(others, "token").where((F.col("node") < F.col("x_node")) & _may_link("", "x_", percent))
+    pairs = work.save(pairs.select(F.col("node").alias("a"), F.col("x_node").alias("b")).distinct(), "pairs")
+    links = work.save(_linked(pairs, sets, percent), "links")
+    work.drop(pairs, sets, groups)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "node"), links.select(
+        F.col("u").alias("node"), F.col("v").alias("other")
+    )
+
+
+def link_counts(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``(doc_id, n_links)`` of every row: the other rows that its text links to, copies included."""
+    sizes = members.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("rows"))
+    both = links.union(links.select(F.col("other").alias("node"), F.col("node").alias("other")))
+    others = sizes.select(F.col("node").alias("other"), F.col("rows").alias("far"))
+    far = both.join(others, "other").groupBy("node").agg(F.sum("far").alias("far"))
+    counts = sizes.join(far, "node", "left").select("node", (F.col("rows") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    return members.join(counts, "node", "left").select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -260,14 +308,7 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     work = Workspace(spark, "jaccard")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
-    rows = work.save(
-        texts.mapInArrow(_prefixes(percent, words), "doc_id long, n long, node long, need long, first array<long>"), "rows"
-    )
-    whole = _sets_of(_survivors(rows, work), rows, texts, words, work)
-    sets = _ordered(whole, percent, work)
-    work.drop(whole)
-    groups = _groups(sets, work)
+    rows, sets, groups = _prepared(docs, id_col, text_col, words, percent, work)
     comps = spark.createDataFrame([], "node long, component long")
     for round_ in range(HUB_ROUNDS + 1):
         members = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
@@ -284,7 +325,8 @@ def near_duplicates(
         .select("doc_id", "n", F.coalesce("component", "node").alias("comp"))
     )
     placed = work.save(placed, "placed")
-    firsts = placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    # written, so that a large component can be split when it is joined
+    firsts = work.save(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "firsts")
     return placed.join(firsts, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )

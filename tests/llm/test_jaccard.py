@@ -63,6 +63,25 @@ def test_components_are_those_of_all_pairs(spark, seed):
     assert mine == plain_components(rows)
 
 
+@pytest.mark.parametrize("seed", [3])
+def test_links_are_those_of_all_pairs(spark, seed):
+    rows = texts(seed) + [(None, "one two"), (7, None)]
+    df = spark.createDataFrame([(k, t, 0) for k, (_, t) in enumerate(rows)], "doc_id long, text string, token int")
+    members, links = jaccard.similar_sets(df)
+    sets = [frozenset(plain_set(t)) for _, t in rows]
+    node = {r.doc_id: r.node for r in members.collect()}
+    names = {}
+    for k, s in enumerate(sets):
+        assert names.setdefault(s, node[k]) == node[k]
+    assert names[frozenset()] is None and len(set(names.values())) == len(names)
+    near = lambda x, y: bool(x) and 100 * len(x & y) >= 80 * len(x | y)
+    wanted = {tuple(sorted((names[x], names[y]))) for x in names for y in names if x != y and near(x, y)}
+    found = [tuple(r) for r in links.collect()]
+    assert set(found) == wanted and len(found) == len(wanted) > 100
+    counts = {r.doc_id: r.n_links for r in jaccard.link_counts(members, links).collect()}
+    assert counts == {k: sum(near(s, o) for m, o in enumerate(sets) if m != k) for k, s in enumerate(sets)}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(df).collect() == []
