@@ -238,7 +238,8 @@ def near_vectors(
     )
     joined = work.save(places.join(named, "node", "left"), "joined")
     work.drop(placed, large, found, places)
-    firsts = joined.where("comp is not null").groupBy("comp").agg(F.min("vec_id").alias("component_id"))
+    # written, so that a large component can be split when it is joined
+    firsts = work.save(joined.where("comp is not null").groupBy("comp").agg(F.min("vec_id").alias("component_id")), "firsts")
     return (
         joined.join(firsts, "comp", "left")
         .withColumn("component_id", F.coalesce("component_id", "vec_id"))
