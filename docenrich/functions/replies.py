@@ -51,18 +51,19 @@ def reply_kind(body: Column) -> Column:
     )
 
 
-def reply_field(body: Column, key: str) -> Column:
-    """Value of a key as a string; numbers and nested values in JSON spelling.
-    NULL unless the body is an object."""
-    schema = T.StructType([T.StructField(key, T.StringType())])
-    return F.when(reply_kind(body) == OBJECT, F.from_json(body, schema).getField(key))
-
-
 def get_or_default(body: Column, key: str, default: str) -> Column:
     """The default only where the key is absent: an explicit null stays NULL."""
+    return F.when(reply_kind(body) == OBJECT, object_field(body, key, default)).otherwise(F.lit(default))
+
+
+def object_field(body: Column, key: str, default: str) -> Column:
+    """``get_or_default`` of a body that is known to be one JSON value."""
     named = F.array_contains(F.json_object_keys(body), key)
-    present = (reply_kind(body) == OBJECT) & named
-    return F.when(present, reply_field(body, key)).otherwise(F.lit(default))
+    return F.when(named, _field(body, key)).otherwise(F.lit(default))
+
+
+def _field(body: Column, key: str) -> Column:
+    return F.from_json(body, T.StructType([T.StructField(key, T.StringType())])).getField(key)
 
 
 def is_empty_reply(body: Column) -> Column:

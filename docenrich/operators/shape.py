@@ -1,6 +1,7 @@
 """Result layouts, all projections of ``file_path, outcome, body, error``.
 
-Files that did not go through keep the default texts. Two layouts carry a
+Files that did not go through keep the default texts. A body is read as JSON only
+where ``outcome`` says that it is. Two layouts carry a
 ``status``; they spell failures differently and both are kept exactly.
 """
 
@@ -19,7 +20,7 @@ from docenrich.constants import (
     NO_OBJECT,
     SUCCESS,
 )
-from docenrich.functions.replies import get_or_default
+from docenrich.functions.replies import object_field
 from docenrich.operators.filters import drop_empty_reply, drop_failed
 
 
@@ -32,8 +33,8 @@ def shape_minimal(df: DataFrame) -> DataFrame:
     """``filepath, type, Jurisdiction`` of the files that went through."""
     return drop_failed(df).select(
         _path(),
-        get_or_default(F.col("body"), "type", DEFAULT_TYPE).alias("type"),
-        get_or_default(F.col("body"), "jurisdiction", DEFAULT_JURISDICTION).alias("Jurisdiction"),
+        object_field(F.col("body"), "type", DEFAULT_TYPE).alias("type"),
+        object_field(F.col("body"), "jurisdiction", DEFAULT_JURISDICTION).alias("Jurisdiction"),
     )
 
 
@@ -121,7 +122,7 @@ def _path() -> Column:
 
 def _answer(key: str, default: str) -> Column:
     return F.when(
-        F.col("outcome") == SUCCESS, get_or_default(F.col("body"), key, default)
+        F.col("outcome") == SUCCESS, object_field(F.col("body"), key, default)
     ).otherwise(F.lit(default))
 
 
