@@ -61,6 +61,33 @@ def test_bounds_hold():
     assert (vectors.upper_bounds(units, units) >= cosines - 1e-9).mean() > 0.999
 
 
+@pytest.mark.parametrize("dim", [3, 64, 100, 768])
+def test_codes_keep_the_pairs_at_the_threshold(dim):
+    rng = np.random.default_rng(dim)
+    one = vectors.unit(rng.standard_normal((400, dim)))
+    # partners at cosines from just above the threshold up
+    other = rng.standard_normal((400, dim))
+    other = vectors.unit(other - (other * one).sum(axis=1, keepdims=True) * one)
+    cosine = rng.uniform(0.9301, 0.999, (400, 1))
+    other = cosine * one + np.sqrt(1 - cosine**2) * other
+    left, right = vectors.codes(one), vectors.codes(other)
+    near = vectors.candidates(left, right, dim, 0.93)
+    assert np.diag(near).mean() > 0.995
+    if dim >= 64:
+        # the others are told apart without their vectors
+        assert near.mean() < 0.1
+    # the estimates are not drawn to one side
+    exact = (one @ other.T).ravel()
+    sigmas, vectors.SIGMAS = vectors.SIGMAS, 0.0
+    try:
+        estimates = vectors.code_bounds(left, right, dim).ravel()
+    finally:
+        vectors.SIGMAS = sigmas
+    if dim >= 64:
+        assert abs((estimates - exact).mean()) < 0.01
+        assert abs(np.polyfit(exact, estimates, 1)[0] - 1) < 0.1
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(df).collect() == []
