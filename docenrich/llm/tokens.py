@@ -14,7 +14,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words that are kept; as many of those known before are kept until these are full again.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: Parts words for some, not for others.
 _ODD_SPACE = "[\\x1c-\\x1f]"
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
