@@ -1,6 +1,6 @@
 """The queries as SQL, where SQL can express them."""
 
-from docenrich.llm.licenses import TEMPLATES, THRESHOLD as DICE
+from docenrich.llm.licenses import ALIGNED, TEMPLATES, THRESHOLD as DICE
 from docenrich.llm.mixing import _PART_MEAN, FLATTEN
 from docenrich.llm.vectors import THRESHOLD as COSINE
 from docenrich.llm.warc import MIN_REVISIT_BYTES
@@ -108,22 +108,34 @@ _VALUES = ", ".join(
 OP9 = f"""
 WITH templates(template, license, notice) AS (VALUES {_VALUES}
 ), filed AS (
-  SELECT license, {_bigrams("w")} AS t FROM (SELECT license, {_words("notice")} AS w FROM templates)
-), lines AS (
-  SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r') AS l, coalesce(text, '') AS text FROM documents
-), units AS (
-  SELECT doc_id, 0 AS place, text AS u FROM lines
-  UNION ALL
-  SELECT doc_id, unnest(range(1, len(l) + 1)), unnest(l) FROM lines WHERE len(l) > 1
+  SELECT template, license, w, {_bigrams("w")} AS t FROM (SELECT template, license, {_words("notice")} AS w FROM templates)
+), places AS (
+  SELECT template, gram, min(k) AS k FROM (
+    SELECT template, k, w[k + 1] || ' ' || w[k + 2] AS gram FROM (SELECT template, w, unnest(range(0, len(w) - 1)) AS k FROM filed))
+  GROUP BY ALL
+), texts AS (
+  SELECT row_number() OVER () AS d, doc_id, {_words("coalesce(text, '')")} AS w FROM documents
 ), grams AS (
-  SELECT doc_id, place, {_bigrams("w")} AS b FROM (SELECT doc_id, place, {_words("u")} AS w FROM units)
-  WHERE len(w) BETWEEN 2 AND 500
+  SELECT d, q, w[q + 1] || ' ' || w[q + 2] AS gram FROM (SELECT d, w, unnest(range(0, len(w) - 1)) AS q FROM texts)
+), starts AS (
+  SELECT d, g.template, start FROM (
+    SELECT d, template, q - k AS start, count(*) AS aligned FROM grams JOIN places USING (gram) GROUP BY ALL) g
+  JOIN filed f ON f.template = g.template WHERE aligned * 10 >= len(f.t) * {ALIGNED}
+), windows AS (
+  SELECT s.d, x.doc_id, f.license, f.t, greatest(start, 0) AS first, least(start + len(f.w), len(x.w)) AS past,
+         list_slice(x.w, greatest(start, 0) + 1, least(start + len(f.w), len(x.w))) AS v
+  FROM starts s JOIN texts x ON x.d = s.d JOIN filed f ON f.template = s.template
 ), scored AS (
-  SELECT doc_id, place, license, max(2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t))) AS dice
-  FROM grams, filed GROUP BY ALL
-), best AS (
-  SELECT doc_id, place, license, dice, row_number() OVER (PARTITION BY doc_id, place ORDER BY dice DESC, license) AS r
+  SELECT d, doc_id, license, first, past, 2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
+  FROM (SELECT *, {_bigrams("v")} AS b FROM windows)
+), matched AS (
+  SELECT *, CASE WHEN first < max(past) OVER (PARTITION BY d ORDER BY first, past ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              THEN 0 ELSE 1 END AS fresh
   FROM scored WHERE dice >= {DICE}
+), units AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY d ORDER BY first, past ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS unit FROM matched
+), best AS (
+  SELECT doc_id, license, dice, row_number() OVER (PARTITION BY d, unit ORDER BY dice DESC, license) AS r FROM units
 )
 SELECT doc_id, license, max(dice) AS dice, count(*) AS n_units FROM best WHERE r = 1 GROUP BY doc_id, license
 """

@@ -2,6 +2,7 @@ import hashlib
 import math
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from docenrich.llm import imatch, licenses, mixing
@@ -148,39 +149,75 @@ def test_fingerprint_query_is_native(spark, sf_dir):
     assert (rows.near_edited.mean() > 5 * rows.near_next.mean()) and rows.near_edited.between(0, 1).all()
 
 
-def grams(text):
-    words = re.findall("[a-z0-9]+", text.lower())
-    return {" ".join(p) for p in zip(words, words[1:])}
-
-
-def test_licences_by_comparing_with_every_template(spark):
+def plain_licences(text):
+    """(license) to (dice, n_units), by trying every place of every template."""
+    words = re.findall("[a-z0-9]+", (text or "").lower())
+    matched = []
+    for name, notice in licenses.TEMPLATES:
+        own = re.findall("[a-z0-9]+", notice.lower())
+        pairs = list(zip(own, own[1:]))
+        places = {pair: pairs.index(pair) for pair in pairs}
+        for start in range(1 - len(own), len(words)):
+            aligned = sum(0 <= start + k < len(words) - 1 and (words[start + k], words[start + k + 1]) == pair for pair, k in places.items())
+            first, past = max(start, 0), min(start + len(own), len(words))
+            window = set(zip(words[first:past], words[first + 1 : past]))
+            dice = 2 * len(window & set(pairs)) / (len(window) + len(places))
+            if 10 * aligned >= licenses.ALIGNED * len(places) and dice >= licenses.THRESHOLD:
+                matched.append((first, past, -dice, name))
+    units, end = [], -1
+    for first, past, less, name in sorted(matched):
+        if first >= end:
+            units.append([])
+        units[-1].append((less, name))
+        end = max(end, past)
+    found = {}
+    for unit in units:
+        less, name = min(unit)
+        dice, n = found.get(name, (0, 0))
+        found[name] = max(dice, -less), n + 1
+    return found
+
+
+FULL_MIT = next(notice for name, notice in reversed(licenses.TEMPLATES) if name == "MIT")
+
+
+def test_licences_wherever_they_stand(spark):
+    apache = "Licensed under the Apache License, Version 2.0."
     texts = {
         1: "Some prose.\nReleased under the MIT License.\nMore prose.", 2: "released UNDER the MIT licence", 3: None, 4: "", 5: "MIT",
-        6: "Licensed under the Apache License, Version 2.0.\r\nLicensed under the Apache License, Version 2.0.",
-        7: LONG, 8: licenses.TEMPLATES[-1][1], 9: "Permission is hereby granted, free of charge, to any person",
+        6: f"{apache}\r\n{apache}", 7: LONG, 8: licenses.TEMPLATES[20][1],
+        9: "Permission is hereby granted, free of charge, to any person",
+        10: "A long line of prose that ends so. Licensed under the MIT License. And then it goes on, on the same line.",
+        11: "Words before it.\n" + FULL_MIT.replace(", ", ",\n * ") + "\nWords behind it. " + apache,
+        12: FULL_MIT.replace("Software", "Program").replace("AUTHORS OR COPYRIGHT", "WRITERS OR COPYRIGHT"),
+        13: "This work is licensed under the\n// GNU General Public License,\n// version 3.\nThis work is licensed under the GNU General Public License, version 2.",
+        14: FULL_MIT[200:], 15: f"{apache} {LONG} {apache}", 16: "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.",
     }
     df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, license string")
-    expected = {}
-    for i, text in texts.items():
-        lines = re.split("\r\n|\n|\r", text or "")
-        for unit in lines + ([text] if len(lines) > 1 else []):
-            scores = {}
-            for name, notice in licenses.TEMPLATES:
-                a, b = grams(unit), grams(notice)
-                dice = 2 * len(a & b) / (len(a) + len(b))
-                scores[name] = max(scores.get(name, 0), dice)
-            best = min(scores, key=lambda n: (-scores[n], n))
-            if scores[best] >= licenses.THRESHOLD:
-                dice, n = expected.get((i, best), (0, 0))
-                expected[i, best] = max(dice, scores[best]), n + 1
+    expected = {(i, name): v for i, t in texts.items() if i not in (7, 15) for name, v in plain_licences(t).items()}
+    expected |= {(15, "Apache-2.0"): (1.0, 2)}
     found = licenses.scan_licenses(df)
     assert not re.search("Python|Pandas|Arrow", plan_of(found))
     got = {(r["doc_id"], r["license"]): (r["dice"], r["n_units"]) for r in found.collect()}
     assert got.keys() == expected.keys()
     assert all(math.isclose(got[k][0], expected[k][0]) and got[k][1] == expected[k][1] for k in got)
+    # inside a line, wrapped over several, as a full text with changes, next to another
+    assert {(1, "MIT"), (10, "MIT"), (11, "MIT"), (11, "Apache-2.0"), (12, "MIT"), (13, "GPL-3.0"), (13, "GPL-2.0")} <= got.keys()
     assert licenses.scan_licenses(df.limit(0)).collect() == []
 
 
+def test_a_hot_notice_and_templates_of_ones_own(spark):
+    rows = [(i % 7, "An own notice of ours applies.\n" * (i % 3) + "text") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.license, r.dice, r.n_units) for r in licenses.scan_licenses(df, templates=[("Own", "own notice of ours applies")]).collect()}
+    wanted = {}
+    for i, text in rows:
+        wanted[i] = wanted.get(i, 0) + text.count("notice")
+    assert found == {i: ("Own", 1.0, n) for i, n in wanted.items() if n}
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(df, templates=[("Own", "one")])
+
+
 def test_poisson_inverts_the_distribution(spark):
     for mean in (0.0, 0.3, 5.0, 31.9):
         u = [0.001, 0.2, 0.5, 0.9, 0.9999]
