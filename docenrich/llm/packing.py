@@ -191,7 +191,7 @@ def pack(
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(definition, by_word).encode
+        encoding = encoder(definition, by_word)
         number = TaskContext.get().partitionId() << 36
         ids: list = []
         totals: list[int] = []
@@ -214,7 +214,7 @@ def pack(
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
-                encoded = encode(part.column("text"))
+                encoded = encoding.encode(part.column("text"))
                 for doc_id, data in zip(part.column("doc_id").to_pylist(), encoded):
                     data += end
                     if data:
@@ -225,6 +225,7 @@ def pack(
                 if held >= round_tokens:
                     yield from settle(last=False)
         yield from settle(last=True)
+        encoding.forget()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     return texts.mapInArrow(task, _DDL + (", ids array<int>" if with_ids else ""))
