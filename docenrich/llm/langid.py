@@ -116,7 +116,7 @@ def identify(
     The score is 1 less the distance as a share of the largest one. ``und``
     with score 0: null, texts without a letter, or no profile at all. Of equal
     distances the language first by name counts. The two new columns replace
-    columns of their names.
+    columns of their names, in upper or lower case. Repeated rows are judged each.
     """
     ship_package(docs.sparkSession)
     langs = sorted(profiles)
@@ -138,7 +138,7 @@ def identify(
         best = int(total.argmin())
         return langs[best], float(1 - total[best] / (top * len(mine)))
 
-    names = [c for c in docs.columns if c not in (lang_col, score_col)]
+    names = [c for c in docs.columns if c.lower() not in (lang_col.lower(), score_col.lower())]
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     text_at = docs.select(clean_text(text_col).alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
 

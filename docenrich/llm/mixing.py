@@ -113,8 +113,9 @@ def mix(
         .withColumn("key", F.md5(F.concat_ws(":", F.lit(f"order {seed}"), "id", F.col("copy").cast("string"))))
     )
     names = {"copy": "copy", "key": "shuffle_key"}
+    taken = {c.lower() for c in docs.columns}
     for own in names:
-        while names[own] in docs.columns:
+        while names[own] in taken:
             names[own] += "_"
     # a random place for a random key: partitions and the order in each are a permutation of all
     mixed = copies.repartition("key").sortWithinPartitions("key", "copy")

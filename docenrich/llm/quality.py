@@ -236,10 +236,11 @@ def learn(
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1; texts without a word (null too) have 0.
 
-    The new column replaces one of its name.
+    The new column replaces one of its name, in upper or lower case. Repeated rows are
+    scored each.
     """
     ship_package(docs.sparkSession)
-    names = [c for c in docs.columns if c != score_col]
+    names = [c for c in docs.columns if c.lower() != score_col.lower()]
     rows = docs.select(clean_text(text_col).alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

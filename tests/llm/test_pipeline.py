@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from docenrich.llm import jaccard, langid, quality
 from docenrich.llm.queries import table
@@ -32,6 +34,18 @@ def test_clean_documents_stay_and_odd_ones_do_not_crash(spark, sf_dir):
         assert stage(spark, docs.limit(0), sf_dir).collect() == []
 
 
+def test_other_columns_come_through_every_stage(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(80)
+    names = ["found", "Sure", "SCORE", "row", "Row_", "group", "node", "Copy", "shuffle_key", "a.b", "lang_pred"]
+    more = docs.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names if n != "Row_"])
+    for name, stage in cp.STAGES[:-1]:
+        kept = stage(spark, more, sf_dir)
+        assert kept.columns == more.columns, name
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in more.columns[5:]), name
+    assert cp.packed(spark, more, sf_dir).count() >= 80
+
+
 def test_only_what_is_rejected_goes(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     assert langid.UNDETERMINED == "und" and quality.GOOD == 0.3
