@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docenrich import storage
 
+#: What ``scratch_path`` gives: a label and 32 digits.
+_SCRATCH = re.compile("[A-Za-z_-]+-[0-9a-f]{32}")
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
 
@@ -39,6 +41,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, before: float) -> int:
+    """Delete what this library has left in the shared folder and not touched since
+    ``before`` (seconds since 1970); returns how many folders.
+
+    For when no result that reads them is in use any more: results are read from these.
+    """
+    root, dropped = shared_dir(spark), 0
+    for name, changed in modified_entries(spark, root):
+        if _SCRATCH.fullmatch(name) and max([changed, *_changes(spark, f"{root}/{name}")]) < before:
+            delete_folder(spark, f"{root}/{name}")
+            dropped += 1
+    return dropped
+
+
+def _changes(spark: SparkSession, folder: str) -> list[float]:
+    return [changed for _, changed in modified_entries(spark, folder)]
+
+
 def written_once(
     df: DataFrame, label: str = "settled", partition_by: str | None = None
 ) -> DataFrame:

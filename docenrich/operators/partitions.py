@@ -55,6 +55,6 @@ def spread_scan(scan: DataFrame) -> DataFrame:
     A table read in enough pieces stays as it is: its rows are not shuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= 4 * cores:
+    if scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores)
