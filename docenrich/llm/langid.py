@@ -144,7 +144,7 @@ def identify(
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [closest(text) for text in batch.column(0).to_pylist()]
+            found = [closest(text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*batch.schema.names[1:], "lang", "score"],

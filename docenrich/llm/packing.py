@@ -29,7 +29,7 @@ SLACK = 16
 END_ID = 1
 #: Tokens that a task holds at once; the tail of the round before comes on top.
 ROUND_TOKENS = 4_000_000
-_TEXTS = 512
+_TEXTS = 256
 
 
 class CapacityTree:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in slices of about this many bytes.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 _is_space = np.zeros(256, dtype=bool)

@@ -14,7 +14,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words that are kept; as many of those known before are kept until these are full again.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 #: Parts words for some, not for others.
 _ODD_SPACE = "[\\x1c-\\x1f]"
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -73,6 +73,7 @@ class Encoder:
     def forget(self) -> None:
         """Let go of the words that are kept, for what runs in this process next."""
         self.known, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
 
     def _ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
