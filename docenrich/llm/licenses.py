@@ -108,10 +108,14 @@ def scan_licenses(
     )
     every = F.from_json(F.lit(json.dumps(sorted({g for t in filed for g in t["grams"]}))), "array<string>")
     words = docs.select(F.col(id_col).alias("doc_id"), normal_words(clean_text(text_col)).alias("words"))
-    met = words.withColumn("met", F.array_intersect(word_pairs(F.col("words")), every))
+    # numbered here, so that the bigrams are made once and not for each template below
+    met = words.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "words",
+        F.array_intersect(word_pairs(F.col("words")), every).alias("met"),
+    )
     enough = F.exists(known, lambda t: F.size(F.array_intersect(t["grams"], F.col("met"))) * 10 >= F.size(t["grams"]) * ALIGNED)
     texts = work.save(
-        met.where((F.size("met") > 0) & enough).select(F.monotonically_increasing_id().alias("row"), "doc_id", "words"), "texts"
+        met.where((F.size("met") > 0) & enough).select("row", "doc_id", "words"), "texts"
     )
     # where in a template a bigram first stands
     places = spark.createDataFrame(
