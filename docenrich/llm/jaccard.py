@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docenrich.llm.common import Workspace, clean_text, connected_components
+from docenrich.llm.common import Workspace, clean_text, connected_components, released
 from docenrich.llm.textbytes import shingle_sets
 
 WORDS = 5
@@ -124,7 +124,7 @@ def _sets_of(nodes: DataFrame, rows: DataFrame, texts: DataFrame, words: int, wo
     chosen = texts.alias("t").join(
         wanted.hint("shuffle_hash").alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))
     )
-    sets = chosen.select("w.node", "t.text").mapInArrow(_whole_sets(words), "node long, own long, tokens array<long>")
+    sets = chosen.select("w.node", "t.text").mapInArrow(released(_whole_sets(words)), "node long, own long, tokens array<long>")
     # rows that repeat an id may have another text, or the same one twice
     return work.save(sets.where("node = own").drop("own").dropDuplicates(["node"]), "whole")
 
@@ -244,7 +244,7 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
     """The rows with the node of each, the sets that may have partners, and their token groups."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     rows = work.save(
-        texts.mapInArrow(_prefixes(percent, words), "doc_id long, n long, node long, need long, first array<long>"), "rows"
+        texts.mapInArrow(released(_prefixes(percent, words)), "doc_id long, n long, node long, need long, first array<long>"), "rows"
     )
     whole = _sets_of(_survivors(rows, work), rows, texts, words, work)
     sets = _ordered(whole, percent, work)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docenrich.cluster import ship_package
-from docenrich.llm.common import clean_text
+from docenrich.llm.common import clean_text, released
 
 #: Ranks in a profile.
 TOP = 300
@@ -94,7 +94,7 @@ def learn_profiles(
                     names=["lang", "code", "n"],
                 )
 
-    grams = chosen.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    grams = chosen.mapInArrow(released(count), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     best = grams.withColumn("rank", rank).where(F.col("rank") <= top)
     profiles: dict[str, dict[int, int]] = {}
@@ -151,7 +151,7 @@ def identify(
             )
 
     inner = [f"c{i} {field.dataType.simpleString()}" for i, field in enumerate(kept.schema.fields)]
-    out = text_at.mapInArrow(task, ", ".join([*inner, "lang string", "score double"]))
+    out = text_at.mapInArrow(released(task), ", ".join([*inner, "lang string", "score double"]))
     return out.toDF(*names, lang_col, score_col)
 
 

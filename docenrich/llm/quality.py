@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docenrich.cluster import ship_package
-from docenrich.llm.common import clean_text
+from docenrich.llm.common import clean_text, released
 from docenrich.llm.textbytes import slices, word_bounds, word_hashes
 
 #: Documents (on average, chosen by hash) that the classifier is fitted on.
@@ -175,7 +175,7 @@ def _features_of(docs: DataFrame, keep: list[Column]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], names=[*names, "features"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(task, f"{kinds}, features array<double>")
+    return rows.mapInArrow(released(task), f"{kinds}, features array<double>")
 
 
 def learn(
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], names=[*batch.schema.names[1:], "score"])
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
-    return rows.mapInArrow(task, ", ".join([*kinds, "score double"])).toDF(*names, score_col)
+    return rows.mapInArrow(released(task), ", ".join([*kinds, "score double"])).toDF(*names, score_col)
 
 
 def held_out(id_col: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 from itertools import chain
@@ -22,7 +21,6 @@ _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 _PLAIN = re.compile("[!-~À-įı-ňŊ-ž]+")
 _MARKS = frozenset(".,;:!?")
 _NONE = np.iinfo(np.int64).max
-_ENCODERS: dict[tuple, "Encoder"] = {}
 
 # How the tokenizer files for which words are merged here prepare a text.
 _NORMALIZERS = [
@@ -33,15 +31,6 @@ _NORMALIZERS = [
 _WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
-def encoder(definition: str, by_word: bool = True) -> "Encoder":
-    """The encoder of this worker process for a tokenizer's definition (the file's content)."""
-    key = (hashlib.sha256(definition.encode()).hexdigest(), by_word)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition, by_word)
-    return _ENCODERS[key]
-
-
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, without special tokens.
 
@@ -70,11 +59,6 @@ class Encoder:
             words = [w for w in words if w not in self.known]
         self.known.update(zip(words, self._tokenize(words)))
 
-    def forget(self) -> None:
-        """Let go of the words that are kept, for what runs in this process next."""
-        self.known, self.older = {}, {}
-        pa.default_memory_pool().release_unused()
-
     def _ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
         found = list(map(self.known.get, words))
