@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from docenrich.cluster import ship_package
 from docenrich.llm.common import clean_text, released
-from docenrich.llm.tokens import Encoder
+from docenrich.llm.tokens import encoder
 
 WINDOW = 2048
 #: A window with at most this much padding is closed.
@@ -29,7 +29,7 @@ SLACK = 16
 END_ID = 1
 #: Tokens that a task holds at once; the tail of the round before comes on top.
 ROUND_TOKENS = 4_000_000
-_TEXTS = 256
+_TEXTS = 1024
 
 
 class CapacityTree:
@@ -191,7 +191,7 @@ def pack(
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = Encoder(definition, by_word)
+        encoding = encoder(definition, by_word)
         number = TaskContext.get().partitionId() << 36
         ids: list = []
         totals: list[int] = []
@@ -225,6 +225,7 @@ def pack(
                 if held >= round_tokens:
                     yield from settle(last=False)
         yield from settle(last=True)
+        encoding.forget()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     return texts.mapInArrow(released(task), _DDL + (", ids array<int>" if with_ids else ""))
