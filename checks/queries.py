@@ -258,7 +258,8 @@ def enrich_hot_path(spark, sf_dir):
     stored = inputs.replies(spark, sf_dir).select("body", "file_path").join(
         inputs.doc_files(spark, sf_dir).select("file_path", hot.alias("hot_path")), "file_path"
     )
-    return enrich_from_replies(files, stored.select(F.col("hot_path").alias("file_path"), "body"))
+    stored = stored.select(F.col("hot_path").alias("file_path"), "body")
+    return enrich_from_replies(files, stored, spread_hot=True)
 
 
 @query

@@ -114,16 +114,16 @@ def settled_replies(answered: DataFrame, any_status: bool = False) -> DataFrame:
 
 
 def enrich_from_replies(
-    files: DataFrame, stored: DataFrame, order_col: str | None = None, spread_hot: bool = True
+    files: DataFrame, stored: DataFrame, order_col: str | None = None, spread_hot: bool = False
 ) -> DataFrame:
     """Answer from a table ``file_path, body`` of replies instead of a model.
 
     A file without a stored reply has failed like one the model never answered.
     Of several replies to a path the last by ``order_col`` counts, or else the
     greatest: each task reduces its own, so neither a path stored over and over
-    nor a file listed over and over multiplies rows. Rows of a path that has many
-    of them are spread over tasks (``salted_left_join``), at the price of a look at
-    all paths first; ``spread_hot`` says whether there may be such paths.
+    nor a file listed over and over multiplies rows. With ``spread_hot`` the rows of
+    paths that have very many are spread over tasks (``salted_left_join``), at the
+    price of a look at all paths first.
     """
     latest = F.max(F.struct(order_col, "body"))["body"] if order_col else F.max("body")
     by_path = stored.where(F.col("file_path").isNotNull()).groupBy("file_path")

@@ -205,7 +205,7 @@ def run_status(
     ``content``); ``reader`` and ``content`` work as in ``status_rows``.
     With ``json_dir`` earlier successes are looked up in that folder of result
     files too, and the new results written there as well; files that an earlier
-    run settled but did not write are made up first. A log in that folder saves
+    run settled but did not write are made up first. A log beside that folder saves
     opening the files that have not changed since.
     The files are settled in ``waves``, each committed to the ledger before the
     next, and within a wave each reply is kept in a journal until then: neither a

@@ -26,7 +26,8 @@ from docenrich.sources.files import walk_files
 from docenrich.sources.ledger import entries_of, read_texts
 
 _KEY = "result_file"
-_LOG = "_written"
+#: Stands behind the name of the folder of result files, whose readers it is not for.
+_LOG = ".log"
 _ENTRY = "filepath string, type string, jurisdiction string, status string"
 _FACTS = "name string, changed long, length long"
 _FACTS_ARROW = pa.schema([("name", pa.string()), ("changed", pa.int64()), ("length", pa.int64())])
@@ -77,7 +78,7 @@ def _microseconds(facts: tuple[float, int]) -> tuple[int, int]:
 def write_logged_json(
     df: DataFrame, folder: str, run_id: str | None = None, workers: int | None = None
 ) -> None:
-    """``write_keyed_json``, with a log of the files written in the folder's ``_written``.
+    """``write_keyed_json``, with a log of the files written, beside the folder.
 
     The log holds each file's name, time, length and digest, its entry and the run,
     so ``read_logged_json`` need not open it again.
@@ -93,7 +94,7 @@ def write_logged_json(
         lambda batches: _write_and_tell(batches, folder, workers), f"{_FACTS}, {entries}, digest string"
     )
     log = written.withColumn("run_id", F.lit(run_id).cast("string"))
-    log.write.mode("append").parquet(f"{folder}/{_LOG}/{uuid.uuid4().hex}")
+    log.write.mode("append").parquet(f"{folder}{_LOG}/{uuid.uuid4().hex}")
 
 
 def _write_and_tell(batches: Iterator[pa.RecordBatch], folder: str, workers: int) -> Iterator[pa.RecordBatch]:
@@ -150,7 +151,7 @@ def read_logged_json(spark: SparkSession, folder: str) -> DataFrame:
             "name", "changed", "length", "entry", "digest", F.lit(None).cast("string").alias("run_id")
         )
         told = told.where("digest IS NOT NULL")
-        target = f"{folder}/{_LOG}/{uuid.uuid4().hex}"
+        target = f"{folder}{_LOG}/{uuid.uuid4().hex}"
         told.write.parquet(target)
         known = known.union(spark.read.schema(_LOGGED).parquet(target).select("name", "entry"))
     return known.where("entry IS NOT NULL").select("entry.*")
@@ -158,11 +159,11 @@ def read_logged_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def _read_log(spark: SparkSession, folder: str) -> DataFrame:
     """One line for each file and time, ``told`` of it: what a run wrote rather than what was read."""
-    if not modified_entries(spark, f"{folder}/{_LOG}"):
+    if not modified_entries(spark, f"{folder}{_LOG}"):
         lines = spark.createDataFrame([], _LOGGED)
     else:
         reader = spark.read.schema(_LOGGED).option("recursiveFileLookup", "true")
-        lines = reader.parquet(f"{folder}/{_LOG}")
+        lines = reader.parquet(f"{folder}{_LOG}")
     return lines.groupBy("name", "changed", "length").agg(F.max(F.struct("digest", "entry")).alias("told"))
 
 

@@ -171,7 +171,7 @@ def test_the_log_knows_what_was_written(spark, tmp_path):
     (tmp_path / "json" / "note.txt").write_text("{}")
     wanted = {"/a.pdf": "success", "/b.pdf": "success", "/c.pdf": "error"}
     assert entries(read_logged_json(spark, folder)) == wanted == entries(read_ledger(spark, folder))
-    log = {r.name: r for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/_written").collect()}
+    log = {r.name: r for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}.log").collect()}
     assert len(log) == 4 and sum(r.run_id == "run-1" for r in log.values()) == 2
     assert entries(read_logged_json(spark, folder)) == wanted
 
