@@ -1,6 +1,9 @@
 """DataFrames derived from the given tables, whole tables and whole texts."""
 
+import bisect
+import functools
 import io
+import math
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -15,6 +18,8 @@ from docenrich.operators.enrich import enrich_from_replies
 from docenrich.operators.extract import PAGES, PARAGRAPHS, Extractor, docx_paragraphs
 from docenrich.operators.filters import guard_unsupported
 from docenrich.operators.partitions import spread_scan
+from docenrich.sources.files import walk_files
+from docenrich.sources.paged import Pages
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +234,43 @@ def file_tree(spark: SparkSession, sf_dir: str, flat: bool = False) -> str:
     return _trees[key]
 
 
+# Names in one file of the index below.
+INDEX_NAMES = 10_000
+
+
+def indexed_pages(spark: SparkSession, folder: str) -> Pages:
+    """Stands in for a store that lists in pages: as there, an index keeps the names
+    of the folder in order, so a page costs the same however many there are.
+
+    The index is made once, of the names in the folder, in files of few names each.
+    """
+    names = walk_files(spark, folder, recursive=False, include_hidden=True).select(
+        F.substring_index("file_path", "/", -1).alias("value")
+    )
+    files = max(1, math.ceil(names.count() / INDEX_NAMES))
+    index = scratch_path(spark, "index")
+    names.repartitionByRange(files, "value").sortWithinPartitions("value").write.text(index)
+    # numbered in the order of their names; the first of each tells where to look
+    parts = sorted(p for p, _ in storage.list_folder(index) if p.rsplit("/", 1)[1].startswith("part-"))
+    firsts = [(_index_names(part) or [""])[0] for part in parts]
+
+    def pages(after, limit):
+        found, at = [], max(bisect.bisect_right(firsts, after) - 1, 0)
+        while at < len(parts) and len(found) < limit:
+            part = _index_names(parts[at])
+            first = bisect.bisect_right(part, after)
+            found += part[first : first + limit - len(found)]
+            at += 1
+        return found
+
+    return pages
+
+
+@functools.lru_cache(maxsize=2)
+def _index_names(part: str) -> list[str]:
+    return storage.read_file(part).decode().split("\n")[:-1]
+
+
 def byte_tree(spark: SparkSession, sf_dir: str) -> str:
     """Root of the documents as files, DOCX files as real ones; once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, "bytes")

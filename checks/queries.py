@@ -1,6 +1,5 @@
 """One registered query per operator, each over whole tables."""
 
-import bisect
 import os
 from collections.abc import Callable
 
@@ -81,21 +80,10 @@ def list_files_flat(spark, sf_dir):
     return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
 
 
-def _pages(folder):
-    """Stands in for a store that lists in pages."""
-
-    def pages(after, limit):
-        names = sorted(os.listdir(folder))
-        first = bisect.bisect_right(names, after)
-        return names[first : first + limit]
-
-    return pages
-
-
 @query
 def list_files_paged(spark, sf_dir):
     root = storage.local_path(inputs.file_tree(spark, sf_dir, flat=True))
-    listed = list_paged(spark, root, _pages(root), page_names=100)
+    listed = list_paged(spark, root, inputs.indexed_pages(spark, root), page_names=100)
     listed = filters.filter_supported(listed)
     return listed.select(inputs.below(root, F.col("file_path")).alias("file_path"))
 

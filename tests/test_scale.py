@@ -8,13 +8,14 @@ import tracemalloc
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs
 from docenrich import storage
 from docenrich.operators.enrich import enrich_from_replies
 from docenrich.operators.skew import hot_keys, salted_left_join
 from docenrich.sinks import keyed_json
 from docenrich.sinks.keyed_json import read_logged_json, write_keyed_json, write_logged_json
 from docenrich.sources.ledger import read_ledger
-from docenrich.sources.paged import list_paged, name_ranges, pages_of
+from docenrich.sources.paged import NameRange, list_paged, name_ranges, pages_of
 
 MB = 1 << 20
 
@@ -150,6 +151,34 @@ def test_a_huge_folder_is_listed_by_many_tasks(spark):
     assert listed.agg(F.min("file_path")).first()[0] == "s3://bucket/huge/000000.pdf"
 
 
+def test_a_page_of_the_stand_in_store_does_not_list_the_folder(spark, tmp_path, monkeypatch):
+    names = sorted([f"{n:x}{n % 7}.pdf" for n in range(500)] + ["é.pdf", "z\U0001f600.docx", ".hidden"])
+    for name in names:
+        (tmp_path / name).touch()
+    monkeypatch.setattr(inputs, "INDEX_NAMES", 60)
+    pages = inputs.indexed_pages(spark, str(tmp_path))
+    inputs._index_names.cache_clear()
+    opened = []
+    monkeypatch.setattr(storage, "read_file", lambda path, read=storage.read_file: opened.append(path) or read(path))
+    monkeypatch.setattr(os, "listdir", None)
+    monkeypatch.setattr(os, "scandir", None)
+    monkeypatch.setattr(storage, "list_folder", None)
+    found = [name for page in pages_of(pages, NameRange("", None), 7) for name in page]
+    assert found == names
+    # each file of the index once, whatever the number of pages
+    assert len(opened) == len(set(opened)) > 5
+    assert pages(names[-1], 3) == [] and pages(names[3], 2) == names[4:6] and pages("", 10**6) == names
+    monkeypatch.undo()
+    listed = list_paged(spark, str(tmp_path), pages, tasks=3, page_names=20)
+    assert sorted(r.file_path for r in listed.collect()) == [f"{tmp_path}/{n}" for n in names]
+
+
+def test_a_stand_in_store_of_an_empty_folder(spark, tmp_path):
+    pages = inputs.indexed_pages(spark, str(tmp_path))
+    assert pages("", 10) == [] and pages("a", 1) == []
+    assert list_paged(spark, str(tmp_path), pages).collect() == []
+
+
 # --- result files -------------------------------------------------------------
 
 
