@@ -17,7 +17,7 @@ from docenrich.functions import paths, replies, retry, text
 from docenrich.operators import assemble, attempts, filters, ledger, shape
 from docenrich.operators.enrich import CallRules, enrich, enrich_from_replies
 from docenrich.operators.extract import explode_pages, extract_parts, extract_text
-from docenrich.operators.partitions import map_partitions, repartitioned, spread_scan
+from docenrich.operators.partitions import map_partitions, repartitioned, spread_files, spread_scan
 from docenrich.operators.replies import parse_reply
 from docenrich.plans import runs
 from docenrich.sinks.compaction import (
@@ -124,13 +124,12 @@ def _mixed_ledger(spark, sf_dir):
         F.coalesce("body", F.lit('{"filepath": "trunc'))
     )
     folder = scratch_path(spark, "ledger")
-    inputs.write_tree(
-        rows.select(
-            F.concat(F.lit("/"), paths.key_md5(F.col("entry.filepath"))).alias("file_path"),
-            F.encode(content, "UTF-8").alias("content"),
-        ),
-        folder,
+    files = rows.select(
+        F.concat(F.lit("/"), paths.key_md5(F.col("entry.filepath"))).alias("file_path"),
+        F.encode(content, "UTF-8").alias("content"),
     )
+    # short rows of a join arrive in few tasks, and each becomes a file
+    inputs.write_tree(spread_files(files), folder)
     return folder
 
 

@@ -34,7 +34,8 @@ def spread_files(listing: DataFrame, num_partitions: int | None = None) -> DataF
     """Spread a listing over tasks that each get few enough files to lose.
 
     Without a given number the listing is written and counted first: a short
-    one gets a task per file at most, a long one ever more tasks.
+    one gets a task per file at most, a long one ever more tasks. So do short rows
+    that each become a file, which Spark would leave in few tasks for their bytes.
     """
     if num_partitions is None:
         listing = written_once(listing, "listing")
