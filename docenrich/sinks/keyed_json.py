@@ -173,7 +173,8 @@ def write_keyed_json(df: DataFrame, folder: str, workers: int | None = None) ->
     An entry already there is replaced. With several rows for one path, reduce
     them first (``latest_by_key``). A task writes to remote storage with several
     workers, which hides its latency, and to a plain path with one, which is
-    faster on a disk; give ``workers`` for a mounted remote store.
+    faster on a disk; give ``workers`` for a mounted remote store. Spark merges short
+    rows that come out of a shuffle into few tasks: deal them out first (``spread_files``).
     """
     if workers is None:
         workers = 1 if storage.local_path(folder) else WORKERS_PER_PARTITION
