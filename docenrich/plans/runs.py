@@ -230,7 +230,8 @@ def run_status(
         left = to_do_compacted(files, compacted, unique=not isinstance(root, DataFrame))
     if json_dir is not None:
         earlier = written_once(read_logged_json(spark, json_dir), "result-files")
-        write_logged_json(_not_in_files(ledger, earlier), json_dir)
+        # what is left of a join arrives in few tasks, and each row becomes a file
+        write_logged_json(spread_files(_not_in_files(ledger, earlier)), json_dir)
         left = skip_processed(left, processed_paths(earlier))
     left = written_once(left, "left")
     left = reuse_replies(left, ledger_dir, run, rules)

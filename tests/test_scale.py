@@ -8,12 +8,16 @@ import tracemalloc
 import pytest
 from pyspark.sql import functions as F
 
-from checks import inputs
+from checks import inputs, queries
 from docenrich import storage
+from docenrich.operators import enrich as enrich_module
 from docenrich.operators.enrich import enrich_from_replies
+from docenrich.operators.extract import extract_text
 from docenrich.operators.skew import hot_keys, salted_left_join
+from docenrich.plans import runs
 from docenrich.sinks import keyed_json
 from docenrich.sinks.keyed_json import read_logged_json, write_keyed_json, write_logged_json
+from docenrich.sources.files import read_bytes
 from docenrich.sources.ledger import read_ledger
 from docenrich.sources.paged import NameRange, list_paged, name_ranges, pages_of
 
@@ -60,6 +64,23 @@ def test_files_come_in_order_whatever_their_lengths(tmp_path):
     assert list(storage.read_ahead([])) == []
 
 
+def test_tasks_on_documents_give_their_memory_back(spark, monkeypatch):
+    wrapped = []
+
+    def released(task, real=storage.released):
+        wrapped.append(task)
+        return real(task)
+
+    monkeypatch.setattr(storage, "released", released)
+    monkeypatch.setattr(enrich_module, "released", released)
+    paths = spark.createDataFrame([("/none.pdf",)], "file_path string")
+    read_bytes(spark, paths)
+    assert len(wrapped) == 1
+    runs.settled_rows(paths, None, inputs.LINE_EXTRACTORS)
+    assert len(wrapped) == 3
+    assert extract_text(paths, inputs.LINE_EXTRACTORS).first().outcome == "extraction_failure"
+
+
 # --- hot keys -----------------------------------------------------------------
 
 
@@ -237,3 +258,24 @@ def test_a_replaced_entry_is_logged_anew(spark, tmp_path, monkeypatch):
         assert entries(read_logged_json(spark, folder)) == {"/a.pdf": status}
     monkeypatch.setattr(keyed_json, "read_texts", None)  # nothing to open
     assert entries(read_logged_json(spark, folder)) == {"/a.pdf": "api_failure"}
+
+
+def test_short_rows_of_a_join_become_files_in_many_tasks(spark, sf_dir, monkeypatch):
+    tasks = []
+    monkeypatch.setattr(inputs, "write_tree", lambda files, root: tasks.append(files.rdd.getNumPartitions()))
+    queries._mixed_ledger(spark, sf_dir)
+    monkeypatch.setattr(queries, "write_keyed_json", lambda rows, folder: tasks.append(rows.rdd.getNumPartitions()))
+    queries.QUERIES["keyed_json_round_trip"](spark, sf_dir)
+    assert len(tasks) == 3 and min(tasks) > 16
+
+
+def test_result_files_are_made_up_by_many_tasks(spark, sf_dir, monkeypatch):
+    tasks = []
+
+    def write(rows, *args, real=runs.write_logged_json):
+        tasks.append(rows.rdd.getNumPartitions())
+        real(rows, *args)
+
+    monkeypatch.setattr(runs, "write_logged_json", write)
+    assert queries.QUERIES["resumed_files_run"](spark, sf_dir).count() > 100
+    assert len(tasks) == 2 and tasks[0] > 16
