@@ -193,7 +193,7 @@ def _to_bytes(batches):
 def doc_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file_path, content``: the documents as files, DOCX files as real ones."""
     texts = spread_scan(doc_files(spark, sf_dir).select("file_path", "text"))
-    return texts.mapInArrow(_to_bytes, "file_path string, content binary")
+    return texts.mapInArrow(storage.released(_to_bytes), "file_path string, content binary")
 
 
 def write_tree(files: DataFrame, root: str) -> None:
@@ -202,14 +202,13 @@ def write_tree(files: DataFrame, root: str) -> None:
     def write(batches):
         for batch in batches:
             written = 0
-            for path, content in zip(
-                batch.column("file_path").to_pylist(), batch.column("content").to_pylist()
-            ):
-                storage.replace_file(root + path, content)
+            # one content at a time beside the batch
+            for path, content in zip(batch.column("file_path").to_pylist(), batch.column("content")):
+                storage.replace_file(root + path, content.as_py())
                 written += 1
             yield pa.RecordBatch.from_pydict({"written": pa.array([written], pa.int32())})
 
-    files.select("file_path", "content").mapInArrow(write, "written int").agg(
+    files.select("file_path", "content").mapInArrow(storage.released(write), "written int").agg(
         F.sum("written")
     ).collect()
 

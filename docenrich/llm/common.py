@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import uuid
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docenrich.cluster import scratch_path, ship_package
+from docenrich.storage import released as released
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -51,21 +49,6 @@ class Workspace:
                 path.getFileSystem(conf).delete(path, True)
 
 
-def released(task: Callable) -> Callable:
-    """An Arrow task that gives the memory it has freed back to the system at its end.
-
-    The worker process goes on to other tasks, and waits idle while the JVM needs the room.
-    """
-
-    def run(batches):
-        yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
-
-    return run
-
-
 def clean_text(column: Column | str) -> Column:
     """A text, or the empty one for null."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

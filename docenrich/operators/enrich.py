@@ -32,7 +32,7 @@ from docenrich.constants import (
 from docenrich.functions.replies import OBJECT, OTHER, reply_kind
 from docenrich.operators.skew import salted_left_join
 from docenrich.sinks.journal import REPLY_TYPES, Journal
-from docenrich.storage import describe, valid_text
+from docenrich.storage import describe, released, valid_text
 
 Client = Callable[[dict], tuple[int, str]]
 
@@ -92,7 +92,7 @@ def enrich(
     out_fields = [f for f in carried.schema.fields if f.name != "request_text"]
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
     answered = carried.mapInArrow(
-        lambda batches: _call_batches(batches, client_factory, max_workers, rules, journal),
+        released(lambda batches: _call_batches(batches, client_factory, max_workers, rules, journal)),
         f"{out_schema}, {REPLY_TYPES}",
     )
     return settled_replies(answered, rules.any_status)

@@ -112,7 +112,7 @@ def read_parts(
         raise ValueError(f"no extractor registered for {', '.join(sorted(lacking))}")
     columns = [c for c in ("file_path", "content") if c in files.columns]
     return files.select(*columns).mapInArrow(
-        lambda batches: _extract_batches(batches, registry), _PARTS_SCHEMA
+        storage.released(lambda batches: _extract_batches(batches, registry)), _PARTS_SCHEMA
     )
 
 

@@ -64,7 +64,7 @@ def read_bytes(
     if not isinstance(source, DataFrame):
         source = spread_files(list_files(spark, source, recursive))
     ship_package(spark)
-    return source.select("file_path").mapInArrow(_read_listed, BYTES_SCHEMA)
+    return source.select("file_path").mapInArrow(storage.released(_read_listed), BYTES_SCHEMA)
 
 
 def walk_files(

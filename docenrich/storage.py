@@ -4,12 +4,14 @@ Plain paths and ``file:`` URIs use the operating system; any other scheme goes
 through ``pyarrow.fs``.
 """
 
+import contextlib
+import ctypes
 import functools
 import os
 import re
 import uuid
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
 from typing import BinaryIO
 
@@ -215,6 +217,21 @@ def arrow_batches(
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+def released(task: Callable) -> Callable:
+    """An Arrow task that gives the memory it has freed back to the system at its end.
+
+    The worker process goes on to other tasks, and waits idle while the JVM needs the room.
+    """
+
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def valid_text(text: str | None) -> str | None:
     """The text as UTF-8 can carry it: half characters become question marks."""
     if text is None or text.isascii():
